@@ -105,7 +105,7 @@ ORDERS = Feed(
     ["order_id", "customer_id", "product_id", "order_date"],
     _order_rules,
     _order_columns,
-    partition_by=["order_year", "order_month"],
+    partition_by=["order_year"],
 )
 PRODUCTS = Feed(
     "products",

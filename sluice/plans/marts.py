@@ -47,6 +47,19 @@ def layer_counts(layers: Mapping[str, Mapping[str, DataFrame | None]]) -> DataFr
     )
 
 
+def routed_layer_counts(routed: Mapping[str, DataFrame]) -> DataFrame:
+    """The counts of :func:`layer_counts` from routed rows, in one pass per feed."""
+    counted = []
+    for feed, frame in routed.items():
+        clean = F.col("outcome") == "clean"
+        totals = frame.agg(
+            F.count("*").alias("raw"), F.count_if(clean).alias("structured"), F.count_if(~clean).alias("rejected")
+        )
+        rows = totals.unpivot([], ["raw", "structured", "rejected"], "layer", "rows")
+        counted.append(rows.select(F.lit(feed).alias("feed"), "layer", "rows"))
+    return _union(counted)
+
+
 def ingest_batches(raw: DataFrame, stamp: str = INSERTED_AT) -> DataFrame:
     """Number of ingested batches and time of the last one."""
     return raw.agg(F.count_distinct(stamp).alias("ingest_batches"), F.max(stamp).alias("last_ingest"))

@@ -10,21 +10,44 @@ INSERTED_AT = "insertion_timestamp"
 STRUCTURED_AT = "structured_insertion_timestamp"
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _struct(required: str = "", **types: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind], name != required) for name, kind in types.items()])
 
 
 CUSTOMERS_FEED = _struct(
-    "customer_id string, first_name string, last_name string, email string, phone_number string, "
-    f"signup_date date, country_code string, department_code string, {CORRUPT} string"
+    customer_id="string",
+    first_name="string",
+    last_name="string",
+    email="string",
+    phone_number="string",
+    signup_date="date",
+    country_code="string",
+    department_code="string",
+    _corrupt_records="string",
 )
 ORDERS_FEED = _struct(
-    f"order_id string, customer_id string, product_id string, order_date date, quantity int, {CORRUPT} string"
+    order_id="string",
+    customer_id="string",
+    product_id="string",
+    order_date="date",
+    quantity="int",
+    _corrupt_records="string",
+)
+PRODUCTS_FEED = _struct(
+    product_id="string", product_name="string", category="string", price="double", _corrupt_records="string"
 )
-PRODUCTS_FEED = _struct(f"product_id string, product_name string, category string, price double, {CORRUPT} string")
 
-COUNTRY_LOOKUP = _struct("country_code string, country_name string")
-DEPARTMENT_LOOKUP = _struct("department_code string, department_name string")
+COUNTRY_LOOKUP = _struct(country_code="string", country_name="string")
+DEPARTMENT_LOOKUP = _struct(department_code="string", department_name="string")
 
 
 def raw_schema(feed_schema: T.StructType) -> T.StructType:
@@ -34,22 +57,47 @@ def raw_schema(feed_schema: T.StructType) -> T.StructType:
 
 def quarantine_schema(feed_schema: T.StructType) -> T.StructType:
     """A feed's rejected rows: its columns, why and when."""
-    extra = _struct("rejection_reason string, rejection_detail string, rejected_at timestamp")
+    extra = _struct(rejection_reason="string", rejection_detail="string", rejected_at="timestamp")
     return T.StructType([*feed_schema.fields, *extra.fields])
 
 
 STRUCTURED_CUSTOMERS = _struct(
-    "customer_id string NOT NULL, first_name string, last_name string, email string, phone_number string, "
-    "signup_date date, country_code string, department_code string, is_valid_country string, "
-    f"is_valid_department string, {STRUCTURED_AT} timestamp"
+    required="customer_id",
+    customer_id="string",
+    first_name="string",
+    last_name="string",
+    email="string",
+    phone_number="string",
+    signup_date="date",
+    country_code="string",
+    department_code="string",
+    is_valid_country="string",
+    is_valid_department="string",
+    structured_insertion_timestamp="timestamp",
 )
 STRUCTURED_ORDERS = _struct(
-    "order_id string NOT NULL, customer_id string, product_id string, order_date date, order_year int, "
-    f"order_month int, order_day int, quantity int, is_valid_quantity string, {STRUCTURED_AT} timestamp"
+    required="order_id",
+    order_id="string",
+    customer_id="string",
+    product_id="string",
+    order_date="date",
+    order_year="int",
+    order_month="int",
+    order_day="int",
+    quantity="int",
+    is_valid_quantity="string",
+    structured_insertion_timestamp="timestamp",
 )
 STRUCTURED_PRODUCTS = _struct(
-    "product_id string NOT NULL, product_name string, product_name_cleaned string, category string, "
-    f"price double, price_category string, is_valid_price string, {STRUCTURED_AT} timestamp"
+    required="product_id",
+    product_id="string",
+    product_name="string",
+    product_name_cleaned="string",
+    category="string",
+    price="double",
+    price_category="string",
+    is_valid_price="string",
+    structured_insertion_timestamp="timestamp",
 )
 
 # Category domain of the products feed.
