@@ -182,24 +182,21 @@ def rule_counts(spark: SparkSession, sf: str) -> DataFrame:
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
-def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").withColumn("l_shipdate", _day("l_shipdate"))
-
-
 def dedup_keep(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.split_duplicates(_lines(spark, sf), LINE_KEY)[0]
+    kept, _ = dedup.split_duplicates(table(spark, sf, "lineitem"), LINE_KEY)
+    return kept.withColumn("l_shipdate", _day("l_shipdate"))
 
 
 def dedup_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.split_duplicates(_lines(spark, sf), LINE_KEY)[1]
+    _, duplicates = dedup.split_duplicates(table(spark, sf, "lineitem"), LINE_KEY)
+    return duplicates.withColumn("l_shipdate", _day("l_shipdate"))
 
 
 def dedup_rejects_hot(spark: SparkSession, sf: str) -> DataFrame:
     """Six keys hold all rows, so that every key is hot."""
-    lines = with_file_row_id(table(spark, sf, "lineitem")).withColumn("l_shipdate", _day("l_shipdate"))
-    keys = ["l_returnflag", "l_linestatus"]
-    tagged = dedup.tag_first(lines, keys, guard=EAGER_GUARD)
-    return tagged.filter(~F.col("is_first")).drop("is_first", ROW_ID)
+    lines = with_file_row_id(table(spark, sf, "lineitem"))
+    _, duplicates = dedup.split_duplicates(lines, ["l_returnflag", "l_linestatus"], guard=EAGER_GUARD)
+    return duplicates.withColumn("l_shipdate", _day("l_shipdate")).drop(ROW_ID)
 
 
 # -- transforms ----------------------------------------------------------

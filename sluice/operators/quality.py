@@ -120,7 +120,6 @@ def check_referential_integrity(
         df.withColumn("_lookup_value", value),
         values.withColumn("_exists", F.lit("Y")),
         "_lookup_value",
-        spread_by=[name for name in df.columns if name != check_column],
         guard=guard,
         max_broadcast_rows=max_broadcast_rows,
     )

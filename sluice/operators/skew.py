@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.sizing import fits_broadcast
+from sluice.sources.tables import ROW_ID, with_row_id
+
+_COUNTERS = 65_536
 
 
 def key_hash(keys: list[str]) -> Column:
@@ -20,26 +23,32 @@ def is_hot(keys: list[str], hot: list[int]) -> Column:
 
 @dataclass(frozen=True)
 class SkewGuard:
-    """When a key counts as hot: at least ``min_rows`` rows, ``max_keys`` hottest.
+    """A key is hot with ``min_rows`` rows and 1/``max_keys`` of all rows.
 
-    Keys are counted exactly, by hash, with map-side combining. What is left
-    out holds fewer than ``min_rows`` rows or at most 1/``max_keys`` of all
-    rows per key, which an ordinary shuffle carries. Both ways give the same
-    result, so the bounds steer cost only.
+    So there are never more than ``max_keys`` hot keys, and a key that is not
+    hot is no burden to an ordinary shuffle. Operators give the same result for
+    a key either way; the bounds steer cost only.
     """
 
     min_rows: int = 1_000_000
     max_keys: int = 10_000
 
     def hot_keys(self, df: DataFrame, keys: list[str]) -> list[int]:
-        """Hashes of the hot keys: at most ``max_keys`` numbers."""
-        counts = df.groupBy(key_hash(keys).alias("key_hash")).agg(F.count("*").alias("rows"))
-        hottest = (
-            counts.filter(F.col("rows") >= self.min_rows)
-            .orderBy(F.desc("rows"), "key_hash")
-            .limit(self.max_keys)
-        )
-        return [row.key_hash for row in hottest.select("key_hash").collect()]
+        """Hashes of the hot keys, counted exactly.
+
+        First all rows are counted by a coarse hash, which map-side combining
+        cuts to a fixed number of counters per task. Only if one of these is
+        large are the keys behind it counted one by one.
+        """
+        hashes = df.select(key_hash(keys).alias("key_hash"))
+        coarse = F.pmod("key_hash", F.lit(_COUNTERS))
+        counters = hashes.groupBy(coarse.alias("counter")).agg(F.count("*").alias("rows")).collect()
+        bound = max(self.min_rows, sum(row["rows"] for row in counters) // self.max_keys)
+        large = [row["counter"] for row in counters if row["rows"] >= bound]
+        if not large:
+            return []
+        counts = hashes.filter(coarse.isin(large)).groupBy("key_hash").agg(F.count("*").alias("rows"))
+        return [row["key_hash"] for row in counts.filter(F.col("rows") >= bound).collect()]
 
 
 DEFAULT_GUARD = SkewGuard()
@@ -49,16 +58,17 @@ def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
-    spread_by: list[str],
+    spread_by: list[str] | None = None,
     guard: SkewGuard = DEFAULT_GUARD,
     max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left join to a lookup that has each ``key`` once.
 
     A lookup of checked size is broadcast and the facts stay where they are.
-    A larger one is shuffled; rows of hot keys are then dealt out over as many
-    salts as there are shuffle partitions, by the values of ``spread_by``, and
-    the few lookup rows they need are repeated once per salt.
+    A larger one is shuffled; rows of hot keys, a missing key included, are
+    then dealt out over as many salts as there are shuffle partitions, and the
+    few lookup rows they need are repeated once per salt. ``spread_by`` names
+    columns that tell the rows of a key apart; without it the row identity does.
     """
     bound = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     if fits_broadcast(lookup, **bound):
@@ -66,9 +76,12 @@ def lookup_join(
     hot = guard.hot_keys(facts, [key])
     if not hot:
         return facts.join(lookup, key, "left")
+    columns = [*facts.columns, *[name for name in lookup.columns if name != key]]
+    if spread_by is None:
+        facts, spread_by = with_row_id(facts), [ROW_ID]
     salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own_salt = F.when(is_hot([key], hot), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0))
     all_salts = F.when(is_hot([key], hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_facts = facts.withColumn("_salt", own_salt.cast("int"))
     salted_lookup = lookup.withColumn("_salt", F.explode(all_salts))
-    return salted_facts.join(salted_lookup, [key, "_salt"], "left").drop("_salt")
+    return salted_facts.join(salted_lookup, [key, "_salt"], "left").select(*columns)

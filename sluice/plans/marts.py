@@ -148,7 +148,7 @@ def sales_by_country(
 def top_countries(country_sales: DataFrame, countries: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` countries with most sales, named; an unknown code has a NULL name."""
     known = country_sales.filter(F.col("country_code").isNotNull())
-    named = lookup_join(known, countries, "country_code", ["sales"])
+    named = lookup_join(known, countries, "country_code", ["country_code"])
     return named.orderBy(F.desc_nulls_last("sales"), "country_code").limit(n)
 
 
@@ -159,7 +159,7 @@ def customers_by_department(customers: DataFrame, departments: DataFrame) -> Dat
         .groupBy("department_code")
         .agg(F.count("*").alias("customers"))
     )
-    named = lookup_join(counted, departments, "department_code", ["customers"])
+    named = lookup_join(counted, departments, "department_code", ["department_code"])
     return named.orderBy(F.desc("customers"), "department_code")
 
 

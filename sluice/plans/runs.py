@@ -75,7 +75,7 @@ def run_feed(
     snapshot = target.upsert(
         structured_rows(feed, staged),
         check_keys=False,
-        with_rejects=True,
+        rejects=rejects.schema,
         replace_rejects=mode == "full",
         state={"high_water": high_water},
     )

@@ -27,6 +27,20 @@ from sluice.operators.upsert import merge_rows, require_unique_keys
 _BUCKET = "bucket"
 
 
+def _from_json(schema: str) -> StructType:
+    return StructType.fromJson(json.loads(schema))
+
+
+def _merged_schema(known: StructType | None, given: StructType, what: str) -> StructType:
+    """Known columns first, new ones after; a known column may not vanish."""
+    if known is None:
+        return given
+    missing = [name for name in known.fieldNames() if name not in given.fieldNames()]
+    if missing:
+        raise ValueError(f"{what} lack columns of the table: {', '.join(missing)}")
+    return StructType([*known.fields, *[field for field in given.fields if field.name not in known.fieldNames()]])
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """What the pointer file of one version says."""
@@ -34,6 +48,7 @@ class Snapshot:
     version: int
     n_buckets: int
     schema: str
+    reject_schema: str | None = None
     buckets: dict[str, int] = field(default_factory=dict)
     reject_versions: list[int] = field(default_factory=list)
     state: dict = field(default_factory=dict)
@@ -65,11 +80,15 @@ class SnapshotTable:
 
     # -- reading ---------------------------------------------------------
 
+    def _pointers(self) -> list[str]:
+        return [n for n in storage.child_names(self.spark, f"{self.path}/pointer") if n.endswith(".json")]
+
+    def _snapshot(self, pointer: str) -> Snapshot:
+        return Snapshot(**json.loads(storage.read_text(self.spark, f"{self.path}/pointer/{pointer}")))
+
     def current(self) -> Snapshot | None:
-        pointers = [n for n in storage.child_names(self.spark, f"{self.path}/pointer") if n.endswith(".json")]
-        if not pointers:
-            return None
-        return Snapshot(**json.loads(storage.read_text(self.spark, f"{self.path}/pointer/{pointers[-1]}")))
+        pointers = self._pointers()
+        return self._snapshot(pointers[-1]) if pointers else None
 
     def read(self) -> DataFrame:
         """Current rows."""
@@ -83,11 +102,11 @@ class SnapshotTable:
         snapshot = self.current()
         if snapshot is None or not snapshot.reject_versions:
             return None
-        paths = [f"{self.path}/rejects/v={v}" for v in snapshot.reject_versions]
-        return self.spark.read.option("mergeSchema", True).parquet(*paths)
+        paths = [self.rejects_path(v) for v in snapshot.reject_versions]
+        return self.spark.read.schema(_from_json(snapshot.reject_schema)).parquet(*paths)
 
     def _scan(self, snapshot: Snapshot, buckets: list[str] | None = None) -> DataFrame:
-        schema = StructType.fromJson(json.loads(snapshot.schema))
+        schema = _from_json(snapshot.schema)
         wanted = sorted(snapshot.buckets if buckets is None else set(buckets) & set(snapshot.buckets), key=int)
         if not wanted:
             return self.spark.createDataFrame([], schema).withColumn(_BUCKET, F.lit(0))
@@ -113,24 +132,25 @@ class SnapshotTable:
         source: DataFrame,
         *,
         check_keys: bool = True,
+        rejects: StructType | None = None,
         replace_rejects: bool = False,
-        with_rejects: bool = False,
         state: dict | None = None,
     ) -> Snapshot:
         """Merge ``source`` by key and publish the result as the next version.
 
         ``source`` is read three times, so hand in a table rather than a long
         plan. ``check_keys=False`` is for sources whose keys are unique by
-        construction. ``with_rejects`` publishes, in the same step, the rejects
-        written to :meth:`rejects_path` of this version. ``state`` entries are
-        kept with the snapshot and carried forward.
+        construction. ``rejects`` is the schema of rejects already written to
+        :meth:`rejects_path` of this version; they are published in the same
+        step, added to the earlier ones or replacing them. ``state`` entries
+        are kept with the snapshot and carried forward.
         """
         if check_keys:
             require_unique_keys(source, self.key)
         old = self.current()
         n_buckets = old.n_buckets if old else self._n_buckets
         version = old.version + 1 if old else 1
-        schema = self._merged_schema(old, source)
+        schema = _merged_schema(_from_json(old.schema) if old else None, source.schema, "upsert rows")
 
         source = source.withColumn(_BUCKET, self._bucket(n_buckets))
         # At most n_buckets numbers.
@@ -144,24 +164,41 @@ class SnapshotTable:
                 .option("partitionOverwriteMode", "static")
                 .parquet(f"{self.path}/data/v={version}")
             )
-        rejects = [] if replace_rejects or old is None else list(old.reject_versions)
+        earlier = [] if replace_rejects or old is None else list(old.reject_versions)
+        reject_schema = old.reject_schema if old else None
+        if rejects is not None:
+            known = _from_json(reject_schema) if earlier else None
+            reject_schema = _merged_schema(known, rejects, "rejects").json()
         snapshot = Snapshot(
             version=version,
             n_buckets=n_buckets,
             schema=schema.json(),
+            reject_schema=reject_schema,
             buckets={**(old.buckets if old else {}), **{b: version for b in touched}},
-            reject_versions=[*rejects, version] if with_rejects else rejects,
+            reject_versions=[*earlier, version] if rejects is not None else earlier,
             state={**(old.state if old else {}), **(state or {})},
         )
         storage.publish_text(self.spark, f"{self.path}/pointer/{version:012d}.json", json.dumps(asdict(snapshot)))
         return snapshot
 
-    def _merged_schema(self, old: Snapshot | None, source: DataFrame) -> StructType:
-        """Known columns first, new ones after; a known column may not vanish."""
-        if old is None:
-            return source.schema
-        known = StructType.fromJson(json.loads(old.schema))
-        missing = [f.name for f in known.fields if f.name not in source.columns]
-        if missing:
-            raise ValueError(f"upsert source lacks columns of the table: {', '.join(missing)}")
-        return StructType([*known.fields, *[f for f in source.schema.fields if f.name not in known.fieldNames()]])
+    def remove_superseded(self, keep: int = 2) -> None:
+        """Delete bucket and reject folders that none of the last ``keep`` versions refers to.
+
+        Run it when no reader still uses an older version.
+        """
+        pointers = self._pointers()
+        kept = [self._snapshot(name) for name in pointers[-keep:]]
+        used = {f"data/v={v}/{_BUCKET}={b}" for s in kept for b, v in s.buckets.items()}
+        used |= {f"rejects/v={v}" for s in kept for v in s.reject_versions}
+        written = [
+            f"data/{v}/{b}"
+            for v in storage.child_names(self.spark, f"{self.path}/data")
+            for b in storage.child_names(self.spark, f"{self.path}/data/{v}")
+            if b.startswith(f"{_BUCKET}=")
+        ]
+        written += [f"rejects/{v}" for v in storage.child_names(self.spark, f"{self.path}/rejects")]
+        for name in pointers[:-keep]:
+            storage.delete(self.spark, f"{self.path}/pointer/{name}")
+        for folder in written:
+            if folder not in used:
+                storage.delete(self.spark, f"{self.path}/{folder}")

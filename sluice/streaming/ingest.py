@@ -69,7 +69,9 @@ def upsert_stream(
         snapshot = target.current()
         if snapshot is not None and snapshot.state.get("stream_batch", -1) >= batch_id:
             return
-        target.upsert(keep_first(batch, [target.key], order), check_keys=False, state={"stream_batch": batch_id})
+        rows = keep_first(batch, [target.key], order).persist()
+        target.upsert(rows, check_keys=False, state={"stream_batch": batch_id})
+        rows.unpersist()
 
     (
         stream.writeStream.foreachBatch(apply)
