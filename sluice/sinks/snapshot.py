@@ -2,9 +2,9 @@
 
 Layout below the table's path::
 
-    data/v=3/bucket=17/...parquet   rows written by version 3
-    rejects/v=3/...                 rejected rows of version 3's run
-    pointer/000000000003.json       which version of each bucket is current
+    data/_version=3/_bucket=17/...parquet   rows written by version 3
+    rejects/v=3/...                         rejected rows of version 3's run
+    pointer/000000000003.json               which version of each bucket is current
 
 A version becomes visible when its pointer file appears, whole; until then
 nothing it wrote is read, and a failed attempt is simply written again. There
@@ -24,7 +24,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from sluice import storage
 from sluice.operators.upsert import merge_rows, require_unique_keys
 
-_BUCKET = "bucket"
+_VERSION, _BUCKET = "_version", "_bucket"
 
 
 def _from_json(schema: str) -> StructType:
@@ -110,7 +110,7 @@ class SnapshotTable:
         wanted = sorted(snapshot.buckets if buckets is None else set(buckets) & set(snapshot.buckets), key=int)
         if not wanted:
             return self.spark.createDataFrame([], schema).withColumn(_BUCKET, F.lit(0))
-        paths = [f"{self.path}/data/v={snapshot.buckets[b]}/{_BUCKET}={b}" for b in wanted]
+        paths = [f"{self.path}/data/{_VERSION}={snapshot.buckets[b]}/{_BUCKET}={b}" for b in wanted]
         with_bucket = StructType([*schema.fields, StructField(_BUCKET, IntegerType())])
         rows = self.spark.read.schema(with_bucket).option("basePath", f"{self.path}/data").parquet(*paths)
         return rows.select(*with_bucket.fieldNames())
@@ -162,7 +162,7 @@ class SnapshotTable:
                 merged.write.mode("overwrite")
                 .partitionBy(_BUCKET, *self.partition_by)
                 .option("partitionOverwriteMode", "static")
-                .parquet(f"{self.path}/data/v={version}")
+                .parquet(f"{self.path}/data/{_VERSION}={version}")
             )
         earlier = [] if replace_rejects or old is None else list(old.reject_versions)
         reject_schema = old.reject_schema if old else None
@@ -188,7 +188,7 @@ class SnapshotTable:
         """
         pointers = self._pointers()
         kept = [self._snapshot(name) for name in pointers[-keep:]]
-        used = {f"data/v={v}/{_BUCKET}={b}" for s in kept for b, v in s.buckets.items()}
+        used = {f"data/{_VERSION}={v}/{_BUCKET}={b}" for s in kept for b, v in s.buckets.items()}
         used |= {f"rejects/v={v}" for s in kept for v in s.reject_versions}
         written = [
             f"data/{v}/{b}"
