@@ -139,7 +139,7 @@ def check_reference(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_reference_shuffled(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    lines = with_file_row_id(table(spark, sf, "lineitem")).select("l_suppkey", "l_quantity", ROW_ID)
     known = table(spark, sf, "supplier").filter("s_acctbal > 2000")
     checked = quality.check_referential_integrity(
         lines, known, "l_suppkey", "s_suppkey", "is_known_supplier", guard=EAGER_GUARD, max_broadcast_rows=0

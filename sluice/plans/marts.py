@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sluice.functions.transforms import line_amount, map_value
 from sluice.operators.skew import DEFAULT_GUARD, SkewGuard, lookup_join
 from sluice.schemas import INSERTED_AT, REGION_OF_COUNTRY
+from sluice.sources.tables import ROW_ID
 
 MONEY = "decimal(28,2)"
 
@@ -131,11 +132,13 @@ def sales_by_country(
     """Sales per country code, including NULL for orders without a known country.
 
     Prices join to single orders, where a best-seller may be hot: that join is
-    broadcast or salted. Amounts are then summed per customer, so that the join
+    broadcast, or salted by the identity of the rows (``order_id`` if they carry
+    no other). Amounts are then summed per customer, so that the join
     to customers again meets each key once.
     """
-    lines = orders.select("order_id", "customer_id", "product_id", "quantity")
-    priced = lookup_join(lines, products.select("product_id", "price"), "product_id", ["order_id"], guard)
+    identity = ROW_ID if ROW_ID in orders.columns else "order_id"
+    lines = orders.select(identity, "customer_id", "product_id", "quantity")
+    priced = lookup_join(lines, products.select("product_id", "price"), "product_id", [identity], guard)
     per_customer = (
         priced.select("customer_id", line_amount("quantity", "price").alias("amount"))
         .groupBy("customer_id")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.skew import lookup_join
 from sluice.schemas import CORRUPT, INSERTED_AT
 from sluice.sources.tables import ROW_ID, read_path, with_file_row_id
 
@@ -38,7 +39,8 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     orders = with_file_row_id(table(spark, folder, "orders"))
     nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     customers = table(spark, folder, "customer").join(nation, "c_nationkey")
-    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    customers = customers.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "n_name")
+    joined = lookup_join(orders, customers, "o_custkey", [ROW_ID])
     urgent = F.col("o_orderpriority") == "1-URGENT"
     return joined.select(
         F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("C"), "o_custkey")).alias("customer_id"),
@@ -87,13 +89,14 @@ def raw_products(spark: SparkSession, folder: str) -> DataFrame:
 
 def sales_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Structured orders, customers and products for the business reports."""
-    lines = table(spark, folder, "lineitem")
+    lines = with_file_row_id(table(spark, folder, "lineitem"))
     headers = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    orders = lines.join(headers, "l_orderkey", "left").select(
+    orders = lookup_join(lines, headers, "l_orderkey", [ROW_ID]).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
+        ROW_ID,
     )
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("customer_id"),

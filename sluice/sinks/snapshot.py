@@ -4,7 +4,7 @@ Layout below the table's path::
 
     data/_version=3/_bucket=17/...parquet   rows written by version 3
     rejects/v=3/...                         rejected rows of version 3's run
-    pointer/000000000003.json               which version of each bucket is current
+    pointer/000000000003.json               which (version, bucket) folders are current
 
 A version becomes visible when its pointer file appears, whole; until then
 nothing it wrote is read, and a failed attempt is simply written again. There
@@ -15,6 +15,7 @@ against concurrent ones beyond refusing to publish a version twice.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +50,7 @@ class Snapshot:
     n_buckets: int
     schema: str
     reject_schema: str | None = None
-    buckets: dict[str, int] = field(default_factory=dict)
+    segments: list[list[int]] = field(default_factory=list)
     reject_versions: list[int] = field(default_factory=list)
     state: dict = field(default_factory=dict)
 
@@ -57,11 +58,16 @@ class Snapshot:
 class SnapshotTable:
     """Rows with a unique, non-NULL ``key``, spread over hash buckets.
 
-    An upsert rewrites only the buckets its source touches. Buckets use the
-    hash of Spark's own shuffles: with shuffle partitions equal to ``n_buckets``
-    (or a multiple) a task that comes out of the join on the key writes to one
-    bucket, so the layout needs no shuffle of its own. ``n_buckets`` is fixed
-    when the table is first written and defaults to the shuffle partitions.
+    Each version adds at most one folder, a segment, per bucket. An upsert
+    rewrites the segments that hold a key of its source, and no others: rows
+    with new keys are only added. A bucket of ``max_segments`` is rewritten
+    whole when next touched, so that files neither get many nor stay small.
+
+    Buckets use the hash of Spark's own shuffles: with shuffle partitions equal
+    to ``n_buckets`` (or a multiple) a task that comes out of the join on the
+    key writes to one bucket, so the layout needs no shuffle of its own.
+    ``n_buckets`` is fixed when the table is first written and defaults to the
+    shuffle partitions.
     """
 
     def __init__(
@@ -71,11 +77,13 @@ class SnapshotTable:
         key: str,
         n_buckets: int | None = None,
         partition_by: list[str] | None = None,
+        max_segments: int = 8,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.partition_by = partition_by or []
+        self.max_segments = max_segments
         self._n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # -- reading ---------------------------------------------------------
@@ -95,7 +103,7 @@ class SnapshotTable:
         snapshot = self.current()
         if snapshot is None:
             raise FileNotFoundError(f"nothing published at {self.path}")
-        return self._scan(snapshot).drop(_BUCKET)
+        return self._scan(snapshot, snapshot.segments).drop(_VERSION, _BUCKET)
 
     def read_rejects(self) -> DataFrame | None:
         """Rejected rows of the published runs; None before the first one."""
@@ -105,15 +113,15 @@ class SnapshotTable:
         paths = [self.rejects_path(v) for v in snapshot.reject_versions]
         return self.spark.read.schema(_from_json(snapshot.reject_schema)).parquet(*paths)
 
-    def _scan(self, snapshot: Snapshot, buckets: list[str] | None = None) -> DataFrame:
-        schema = _from_json(snapshot.schema)
-        wanted = sorted(snapshot.buckets if buckets is None else set(buckets) & set(snapshot.buckets), key=int)
-        if not wanted:
-            return self.spark.createDataFrame([], schema).withColumn(_BUCKET, F.lit(0))
-        paths = [f"{self.path}/data/{_VERSION}={snapshot.buckets[b]}/{_BUCKET}={b}" for b in wanted]
-        with_bucket = StructType([*schema.fields, StructField(_BUCKET, IntegerType())])
-        rows = self.spark.read.schema(with_bucket).option("basePath", f"{self.path}/data").parquet(*paths)
-        return rows.select(*with_bucket.fieldNames())
+    def _scan(self, snapshot: Snapshot, segments: list[list[int]]) -> DataFrame:
+        schema = StructType(
+            [*_from_json(snapshot.schema).fields, *(StructField(name, IntegerType()) for name in (_VERSION, _BUCKET))]
+        )
+        if not segments:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path}/data/{_VERSION}={version}/{_BUCKET}={bucket}" for version, bucket in segments]
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+        return rows.select(*schema.fieldNames())
 
     # -- writing ---------------------------------------------------------
 
@@ -138,7 +146,7 @@ class SnapshotTable:
     ) -> Snapshot:
         """Merge ``source`` by key and publish the result as the next version.
 
-        ``source`` is read three times, so hand in a table rather than a long
+        ``source`` is read several times, so hand in a table rather than a long
         plan. ``check_keys=False`` is for sources whose keys are unique by
         construction. ``rejects`` is the schema of rejects already written to
         :meth:`rejects_path` of this version; they are published in the same
@@ -153,17 +161,21 @@ class SnapshotTable:
         schema = _merged_schema(_from_json(old.schema) if old else None, source.schema, "upsert rows")
 
         source = source.withColumn(_BUCKET, self._bucket(n_buckets))
+        keys = source.select(self.key)
         # At most n_buckets numbers.
-        touched = [str(row[_BUCKET]) for row in source.select(_BUCKET).distinct().collect()]
+        touched = {row[0] for row in source.select(_BUCKET).distinct().collect()}
+        replaced = self._segments_to_rewrite(old, touched, keys) if old else []
         if touched:
             placed = source.hint("rebalance", _BUCKET)
-            merged = merge_rows(self._scan(old, touched), placed, self.key) if old else placed
+            if replaced:
+                placed = merge_rows(self._scan(old, replaced).drop(_VERSION), placed, self.key)
             (
-                merged.write.mode("overwrite")
+                placed.write.mode("overwrite")
                 .partitionBy(_BUCKET, *self.partition_by)
                 .option("partitionOverwriteMode", "static")
                 .parquet(f"{self.path}/data/{_VERSION}={version}")
             )
+        current = [segment for segment in (old.segments if old else []) if segment not in replaced]
         earlier = [] if replace_rejects or old is None else list(old.reject_versions)
         reject_schema = old.reject_schema if old else None
         if rejects is not None:
@@ -174,21 +186,31 @@ class SnapshotTable:
             n_buckets=n_buckets,
             schema=schema.json(),
             reject_schema=reject_schema,
-            buckets={**(old.buckets if old else {}), **{b: version for b in touched}},
+            segments=[*current, *([version, bucket] for bucket in sorted(touched))],
             reject_versions=[*earlier, version] if rejects is not None else earlier,
             state={**(old.state if old else {}), **(state or {})},
         )
         storage.publish_text(self.spark, f"{self.path}/pointer/{version:012d}.json", json.dumps(asdict(snapshot)))
         return snapshot
 
+    def _segments_to_rewrite(self, old: Snapshot, touched: set[int], keys: DataFrame) -> list[list[int]]:
+        """Segments with a row to replace, and all segments of touched buckets that have too many."""
+        candidates = [segment for segment in old.segments if segment[1] in touched]
+        if not candidates:
+            return []
+        found = self._scan(old, candidates).select(self.key, _VERSION, _BUCKET).join(keys, self.key, "left_semi")
+        hit = {(row[0], row[1]) for row in found.select(_VERSION, _BUCKET).distinct().collect()}
+        held = Counter(bucket for _, bucket in candidates)
+        return [[v, b] for v, b in candidates if (v, b) in hit or held[b] >= self.max_segments]
+
     def remove_superseded(self, keep: int = 2) -> None:
-        """Delete bucket and reject folders that none of the last ``keep`` versions refers to.
+        """Delete segment and reject folders that none of the last ``keep`` versions refers to.
 
         Run it when no reader still uses an older version.
         """
         pointers = self._pointers()
         kept = [self._snapshot(name) for name in pointers[-keep:]]
-        used = {f"data/{_VERSION}={v}/{_BUCKET}={b}" for s in kept for b, v in s.buckets.items()}
+        used = {f"data/{_VERSION}={v}/{_BUCKET}={b}" for s in kept for v, b in s.segments}
         used |= {f"rejects/v={v}" for s in kept for v in s.reject_versions}
         written = [
             f"data/{v}/{b}"

@@ -15,6 +15,7 @@ def read_feed_stream(
     sep: str = ",",
     *,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | str | None = None,
     match_header: bool = False,
 ) -> DataFrame:
     """Stream the CSV files of a folder, new ones as they arrive.
@@ -22,7 +23,7 @@ def read_feed_stream(
     A malformed line is kept: its text goes to the corrupt-record column, which
     must be part of ``schema``, and its well-formed fields are still parsed.
     Columns bind by position; ``match_header`` makes a file whose header names
-    differ fail instead.
+    differ fail instead. The limits cut a large backlog into micro-batches.
     """
     reader = (
         spark.readStream.format("csv")
@@ -35,6 +36,8 @@ def read_feed_stream(
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path)
 
 

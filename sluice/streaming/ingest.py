@@ -42,17 +42,13 @@ def ingest_feed(
     *,
     table: str | None = None,
     path: str | None = None,
-    max_files_per_trigger: int | None = None,
-    match_header: bool = False,
+    **source_options,
 ) -> None:
-    """Land a feed's new CSV files, stamped, in its raw table or folder."""
-    stream = read_feed_stream(
-        spark,
-        source_path,
-        feed.schema,
-        max_files_per_trigger=max_files_per_trigger,
-        match_header=match_header,
-    )
+    """Land a feed's new CSV files, stamped, in its raw table or folder.
+
+    ``source_options`` are those of :func:`sluice.sources.csv.read_feed_stream`.
+    """
+    stream = read_feed_stream(spark, source_path, feed.schema, **source_options)
     append_stream(stamp(stream), checkpoint_path, table=table, path=path)
 
 

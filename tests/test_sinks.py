@@ -37,14 +37,22 @@ def test_upsert_refuses_bad_keys(spark, tmp_path, rows):
     assert target.current() is None
 
 
-def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
-    target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=8)
+def test_upsert_rewrites_only_what_it_replaces(spark, tmp_path):
+    target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=4, max_segments=3)
     many = spark.range(200).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("old").alias("v"))
-    target.upsert(many)
+    assert target.upsert(many).segments == [[1, b] for b in range(4)]
     snapshot = target.upsert(keyed(spark, [("k7", "new")]))
-    assert sorted(snapshot.buckets.values()) == [1] * 7 + [2]
+    assert sorted(v for v, _ in snapshot.segments) == [1, 1, 1, 2]
     assert target.read().count() == 200 and content(target.read())["k7"] == ("new",)
 
+    more = spark.range(200, 300).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("more").alias("v"))
+    snapshot = target.upsert(more)
+    assert sorted(v for v, _ in snapshot.segments) == [1, 1, 1, 2, 3, 3, 3, 3]
+    for start in (300, 400):
+        snapshot = target.upsert(spark.range(start, start + 100).select(F.concat(F.lit("k"), "id").alias("k"), F.lit("more").alias("v")))
+    assert sorted(v for v, _ in snapshot.segments) == [5, 5, 5, 5]
+    assert target.read().count() == 500 == target.read().select("k").distinct().count()
+
 
 def test_bucket_is_the_hash_of_a_shuffle(spark, tmp_path):
     target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=8)
