@@ -34,7 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 table = star_schema.table
 
 # Low bounds, so that the plans for hot keys and large lookups run on test data too.
-EAGER_GUARD = SkewGuard(min_rows=200, max_keys=10_000)
+EAGER_GUARD = SkewGuard(min_rows=200)
 
 
 def _day(column: str):

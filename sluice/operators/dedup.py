@@ -41,36 +41,34 @@ def tag_first(
 ) -> DataFrame:
     """Add a boolean: is the row the first of its key? Exempt rows always are.
 
-    Ordinary keys are ranked in one window. The rows of a hot key would all
-    meet in one task there, so its first row is found apart, with the map-side
-    cut of :func:`keep_first`, and its rows are compared with that one's
-    identity. In the window they, like exempt rows, are spread by identity.
+    Ordinary keys are ranked in one window, where exempt rows are spread by
+    their identity. The rows of a hot key would all meet in one task there.
+    They stay where they are instead: the first one is found with the map-side
+    cut of :func:`keep_first`, and all are compared with its identity.
     """
     columns = df.columns
     order = order or total_order(df, keys) or [F.col(keys[0])]
     subject = F.lit(True) if exempt is None else ~exempt
     hot = guard.hot_keys(df.filter(subject), keys)
-    window_keys = [F.col(name) for name in keys]
-
     if hot or exempt is not None:
         df = with_row_id(df)
-        apart = is_hot(keys, hot) if exempt is None else exempt | is_hot(keys, hot)
-        df = df.withColumn("_spread", F.when(apart, F.xxhash64(ROW_ID)))
-        window_keys.append(F.col("_spread"))
-    ranked_first = F.row_number().over(Window.partitionBy(*window_keys).orderBy(*order)) == 1
 
+    apart = subject & is_hot(keys, hot)
+    cold = df.filter(~apart) if hot else df
+    if exempt is None:
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1
+    else:
+        cold = cold.withColumn("_spread", F.when(exempt, F.xxhash64(ROW_ID)))
+        first = exempt | (F.row_number().over(Window.partitionBy(*keys, "_spread").orderBy(*order)) == 1)
+    tagged = cold.select(*columns, first.alias(tag))
     if not hot:
-        first = ranked_first if exempt is None else exempt | ranked_first
-        return df.select(*columns, first.alias(tag))
+        return tagged
 
-    hot_rows = df.filter(subject & is_hot(keys, hot))
+    hot_rows = df.filter(apart)
     winners = keep_first(hot_rows, keys, [*order, F.col(ROW_ID)]).select(ROW_ID, F.lit(True).alias("_won"))
-    # One row for each of at most guard.max_keys hot hashes.
-    tagged = df.join(F.broadcast(winners), ROW_ID, "left")
-    first = F.when(is_hot(keys, hot), F.coalesce("_won", F.lit(False))).otherwise(ranked_first)
-    if exempt is not None:
-        first = F.when(exempt, F.lit(True)).otherwise(first)
-    return tagged.select(*columns, first.alias(tag))
+    # One row for each key behind at most guard.max_keys hot hashes.
+    judged = hot_rows.join(F.broadcast(winners), ROW_ID, "left")
+    return tagged.unionByName(judged.select(*columns, F.coalesce("_won", F.lit(False)).alias(tag)))
 
 
 def split_duplicates(

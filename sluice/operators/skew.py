@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.operators.sizing import fits_broadcast
 from sluice.sources.tables import ROW_ID, with_row_id
 
-_COUNTERS = 65_536
+_COUNTERS = 16_384
 
 
 def key_hash(keys: list[str]) -> Column:
@@ -31,7 +31,7 @@ class SkewGuard:
     """
 
     min_rows: int = 1_000_000
-    max_keys: int = 10_000
+    max_keys: int = 2_000
 
     def hot_keys(self, df: DataFrame, keys: list[str]) -> list[int]:
         """Hashes of the hot keys, counted exactly.
@@ -41,14 +41,15 @@ class SkewGuard:
         large are the keys behind it counted one by one.
         """
         hashes = df.select(key_hash(keys).alias("key_hash"))
-        coarse = F.pmod("key_hash", F.lit(_COUNTERS))
-        counters = hashes.groupBy(coarse.alias("counter")).agg(F.count("*").alias("rows")).collect()
-        bound = max(self.min_rows, sum(row["rows"] for row in counters) // self.max_keys)
-        large = [row["counter"] for row in counters if row["rows"] >= bound]
-        if not large:
+        counter = F.pmod("key_hash", F.lit(_COUNTERS))
+        counters = hashes.groupBy(counter.alias("counter")).agg(F.count("*").alias("rows"))
+        total, largest = counters.agg(F.sum("rows"), F.max("rows")).first()
+        bound = max(self.min_rows, (total or 0) // self.max_keys)
+        if (largest or 0) < bound:
             return []
-        counts = hashes.filter(coarse.isin(large)).groupBy("key_hash").agg(F.count("*").alias("rows"))
-        return [row["key_hash"] for row in counts.filter(F.col("rows") >= bound).collect()]
+        large = [row["counter"] for row in counters.filter(F.col("rows") >= bound).select("counter").collect()]
+        counts = hashes.filter(counter.isin(large)).groupBy("key_hash").agg(F.count("*").alias("rows"))
+        return [row["key_hash"] for row in counts.filter(F.col("rows") >= bound).select("key_hash").collect()]
 
 
 DEFAULT_GUARD = SkewGuard()
