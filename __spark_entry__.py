@@ -20,9 +20,10 @@ from sluice.operators.skew import SkewGuard  # noqa: E402
 from sluice.plans import marts, star_schema  # noqa: E402
 from sluice.plans.feeds import CUSTOMERS, ORDERS, PRODUCTS  # noqa: E402
 from sluice.plans.routing import rejected_rows, route, structured_rows  # noqa: E402
-from sluice.plans.runs import run_feed, structured_table  # noqa: E402
+from sluice.plans.runs import run_feed, run_feed_into_catalog, structured_table  # noqa: E402
 from sluice.schemas import CORRUPT, INSERTED_AT, STRUCTURED_AT  # noqa: E402
 from sluice.sinks.append import write_append, write_merge, write_rejected_records  # noqa: E402
+from sluice.sinks.catalog import set_up_tables  # noqa: E402
 from sluice.sinks.snapshot import SnapshotTable  # noqa: E402
 from sluice.sources.csv import read_static_csv  # noqa: E402
 from sluice.sources.tables import ROW_ID, read_path, rows_after, select_where, with_file_row_id  # noqa: E402
@@ -378,6 +379,30 @@ def append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+def catalog_setup(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables of the layers are created, twice; product records then go to theirs."""
+    prefix = f"sluice_{uuid.uuid4().hex}_"
+    for _ in range(2):
+        set_up_tables(spark, scratch_path(spark, "catalog"), prefix)
+    raw = star_schema.raw_products(spark, sf).drop(ROW_ID, INSERTED_AT)
+    write_append(raw.select(*reversed(raw.columns)), f"{prefix}raw.products")
+    return spark.table(f"{prefix}raw.products").drop(INSERTED_AT)
+
+
+def catalog_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Product records structured twice into catalog tables; rows of both tables, counted."""
+    prefix = f"sluice_{uuid.uuid4().hex}_"
+    set_up_tables(spark, scratch_path(spark, "catalog"), prefix)
+    raw = star_schema.raw_products(spark, sf).drop(ROW_ID)
+    write_append(raw.withColumn(INSERTED_AT, F.col(INSERTED_AT).cast("timestamp")), f"{prefix}raw.products")
+    names = [f"{prefix}raw.products", f"{prefix}structured.products", f"{prefix}structured.products_rejected"]
+    for _ in range(2):
+        run_feed_into_catalog(PRODUCTS, *names)
+    kept = spark.table(names[1]).select(F.col("price_category").alias("kind"), "price")
+    rejects = spark.table(names[2]).select(F.col("rejection_reason").alias("kind"), "price")
+    return kept.unionByName(rejects).groupBy("kind").agg(F.count("*").alias("rows"), F.max("price").alias("highest"))
+
+
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     name = f"{_scratch_database(spark)}.customers_rejected"
     customers = quality.check_email_format(_customers_with_gaps(spark, sf), "email")
@@ -502,6 +527,8 @@ QUERIES: dict[str, Query] = {
         merge_upsert,
         merge_catalog_table,
         append_partitioned,
+        catalog_setup,
+        catalog_run,
         quarantine,
         stream_ingest,
         stream_upsert,

@@ -333,6 +333,13 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
                CAST(year(o_orderdate) AS INTEGER) AS order_year
         FROM orders""",
+    "catalog_setup": f"SELECT product_id, product_name, category, price, _corrupt_records FROM ({RAW_PRODUCTS})",
+    "catalog_run": f"""
+        SELECT kind, count(*) AS rows, max(price) AS highest
+        FROM (SELECT price, CASE WHEN outcome <> 'clean' THEN rejection_reason WHEN price < 50 THEN 'Budget'
+                                 WHEN price < 200 THEN 'Mid-Range' WHEN price < 500 THEN 'Premium' ELSE 'Luxury' END AS kind
+              FROM {ROUTED_PRODUCTS} r)
+        GROUP BY kind""",
     "quarantine": f"""
         SELECT c_custkey, c_acctbal, c_mktsegment, email, 'Data quality check failed' AS rejection_reason
         FROM {CUSTOMERS_WITH_GAPS} c WHERE {GAP_EMAIL}""",

@@ -148,6 +148,11 @@ def sales_by_country(
     return located.groupBy("country_code").agg(_sum_money("amount").alias("sales"))
 
 
+def sales_over_countries(country_sales: DataFrame) -> DataFrame:
+    """Total sales from the sums of :func:`sales_by_country`."""
+    return country_sales.agg(_sum_money("sales").alias("total_sales"))
+
+
 def top_countries(country_sales: DataFrame, countries: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` countries with most sales, named; an unknown code has a NULL name."""
     known = country_sales.filter(F.col("country_code").isNotNull())

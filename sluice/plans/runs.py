@@ -13,6 +13,7 @@ from sluice.operators.skew import DEFAULT_GUARD, SkewGuard
 from sluice.plans.feeds import FEEDS, Feed
 from sluice.plans.routing import rejected_rows, route, structured_rows
 from sluice.schemas import INSERTED_AT
+from sluice.sinks.append import write_merge, write_replace
 from sluice.sinks.snapshot import Snapshot, SnapshotTable
 from sluice.sources.tables import ROW_ID, read_path, with_file_row_id
 from sluice.streaming.ingest import ingest_feed
@@ -84,6 +85,29 @@ def run_feed(
     return snapshot
 
 
+def run_feed_into_catalog(
+    feed: Feed,
+    raw_table: str,
+    structured_table_name: str,
+    rejected_table: str,
+    lookups: Mapping[str, DataFrame] | None = None,
+    **routing,
+) -> None:
+    """Route a whole raw table into catalog tables: clean rows are merged, the quarantine is replaced.
+
+    For lakes that live in the catalog. ``routing`` options are those of
+    :func:`sluice.plans.routing.route`.
+    """
+    spark = SparkSession.getActiveSession()
+    routed = route(feed, with_file_row_id(spark.table(raw_table)), lookups, **routing)
+    stage = storage.scratch_path(spark, f"routed-{feed.name}")
+    routed.drop(ROW_ID).write.partitionBy("outcome").parquet(stage)
+    staged = read_path(spark, stage)
+    write_merge(structured_rows(feed, staged), structured_table_name, feed.key, check_keys=False)
+    write_replace(rejected_rows(feed, staged), rejected_table)
+    storage.delete(spark, stage)
+
+
 def run_all(
     spark: SparkSession,
     source_root: str,

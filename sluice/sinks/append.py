@@ -37,6 +37,13 @@ def write_append(df: DataFrame, table_name: str, partition_columns: list[str] |
     writer.format("parquet").saveAsTable(table_name)
 
 
+def write_replace(df: DataFrame, table_name: str) -> None:
+    """Replace all rows of an existing table; the frame must not read from it."""
+    spark = df.sparkSession
+    _widen(spark, table_name, df)
+    _conform(spark, table_name, df).write.insertInto(table_name, overwrite=True)
+
+
 def rejected(df: DataFrame, rejection_reason: str) -> DataFrame:
     return df.withColumns({"rejection_reason": F.lit(rejection_reason), "rejected_at": F.current_timestamp()})
 
@@ -46,7 +53,7 @@ def write_rejected_records(df: DataFrame, table_name: str, rejection_reason: str
     write_append(rejected(df, rejection_reason), table_name)
 
 
-def write_merge(df: DataFrame, table_name: str, key: str) -> None:
+def write_merge(df: DataFrame, table_name: str, key: str, check_keys: bool = True) -> None:
     """Upsert into a catalog table; its single writer is the caller.
 
     A table format with row-level operations merges in place. A parquet table
@@ -56,7 +63,8 @@ def write_merge(df: DataFrame, table_name: str, key: str) -> None:
     rewrites only the buckets a batch touches.
     """
     spark = df.sparkSession
-    require_unique_keys(df, key)
+    if check_keys:
+        require_unique_keys(df, key)
     details = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table_name}").collect()}
     if details.get("Provider", "").lower() != "parquet":
         merge = df.alias("source").mergeInto(table_name, F.expr(f"{table_name}.`{key}` = source.`{key}`"))

@@ -25,6 +25,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from sluice import storage
 from sluice.operators.upsert import merge_rows, require_unique_keys
 
+MAX_DEFAULT_BUCKETS = 2_048
 _VERSION, _BUCKET = "_version", "_bucket"
 
 
@@ -64,10 +65,11 @@ class SnapshotTable:
     whole when next touched, so that files neither get many nor stay small.
 
     Buckets use the hash of Spark's own shuffles: with shuffle partitions equal
-    to ``n_buckets`` (or a multiple) a task that comes out of the join on the
-    key writes to one bucket, so the layout needs no shuffle of its own.
-    ``n_buckets`` is fixed when the table is first written and defaults to the
-    shuffle partitions.
+    to ``n_buckets`` or a multiple, a task that comes out of the join on the key
+    writes to one bucket, and the layout needs no shuffle of its own. With other
+    settings rows are shuffled to their buckets before the write. ``n_buckets``
+    is fixed when the table is first written; by default it is the number of
+    shuffle partitions, up to a bound that keeps the pointer file small.
     """
 
     def __init__(
@@ -84,7 +86,10 @@ class SnapshotTable:
         self.key = key
         self.partition_by = partition_by or []
         self.max_segments = max_segments
-        self._n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._n_buckets = n_buckets or min(self._shuffle_partitions(), MAX_DEFAULT_BUCKETS)
+
+    def _shuffle_partitions(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     # -- reading ---------------------------------------------------------
 
@@ -169,6 +174,8 @@ class SnapshotTable:
             placed = source.hint("rebalance", _BUCKET)
             if replaced:
                 placed = merge_rows(self._scan(old, replaced).drop(_VERSION), placed, self.key)
+                if self._shuffle_partitions() % n_buckets:
+                    placed = placed.hint("rebalance", _BUCKET)
             (
                 placed.write.mode("overwrite")
                 .partitionBy(_BUCKET, *self.partition_by)

@@ -61,6 +61,22 @@ def test_bucket_is_the_hash_of_a_shuffle(spark, tmp_path):
     assert placed.count() == 0
 
 
+@pytest.mark.parametrize("n_buckets", [4, 3])
+def test_update_of_all_rows_writes_few_files_per_bucket(spark, tmp_path, n_buckets):
+    target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=n_buckets)
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        target.upsert(rows)
+        target.upsert(rows.filter("k < 1000").withColumn("v", F.lit("y")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = target.read().select(F.input_file_name().alias("f")).distinct().count()
+    assert files <= 3 * 8 and target.read().filter("v = 'y'").count() == 1000 == target.read().filter("v = 'x'").count()
+
+
 def test_new_columns_widen_the_table_and_lost_ones_are_refused(spark, tmp_path):
     target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=2)
     target.upsert(keyed(spark, [("A", "1"), ("B", "2")]))
