@@ -18,7 +18,10 @@ def key_hash(keys: list[str]) -> Column:
 
 
 def is_hot(keys: list[str], hot: list[int]) -> Column:
-    return key_hash(keys).isin(hot) if hot else F.lit(False)
+    if not hot:
+        return F.lit(False)
+    names = ", ".join(f"`{name}`" for name in keys)
+    return F.expr(f"xxhash64({names}) IN ({', '.join(f'{h}L' for h in hot)})")
 
 
 @dataclass(frozen=True)
@@ -48,7 +51,7 @@ class SkewGuard:
         if (largest or 0) < bound:
             return []
         large = [row["counter"] for row in counters.filter(F.col("rows") >= bound).select("counter").collect()]
-        counts = hashes.filter(counter.isin(large)).groupBy("key_hash").agg(F.count("*").alias("rows"))
+        counts = hashes.filter(F.expr(f"pmod(key_hash, {_COUNTERS}) IN ({', '.join(map(str, large))})")).groupBy("key_hash").agg(F.count("*").alias("rows"))
         return [row["key_hash"] for row in counts.filter(F.col("rows") >= bound).select("key_hash").collect()]
 
 
