@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,18 +12,17 @@ from pyspark.sql import functions as F
 from sluice.operators.sizing import fits_broadcast
 from sluice.sources.tables import ROW_ID, with_row_id
 
-_COUNTERS = 16_384
+_COUNTERS = 131_072
 
 
 def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(name) for name in keys])
 
 
-def is_hot(keys: list[str], hot: list[int]) -> Column:
-    if not hot:
-        return F.lit(False)
+def is_hot(keys: list[str], hot: Iterable[int]) -> Column:
+    listed = ", ".join(f"{value}L" for value in hot)
     names = ", ".join(f"`{name}`" for name in keys)
-    return F.expr(f"xxhash64({names}) IN ({', '.join(f'{h}L' for h in hot)})")
+    return F.expr(f"xxhash64({names}) IN ({listed})") if listed else F.lit(False)
 
 
 @dataclass(frozen=True)
@@ -34,25 +35,27 @@ class SkewGuard:
     """
 
     min_rows: int = 1_000_000
-    max_keys: int = 2_000
+    max_keys: int = 20_000
 
-    def hot_keys(self, df: DataFrame, keys: list[str]) -> list[int]:
-        """Hashes of the hot keys, counted exactly.
+    def hot_keys(self, df: DataFrame, keys: list[str]) -> dict[int, float]:
+        """Hashes of the hot keys, counted exactly, and their shares of all rows.
 
         First all rows are counted by a coarse hash, which map-side combining
         cuts to a fixed number of counters per task. Only if one of these is
         large are the keys behind it counted one by one.
         """
         hashes = df.select(key_hash(keys).alias("key_hash"))
-        counter = F.pmod("key_hash", F.lit(_COUNTERS))
-        counters = hashes.groupBy(counter.alias("counter")).agg(F.count("*").alias("rows"))
+        counter = F.pmod("key_hash", F.lit(_COUNTERS)).alias("counter")
+        counters = hashes.groupBy(counter).agg(F.count("*").alias("rows"))
         total, largest = counters.agg(F.sum("rows"), F.max("rows")).first()
         bound = max(self.min_rows, (total or 0) // self.max_keys)
         if (largest or 0) < bound:
-            return []
-        large = [row["counter"] for row in counters.filter(F.col("rows") >= bound).select("counter").collect()]
-        counts = hashes.filter(F.expr(f"pmod(key_hash, {_COUNTERS}) IN ({', '.join(map(str, large))})")).groupBy("key_hash").agg(F.count("*").alias("rows"))
-        return [row["key_hash"] for row in counts.filter(F.col("rows") >= bound).select("key_hash").collect()]
+            return {}
+        # At most total/bound counters, so no more than max_keys; likewise the keys below.
+        large = F.broadcast(counters.filter(F.col("rows") >= bound).select("counter"))
+        suspects = hashes.withColumn("counter", counter).join(large, "counter", "left_semi")
+        counts = suspects.groupBy("key_hash").agg(F.count("*").alias("rows")).filter(F.col("rows") >= bound)
+        return {row["key_hash"]: row["rows"] / total for row in counts.collect()}
 
 
 DEFAULT_GUARD = SkewGuard()
@@ -70,9 +73,10 @@ def lookup_join(
 
     A lookup of checked size is broadcast and the facts stay where they are.
     A larger one is shuffled; rows of hot keys, a missing key included, are
-    then dealt out over as many salts as there are shuffle partitions, and the
-    few lookup rows they need are repeated once per salt. ``spread_by`` names
-    columns that tell the rows of a key apart; without it the row identity does.
+    then dealt out over salts, as many as an average shuffle partition goes
+    into the key's share, and their lookup row is repeated once per salt.
+    ``spread_by`` names columns that tell the rows of a key apart; without it
+    the row identity does.
     """
     bound = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     if fits_broadcast(lookup, **bound):
@@ -83,9 +87,18 @@ def lookup_join(
     columns = [*facts.columns, *[name for name in lookup.columns if name != key]]
     if spread_by is None:
         facts, spread_by = with_row_id(facts), [ROW_ID]
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own_salt = F.when(is_hot([key], hot), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0))
-    all_salts = F.when(is_hot([key], hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_facts = facts.withColumn("_salt", own_salt.cast("int"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(all_salts))
+
+    spark = facts.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = [(value, 1 + math.ceil(share * partitions)) for value, share in hot.items()]
+    # At most guard.max_keys rows of two numbers.
+    salts = F.broadcast(spark.createDataFrame(salts, "_hash long, _salts int"))
+
+    def with_salts(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("_hash", key_hash([key])).join(salts, "_hash", "left")
+
+    own_salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_salts")), F.lit(0)).cast("int")
+    all_salts = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    salted_facts = with_salts(facts).withColumn("_salt", own_salt)
+    salted_lookup = with_salts(lookup).withColumn("_salt", all_salts).drop("_hash", "_salts")
     return salted_facts.join(salted_lookup, [key, "_salt"], "left").select(*columns)

@@ -51,6 +51,8 @@ def route(
     ``raw`` should carry a row identity (:func:`sluice.sources.tables.with_file_row_id`);
     a frame without one is written out once to get it.
     """
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
     columns = raw.columns
     rules = feed.all_rules()
     tagged = raw.withColumns({rule.flag: rule.expression for rule in rules if rule.expression is not None})

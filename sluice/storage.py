@@ -20,14 +20,14 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder, since executors
     on other machines could not read it.
     """
-    configured = spark.conf.get(_CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(_CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="sluice-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -71,8 +71,9 @@ def test_composite_keys(frame, rows):
 def test_hot_keys_are_counted_exactly(frame):
     names = frame.select("k", F.xxhash64("k").alias("h")).distinct()
     hot = HOT.hot_keys(frame, ["k"])
-    assert {r.k for r in names.filter(F.col("h").isin(hot)).collect()} == {"hot", "copies", None}
-    assert COLD.hot_keys(frame, ["k"]) == []
+    assert {r.k for r in names.filter(F.col("h").isin(list(hot))).collect()} == {"hot", "copies", None}
+    assert sorted(hot.values()) == [60 / 900, 1 / 3, 1 / 3]
+    assert COLD.hot_keys(frame, ["k"]) == {}
     assert len(SkewGuard(min_rows=1, max_keys=4).hot_keys(frame, ["k"])) <= 4
 
 
