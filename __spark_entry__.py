@@ -98,12 +98,13 @@ def split_corrupt_bad(spark: SparkSession, sf: str) -> DataFrame:
 
 def _customers_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """Customers with an email each; segments of some nations and some emails are missing."""
+    address = F.concat(F.replace("c_name", F.lit("#"), F.lit("_")), F.lit("@mail.example.org"))
     return table(spark, sf, "customer").select(
         "c_custkey",
         "c_acctbal",
         F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("c_mktsegment"),
         F.when(F.col("c_mktsegment") == "FURNITURE", F.col("c_name"))
-        .when(F.col("c_mktsegment") != "MACHINERY", F.concat(F.replace("c_name", F.lit("#"), F.lit("_")), F.lit("@mail.example.org")))
+        .when(F.col("c_mktsegment") != "MACHINERY", address)
         .alias("email"),
     )
 
@@ -227,8 +228,8 @@ def clean_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def price_bands(spark: SparkSession, sf: str) -> DataFrame:
-    values = table(spark, sf, "events").select(F.lit("event").alias("item"), F.col("event_id").alias("id"), "value")
-    prices = table(spark, sf, "part").select(F.lit("part").alias("item"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("value"))
+    values = table(spark, sf, "events").selectExpr("'event' AS item", "event_id AS id", "value")
+    prices = table(spark, sf, "part").selectExpr("'part' AS item", "p_partkey AS id", "p_retailprice AS value")
     return values.unionByName(prices).select("item", "id", transforms.price_band("value").alias("price_category"))
 
 
@@ -461,7 +462,7 @@ def incremental_runs(spark: SparkSession, sf: str) -> DataFrame:
     kept = target.read().groupBy("order_year", "order_month").agg(
         F.count("*").alias("rows"), F.sum("quantity").alias("quantity")
     )
-    kept = kept.select(F.lit("structured").alias("layer"), F.lit("").alias("reason"), "order_year", "order_month", "rows", "quantity")
+    kept = kept.withColumns({"layer": F.lit("structured"), "reason": F.lit("")})
     rejects = target.read_rejects().groupBy("rejection_reason", "batch").agg(
         F.count("*").alias("rows"), F.sum("quantity").alias("quantity")
     )

@@ -285,7 +285,9 @@ ORACLE_SQL: dict[str, str] = {
                is_valid_price
         FROM {ROUTED_PRODUCTS} r WHERE outcome = 'clean'""",
     "rejected_customers": _select(
-        [*CUSTOMER_COLUMNS, "_corrupt_records", "rejection_reason", "rejection_detail"], ROUTED_CUSTOMERS, ("signup_date",)
+        [*CUSTOMER_COLUMNS, "_corrupt_records", "rejection_reason", "rejection_detail"],
+        ROUTED_CUSTOMERS,
+        ("signup_date",),
     )
     + " WHERE outcome <> 'clean'",
     "layer_counts": LAYERS,

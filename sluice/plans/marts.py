@@ -27,6 +27,10 @@ def _percent(part: str, whole: str) -> Column:
     return F.coalesce(F.try_divide(F.col(part) * F.lit(100.0), F.col(whole)), F.lit(0.0))
 
 
+def _layer_rows(layer: str) -> Column:
+    return F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col("rows"))), F.lit(0))
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -68,10 +72,8 @@ def ingest_batches(raw: DataFrame, stamp: str = INSERTED_AT) -> DataFrame:
 
 def quality_rate(counts: DataFrame) -> DataFrame:
     """Structured rows per hundred raw rows, over all feeds of :func:`layer_counts`."""
-    total = {layer: F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col("rows"))), F.lit(0)) for layer in ("raw", "structured")}
-    return counts.agg(
-        total["raw"].alias("raw_rows"), total["structured"].alias("structured_rows")
-    ).withColumn("quality_rate", _percent("structured_rows", "raw_rows"))
+    total = counts.agg(_layer_rows("raw").alias("raw_rows"), _layer_rows("structured").alias("structured_rows"))
+    return total.withColumn("quality_rate", _percent("structured_rows", "raw_rows"))
 
 
 # -- quality -------------------------------------------------------------
@@ -79,10 +81,9 @@ def quality_rate(counts: DataFrame) -> DataFrame:
 
 def rejection_rates(counts: DataFrame) -> DataFrame:
     """Rejected rows per hundred valid and rejected rows, for each feed of :func:`layer_counts`."""
-    rows = {layer: F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col("rows"))), F.lit(0)) for layer in ("structured", "rejected")}
     return (
         counts.groupBy("feed")
-        .agg(rows["structured"].alias("valid_rows"), rows["rejected"].alias("rejected_rows"))
+        .agg(_layer_rows("structured").alias("valid_rows"), _layer_rows("rejected").alias("rejected_rows"))
         .withColumn("total_rows", F.col("valid_rows") + F.col("rejected_rows"))
         .withColumn("rejection_rate", _percent("rejected_rows", "total_rows"))
         .drop("total_rows")

@@ -41,13 +41,14 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     customers = table(spark, folder, "customer").join(nation, "c_nationkey")
     customers = customers.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "n_name")
     joined = lookup_join(orders, customers, "o_custkey", [ROW_ID])
+    address = F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com"))
     urgent = F.col("o_orderpriority") == "1-URGENT"
     return joined.select(
         F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("C"), "o_custkey")).alias("customer_id"),
         F.col("c_name").alias("first_name"),
         F.col("c_mktsegment").alias("last_name"),
         F.when(urgent, F.col("c_name"))
-        .when(F.col("o_orderstatus") != "P", F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com")))
+        .when(F.col("o_orderstatus") != "P", address)
         .alias("email"),
         F.when(~urgent, F.col("o_orderpriority")).alias("phone_number"),
         F.col("o_orderdate").cast("date").alias("signup_date"),

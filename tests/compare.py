@@ -39,7 +39,8 @@ def difference(frame, connection, sql: str) -> str | None:
     got = _multiset(frame.columns, [tuple(row) for row in frame.collect()])
     if got == want:
         return None
-    return f"{got.total()} rows instead of {want.total()}; extra {list((got - want).items())[:3]}, missing {list((want - got).items())[:3]}"
+    extra, missing = (list(rows.items())[:3] for rows in (got - want, want - got))
+    return f"{got.total()} rows instead of {want.total()}; extra {extra}, missing {missing}"
 
 
 def main() -> None:

@@ -209,7 +209,8 @@ def test_incremental_and_full_runs(spark, tmp_path):
     source, lake_root = str(tmp_path / "source"), str(tmp_path / "lake")
     run_all(spark, source, lake_root, lookups)
     (tmp_path / "source" / "orders" / "second.csv").write_text(
-        "order_id,customer_id,product_id,order_date,quantity\nO1,C1,P1,2024-01-01,9\nO20,C1,P1,2024-05-05,2\nO21,C1,,2024-05-05,2\n"
+        "order_id,customer_id,product_id,order_date,quantity\n"
+        "O1,C1,P1,2024-01-01,9\nO20,C1,P1,2024-05-05,2\nO21,C1,,2024-05-05,2\n"
     )
     snapshots = run_all(spark, source, lake_root, lookups)
     assert snapshots["customers"] is None and snapshots["orders"].version == 2

@@ -93,3 +93,12 @@ def test_header_is_ignored_unless_asked_for(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "raw")).first().order_id == "O1"
     with pytest.raises(Exception, match="header"):
         ingest_feed(spark, ORDERS, str(source), str(tmp_path / "c2"), path=str(tmp_path / "raw2"), match_header=True)
+
+
+def test_backlog_is_cut_into_batches(spark, tmp_path):
+    for name in ("a.csv", "b.csv", "c.csv"):
+        put(tmp_path / "source", name, f"{name},C,P,2024-01-01,5")
+    ingest_feed(
+        spark, ORDERS, str(tmp_path / "source"), str(tmp_path / "c"), path=str(tmp_path / "raw"), max_bytes_per_trigger="1b"
+    )
+    assert spark.read.parquet(str(tmp_path / "raw")).select(INSERTED_AT).distinct().count() == 3
