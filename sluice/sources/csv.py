@@ -15,7 +15,7 @@ def read_feed_stream(
     sep: str = ",",
     *,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: int | str | None = None,
+    max_bytes_per_trigger: int | None = None,
     match_header: bool = False,
 ) -> DataFrame:
     """Stream the CSV files of a folder, new ones as they arrive.

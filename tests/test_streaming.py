@@ -99,6 +99,6 @@ def test_backlog_is_cut_into_batches(spark, tmp_path):
     for name in ("a.csv", "b.csv", "c.csv"):
         put(tmp_path / "source", name, f"{name},C,P,2024-01-01,5")
     ingest_feed(
-        spark, ORDERS, str(tmp_path / "source"), str(tmp_path / "c"), path=str(tmp_path / "raw"), max_bytes_per_trigger="1b"
+        spark, ORDERS, str(tmp_path / "source"), str(tmp_path / "c"), path=str(tmp_path / "raw"), max_bytes_per_trigger=1
     )
     assert spark.read.parquet(str(tmp_path / "raw")).select(INSERTED_AT).distinct().count() == 3
