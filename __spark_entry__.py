@@ -20,7 +20,7 @@ from sluice.operators.skew import SkewGuard  # noqa: E402
 from sluice.plans import marts, star_schema  # noqa: E402
 from sluice.plans.feeds import CUSTOMERS, ORDERS, PRODUCTS  # noqa: E402
 from sluice.plans.routing import rejected_rows, route, structured_rows  # noqa: E402
-from sluice.plans.runs import run_feed, run_feed_into_catalog, structured_table  # noqa: E402
+from sluice.plans.runs import run_feed, run_feed_into_catalog  # noqa: E402
 from sluice.schemas import CORRUPT, INSERTED_AT, STRUCTURED_AT  # noqa: E402
 from sluice.sinks.append import write_append, write_merge, write_rejected_records  # noqa: E402
 from sluice.sinks.catalog import set_up_tables  # noqa: E402
@@ -357,7 +357,7 @@ def _part_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    target = SnapshotTable(spark, scratch_path(spark, "parts"), "p_partkey", partition_by=["p_type"])
+    target = SnapshotTable(spark, scratch_path(spark, "parts"), "p_partkey")
     target.upsert(table(spark, sf, "part"))
     target.upsert(_part_changes(spark, sf))
     return target.read()
@@ -454,7 +454,7 @@ def incremental_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Orders landed in two batches, each structured by an incremental run."""
     base = scratch_path(spark, "runs")
     raw = star_schema.raw_orders(spark, sf).drop(ROW_ID)
-    target = structured_table(spark, ORDERS, f"{base}/structured")
+    target = SnapshotTable(spark, f"{base}/structured", ORDERS.key)
     early = F.col("quantity") < 20
     for batch, stamp in ((raw.filter(early), "2024-01-01"), (raw.filter(~early), "2024-01-02")):
         batch.withColumn(INSERTED_AT, F.lit(stamp).cast("timestamp")).write.mode("append").parquet(f"{base}/raw")
