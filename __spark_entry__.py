@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -538,14 +539,34 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries of the text operators and of their pipeline, none if those are not installed."""
+    if importlib.util.find_spec("sluice.llm") is None:
+        return {}, {}
+    from sluice.llm.queries import ORACLE_SQL as text_sql
+    from sluice.llm.queries import QUERIES as text_queries
+
+    found, sqls = dict(text_queries), dict(text_sql)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sqls["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sqls
+
+
+TEXT_QUERIES, TEXT_SQL = _text_queries()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Which order rows are structured, which are rejected, and why."""
     return route_orders(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return QUERIES | TEXT_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return ORACLE_SQL | TEXT_SQL
