@@ -541,7 +541,8 @@ QUERIES: dict[str, Query] = {
 
 def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries of the text operators and of their pipeline, none if those are not installed."""
-    if importlib.util.find_spec("sluice.llm") is None:
+    spec = importlib.util.find_spec("sluice.llm")
+    if spec is None or spec.origin is None:  # a left-over folder without code has no origin
         return {}, {}
     from sluice.llm.queries import ORACLE_SQL as text_sql
     from sluice.llm.queries import QUERIES as text_queries
