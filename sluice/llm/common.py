@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.storage import scratch_path
@@ -45,3 +46,43 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = docs.select(F.col("doc_id"), F.col(text).alias("_text"))
     return texts.join(F.broadcast(chosen), "doc_id").select("_text", "_label")
+
+
+ROW = ("_file", "_at")
+
+
+def with_rows(df: DataFrame) -> DataFrame:
+    """Name each row by its file and place there (``ROW``); a frame that is no scan is written out first.
+
+    Files never change, so the names survive retries and a second scan.
+    """
+    try:
+        return df.select("*", F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1]))
+    except AnalysisException:
+        return with_rows(materialise(df, "rows"))
+
+
+def n_words(text: str | Column = "text") -> Column:
+    """Number of words of a text; 0 for null."""
+    return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def prefix_sums(df: DataFrame, group: str, order: list[str], value: str, name: str = "prefix") -> DataFrame:
+    """Add the sum of ``value`` over a row and all rows before it in its group.
+
+    Rows are dealt by range over (group, order), so a group with a third of all
+    rows is spread like any other; the sums of whole ranges are then carried
+    over to later ranges, one row per range and group. ``order`` should tell
+    all rows apart, since equal rows stay in one range. Add exact numbers, not
+    floating-point ones, and the result depends on no partitioning.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(parts, group, *order).withColumn("_range", F.spark_partition_id())
+    dealt = materialise(dealt, "ranges")
+    before = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = dealt.groupBy(F.col(group).alias("_group"), "_range").agg(F.sum(value).alias("_total"))
+    carried = carried.select("_group", F.col("_range").alias("_of"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"))
+    within = Window.partitionBy(group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = dealt.withColumn("_own", F.sum(value).over(within))
+    joined = summed.join(carried, (F.col("_range") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")))
+    return joined.withColumn(name, F.col("_own") + F.col("_carried")).drop("_range", "_own", "_of", "_group", "_carried")

@@ -7,12 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import table
+from sluice.llm import factor_machine, sharding
+from sluice.llm.common import held_out, table, with_rows
+from sluice.llm.decontaminate import find_leaks
+from sluice.llm.mixing import plan_mix
 from sluice.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op4_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard(table(spark, folder, "documents"))
+    return placed.select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs")
+
+
+def op6_factor_machine(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = factor_machine.train(docs, table(spark, folder, "labels"), "quality")
+    scored = docs.select("doc_id", held_out().alias("held_out"), factor_machine.quality_score(model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_simhash_bk_trees(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_groups(table(spark, folder, "documents"), radius=4, shingle=4)
     return groups.select(
@@ -20,6 +39,45 @@ def op7_simhash_bk_trees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op7_simhash_bk_trees,)}
+def op10_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
+    plan = plan_mix(with_rows(table(spark, folder, "documents")), keep=("doc_id",))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: query
+    for query in (
+        op1_decontaminate,
+        op4_extendible_sharding,
+        op6_factor_machine,
+        op7_simhash_bk_trees,
+        op10_systematic_mix,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}
+
+# The shortest prefix of a document's 60 hash bits whose documents fit into 8 MiB.
+ORACLE_SQL["op4_extendible_sharding"] = """
+WITH hashed AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
+         CAST('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 15) AS BIGINT) AS hash
+  FROM documents
+), prefixes AS (
+  SELECT hash, bytes, d AS depth, hash >> (60 - d) AS prefix FROM hashed, generate_series(0, 40) AS depths(d)
+), buckets AS (
+  SELECT depth, prefix, CAST(sum(bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_docs FROM prefixes GROUP BY ALL
+), fits AS (
+  SELECT * FROM buckets WHERE shard_bytes <= 8388608 OR shard_docs = 1
+), placed AS (
+  SELECT p.hash, min(p.depth) AS depth FROM prefixes p JOIN fits f ON p.depth = f.depth AND p.prefix = f.prefix GROUP BY p.hash
+)
+SELECT h.doc_id, h.bytes,
+       CASE WHEN p.depth = 0 THEN '' ELSE right(repeat('0', 60) || bin(f.prefix), CAST(p.depth AS INT)) END AS shard,
+       CAST(p.depth AS INT) AS depth, f.shard_bytes, f.shard_docs
+FROM hashed h JOIN placed p ON h.hash = p.hash
+JOIN fits f ON f.depth = p.depth AND f.prefix = h.hash >> (60 - p.depth)
+"""
+
+# Copies are counted over documents in the order of size; which of several equal sizes is taken depends on the order of
+# rows in the files, so the SQL is left out and tests compare with brute force.
