@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import factor_machine, sharding
+from sluice.llm import factor_machine, robust_rules, sharding, toxicity
 from sluice.llm.common import held_out, table, with_rows
 from sluice.llm.decontaminate import find_leaks
 from sluice.llm.mixing import plan_mix
@@ -25,6 +25,13 @@ def op4_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs")
 
 
+def op5_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = docs.select("doc_id", held_out().alias("held_out"), toxicity.toxicity_score(model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op6_factor_machine(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = factor_machine.train(docs, table(spark, folder, "labels"), "quality")
@@ -39,6 +46,10 @@ def op7_simhash_bk_trees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return robust_rules.judge(table(spark, folder, "documents"))
+
+
 def op10_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     plan = plan_mix(with_rows(table(spark, folder, "documents")), keep=("doc_id",))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -49,8 +60,10 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_decontaminate,
         op4_extendible_sharding,
+        op5_toxicity_grammar,
         op6_factor_machine,
         op7_simhash_bk_trees,
+        op9_robust_outliers,
         op10_systematic_mix,
     )
 }
