@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import factor_machine, robust_rules, sharding, toxicity
-from sluice.llm.common import held_out, table, with_rows
+from sluice.llm import factor_machine, robust_rules, sharding, tag_paths, toxicity, warc
+from sluice.llm.common import held_out, materialise, table, with_rows
 from sluice.llm.decontaminate import find_leaks
 from sluice.llm.mixing import plan_mix
 from sluice.llm.simhash import simhash_groups
@@ -20,6 +20,31 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_tag_paths(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", tag_paths.extract("html").alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op3_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    archive = warc.write(table(spark, folder, "pages"))
+    captures = warc.assemble(warc.read(spark, archive, with_payload=False))
+    captures = captures.select(
+        "capture",
+        warc.page_number().alias("page_id"),
+        F.col("response.type").alias("record_type"),
+        F.col("response.refers_to").alias("original"),
+        F.col("response.payload_bytes").alias("own_bytes"),
+        F.coalesce("response.payload_sha1", F.replace("response.payload_digest", F.lit("sha1:"), F.lit(""))).alias("payload_digest"),
+    )
+    captures = materialise(captures, "captures")
+    responses = captures.filter("record_type = 'response'").select(
+        F.col("capture").alias("original"), F.col("page_id").alias("refers_to"), F.col("own_bytes").alias("original_bytes")
+    )
+    return captures.join(responses, "original", "left").select(
+        "page_id", F.coalesce("own_bytes", "original_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard(table(spark, folder, "documents"))
     return placed.select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs")
@@ -59,6 +84,8 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_decontaminate,
+        op2_tag_paths,
+        op3_warc_transactions,
         op4_extendible_sharding,
         op5_toxicity_grammar,
         op6_factor_machine,
@@ -70,6 +97,18 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {}
 
+ORACLE_SQL["op3_warc_transactions"] = """
+WITH payloads AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
 # The shortest prefix of a document's 60 hash bits whose documents fit into 8 MiB.
 ORACLE_SQL["op4_extendible_sharding"] = """
 WITH hashed AS (
