@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluice.llm import factor_machine, robust_rules, sharding, tag_paths, toxicity, warc
 from sluice.llm.common import held_out, materialise, table, with_rows
 from sluice.llm.decontaminate import find_leaks
+from sluice.llm.edit_counts import EditCounts, redactions
 from sluice.llm.mixing import plan_mix
 from sluice.llm.simhash import simhash_groups
 
@@ -71,6 +72,21 @@ def op7_simhash_bk_trees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document before and after its personal data is replaced."""
+    counts = EditCounts(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.select("doc_id", "text", counts.build("text").alias("tree"), redactions("text").alias("edits"))
+    docs = docs.withColumn("after", counts.edit("text", "tree", "edits", with_text=False))
+    return docs.select(
+        "doc_id",
+        F.aggregate("tree.tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_tokens"),
+        F.size("edits").alias("n_edits"),
+        F.col("after.n_tokens").alias("n_tokens_edited"),
+        F.col("after.encoded_chars").alias("encoded_chars"),
+    )
+
+
 def op9_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return robust_rules.judge(table(spark, folder, "documents"))
 
@@ -90,6 +106,7 @@ QUERIES: dict[str, Query] = {
         op5_toxicity_grammar,
         op6_factor_machine,
         op7_simhash_bk_trees,
+        op8_edit_counts,
         op9_robust_outliers,
         op10_systematic_mix,
     )
