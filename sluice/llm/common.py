@@ -24,6 +24,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns(names: list[str]) -> list[Column]:
+    """Columns by their literal names, which may hold dots."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def as_bytes(column: str | Column) -> Column:
     """UTF-8 bytes of a text; a null text counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
@@ -48,7 +53,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
     return texts.join(F.broadcast(chosen), "doc_id").select("_text", "_label")
 
 
-ROW = ("_file", "_at")
+ROW = ("__row_file", "__row_at")
 
 
 def with_rows(df: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise
+from sluice.llm.common import ROW, materialise, with_rows
 
 N = 3
 WINDOW = 4
@@ -350,7 +350,9 @@ def find_leaks(
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "best.*").selectExpr(*result.split(", "))
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` that leak no item; rows of a leaking id all go."""
-    leaked = find_leaks(docs, items, doc_id=doc_id, **how).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, docs[doc_id].eqNullSafe(leaked["_leaked"]), "left_anti")
+def drop_leaks(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that leak no item; each row is judged by itself, whatever its id."""
+    rows = with_rows(docs)
+    named = rows.withColumn("__row", F.struct(*ROW))
+    leaked = find_leaks(named, items, doc_id="__row", **how).select("doc_id.*").distinct()
+    return rows.join(leaked, list(ROW), "left_anti").drop(*ROW)

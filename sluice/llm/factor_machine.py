@@ -218,5 +218,5 @@ def quality_score(model: FactorMachine, text: str | Column = "text") -> Column:
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, label: str = "quality", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``."""
     model = train(docs, labels, label)
-    scored = docs.withColumn("_score", quality_score(model, text))
-    return scored.filter(F.col("_score") >= threshold).drop("_score")
+    scored = docs.withColumn("__quality_score", quality_score(model, text))
+    return scored.filter(F.col("__quality_score") >= threshold).drop("__quality_score")

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ROW, materialise, n_words, prefix_sums, with_rows
+from sluice.llm.common import ROW, columns, materialise, n_words, prefix_sums, with_rows
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -65,9 +65,17 @@ def _offset(seed: int) -> Column:
     return F.conv(digits, 16, 10).cast("long") % UNIT
 
 
-def plan_mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, seed: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(ROW, *keep, source, size, source_size, target, copies)`` for every row of ``docs``, which has ``ROW``."""
-    sized = docs.select(*ROW, *keep, F.col(source).cast("string").alias("source"), n_words(text).alias("size"))
+def plan_mix(
+    docs: DataFrame,
+    text: str = "text",
+    source: str = "source",
+    doc_id: str = "doc_id",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = 1.0,
+    seed: int = 0,
+) -> DataFrame:
+    """``(ROW, doc_id, source, size, source_size, target, copies)`` for every row of ``docs``, which has ``ROW``."""
+    sized = docs.select(*ROW, F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(text).alias("size"))
     sized = materialise(sized, "sizes")
     wanted = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share)
     # The part below 1 is cut off to whole billionths, so limits are met exactly.
@@ -75,8 +83,8 @@ def plan_mix(docs: DataFrame, text: str = "text", source: str = "source", weight
     wanted = wanted.withColumn("units", units.cast("decimal(20,0)"))
     wanted = materialise(wanted, "targets").withColumnRenamed("source", "_source")
     planned = sized.join(wanted, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    planned = planned.withColumn("order", F.xxhash64(*ROW, F.lit(seed)))
-    summed = prefix_sums(planned, "source", ["size", "order", *ROW], "units")
+    planned = planned.withColumn("order", F.xxhash64("doc_id", F.lit(seed)))
+    summed = prefix_sums(planned, "source", ["size", "order", "doc_id", *ROW], "units")
     summed = materialise(summed.withColumn("start", _offset(seed)).drop("order"), "prefixes")
 
     def copies(offset: Column) -> Column:
@@ -95,8 +103,8 @@ def plan_mix(docs: DataFrame, text: str = "text", source: str = "source", weight
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, columns unchanged."""
-    columns = docs.columns
+    own = columns(docs.columns)
     docs = with_rows(docs)
-    plan = plan_mix(docs, **how).filter("copies > 0").select(*ROW, F.col("copies").alias("_copies"))
+    plan = plan_mix(docs, **how).filter("copies > 0").select(*ROW, F.col("copies").alias("__copies"))
     taken = docs.join(plan, list(ROW))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*columns)
+    return taken.select(*own, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")

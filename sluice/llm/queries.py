@@ -92,7 +92,7 @@ def op9_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
-    plan = plan_mix(with_rows(table(spark, folder, "documents")), keep=("doc_id",))
+    plan = plan_mix(with_rows(table(spark, folder, "documents")))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

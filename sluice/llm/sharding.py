@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ROW, materialise, prefix_sums, with_rows
+from sluice.llm.common import ROW, columns, materialise, prefix_sums, with_rows
 
 LIMIT_BYTES = 8 << 20
 BITS = 60
@@ -86,39 +86,39 @@ def shard(docs: DataFrame, limit: int = LIMIT_BYTES, doc_id: str = "doc_id", tex
     Columns of ``docs`` with these names are replaced.
     """
     added = ["bytes", "shard", "depth", "shard_bytes", "shard_docs"]
-    kept = [name for name in docs.columns if name not in added]
+    kept = columns([name for name in docs.columns if name not in added])
     size = F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long")
-    hashed = docs.select(*kept, row_hash(doc_id, text).alias("_hash"), size.alias("bytes"))
-    entries = directory(materialise(hashed.select(F.col("_hash").alias("hash"), "bytes"), "hashes"), limit)
+    hashed = docs.select(*kept, row_hash(doc_id, text).alias("__hash"), size.alias("bytes"))
+    entries = directory(materialise(hashed.select(F.col("__hash").alias("hash"), "bytes"), "hashes"), limit)
     named = hashed
     for k, (high, leaves) in enumerate(entries):
         leaves = leaves.filter("depth is not null").select(
-            F.col("bits").alias(f"_bits{k}"), F.struct("depth", "prefix", "shard_bytes", "shard_docs").alias(f"_shard{k}")
+            F.col("bits").alias(f"__bits{k}"), F.struct("depth", "prefix", "shard_bytes", "shard_docs").alias(f"__shard{k}")
         )
-        named = named.join(leaves, _bits(high, "_hash") == F.col(f"_bits{k}"), "left").drop(f"_bits{k}")
-    found = F.coalesce(*[F.col(f"_shard{k}") for k in range(len(entries))])
-    named = named.select(*kept, "_hash", "bytes", found.alias("_s"))
+        named = named.join(leaves, _bits(high, "__hash") == F.col(f"__bits{k}"), "left").drop(f"__bits{k}")
+    found = F.coalesce(*[F.col(f"__shard{k}") for k in range(len(entries))])
+    named = named.select(*kept, "__hash", "bytes", found.alias("__s"))
     whole = named.select(
         *kept,
         "bytes",
-        F.when(F.col("_s.depth") == 0, "").otherwise(F.lpad(F.bin("_s.prefix"), F.col("_s.depth"), F.lit("0"))).alias("shard"),
-        F.col("_s.depth").cast("int").alias("depth"),
-        F.col("_s.shard_bytes").alias("shard_bytes"),
-        F.col("_s.shard_docs").alias("shard_docs"),
+        F.when(F.col("__s.depth") == 0, "").otherwise(F.lpad(F.bin("__s.prefix"), F.col("__s.depth"), F.lit("0"))).alias("shard"),
+        F.col("__s.depth").cast("int").alias("depth"),
+        F.col("__s.shard_bytes").alias("shard_bytes"),
+        F.col("__s.shard_docs").alias("shard_docs"),
     )
     high, leaves = entries[-1]
     if high < BITS or leaves.filter("depth is null").isEmpty():
         return whole
     # Groups of equal rows above the limit: as many to a page as fit.
-    equal = with_rows(named.filter("_s is null"))
-    equal = prefix_sums(equal.withColumn("_one", F.lit(1)), "_hash", list(ROW), "_one", "_rank")
+    equal = with_rows(named.filter("__s is null"))
+    equal = prefix_sums(equal.withColumn("__one", F.lit(1)), "__hash", list(ROW), "__one", "__rank")
     per_page = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("bytes")))
-    equal = equal.withColumn("_page", F.floor((F.col("_rank") - 1) / per_page))
-    pages = equal.groupBy("_hash", "_page").agg(F.count("*").alias("shard_docs"), F.sum("bytes").alias("shard_bytes"))
-    paged = equal.join(pages, ["_hash", "_page"]).select(
+    equal = equal.withColumn("__page", F.floor((F.col("__rank") - 1) / per_page))
+    pages = equal.groupBy("__hash", "__page").agg(F.count("*").alias("shard_docs"), F.sum("bytes").alias("shard_bytes"))
+    paged = equal.join(pages, ["__hash", "__page"]).select(
         *kept,
         "bytes",
-        F.concat(F.lpad(F.bin("_hash"), BITS, "0"), F.lit("#"), F.col("_page").cast("string")).alias("shard"),
+        F.concat(F.lpad(F.bin("__hash"), BITS, "0"), F.lit("#"), F.col("__page").cast("string")).alias("shard"),
         F.lit(BITS).alias("depth"),
         "shard_bytes",
         "shard_docs",

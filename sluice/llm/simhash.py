@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import as_bytes, materialise
+from sluice.llm.common import ROW, as_bytes, materialise, with_rows
 from sluice.llm.components import connected_components
 
 SEED = 42
@@ -229,9 +229,17 @@ def link_fingerprints(prints: DataFrame, radius: int = 4, blocks: int = 6, shard
     return shards.mapInArrow(_forests(radius), "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = 4, blocks: int = 6, shingle: int = 4) -> DataFrame:
-    """``(doc_id, print, component)`` for every row of ``docs``."""
-    marked = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text, shingle).alias("print"))
+def simhash_groups(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    radius: int = 4,
+    blocks: int = 6,
+    shingle: int = 4,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(*keep, doc_id, print, component)`` for every row of ``docs``."""
+    marked = docs.select(*keep, F.col(doc_id).alias("doc_id"), fingerprint(text, shingle).alias("print"))
     marked = materialise(marked, "prints")
     distinct = marked.groupBy("print").agg(F.min("doc_id").alias("node"))
     named = distinct.filter("node is not null")
@@ -242,15 +250,18 @@ def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         "print", F.coalesce(groups["component"], named["node"]).alias("component")
     )
     placed = placed.unionByName(unnamed.withColumn("component", F.lit(None).cast("long")))
-    return marked.join(placed, "print", "left").select("doc_id", "print", "component")
+    return marked.join(placed, "print", "left").select(*keep, "doc_id", "print", "component")
 
 
 def keep_one_per_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their near-duplicate group.
+    """One row of each near-duplicate group: that with the smallest id, of repeated rows the first in file order.
 
-    Rows without an id belong to no group and all stay; so do repeated rows of
-    the id that stays.
+    Rows without an id stay only if no row with one is in their group.
     """
-    groups = simhash_groups(docs, text, doc_id, **how)
-    dropped = groups.filter("doc_id is not null and doc_id <> component").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[doc_id] == dropped["_dropped"], "left_anti")
+    rows = with_rows(docs)
+    groups = simhash_groups(rows, text, doc_id, keep=ROW, **how)
+    # Groups without any id are told apart by their fingerprint.
+    alone = F.when(F.col("component").isNull(), F.col("print"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("best")
+    winners = groups.groupBy("component", alone.alias("alone")).agg(best).select(*[f"best.{name}" for name in ROW])
+    return rows.join(winners, list(ROW), "left_semi").drop(*ROW)
