@@ -202,6 +202,19 @@ def dedup_rejects_hot(spark: SparkSession, sf: str) -> DataFrame:
     return duplicates.withColumn("l_shipdate", _day("l_shipdate")).drop(ROW_ID)
 
 
+def dedup_split_hot_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Hot keys under an order that leaves most rows tied: kept and rejected rows make up the input."""
+    lines = with_file_row_id(table(spark, sf, "lineitem"))
+    kept, rejects = dedup.split_duplicates(lines, ["l_returnflag", "l_linestatus"], [F.desc("l_quantity")], EAGER_GUARD)
+    both = kept.withColumn("kept", F.lit(1)).unionByName(rejects.withColumn("kept", F.lit(0)))
+    return both.groupBy("l_returnflag", "l_linestatus").agg(
+        F.sum("kept").alias("kept"),
+        F.count("*").alias("rows"),
+        F.count_distinct(ROW_ID).alias("distinct_rows"),
+        F.max(F.when(F.col("kept") == 1, F.col("l_quantity"))).alias("kept_quantity"),
+    )
+
+
 # -- transforms ----------------------------------------------------------
 
 
@@ -502,6 +515,7 @@ QUERIES: dict[str, Query] = {
         dedup_keep,
         dedup_rejects,
         dedup_rejects_hot,
+        dedup_split_hot_ties,
         hash_pii,
         normalize_codes,
         date_parts,

@@ -235,6 +235,10 @@ ORACLE_SQL: dict[str, str] = {
     "dedup_keep": _ranked_lines(["l_orderkey", "l_linenumber"], "= 1"),
     "dedup_rejects": _ranked_lines(["l_orderkey", "l_linenumber"], "> 1"),
     "dedup_rejects_hot": _ranked_lines(["l_returnflag", "l_linestatus"], "> 1"),
+    "dedup_split_hot_ties": """
+        SELECT l_returnflag, l_linestatus, 1 AS kept, count(*) AS rows, count(*) AS distinct_rows,
+               max(l_quantity) AS kept_quantity
+        FROM lineitem GROUP BY 1, 2""",
     "hash_pii": "SELECT c_custkey, sha256(c_name) AS c_name FROM customer",
     "normalize_codes": "SELECT c_custkey, upper(trim('  ' || lower(c_mktsegment) || ' ')) AS code FROM customer",
     "date_parts": """

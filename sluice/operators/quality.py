@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions import flags
-from sluice.operators.skew import DEFAULT_GUARD, SkewGuard, lookup_join
+from sluice.functions import flags, transforms
+from sluice.operators.skew import SkewGuard, lookup_join
 from sluice.schemas import CORRUPT
 
 
@@ -106,24 +106,25 @@ def check_referential_integrity(
     flag_column: str = "is_valid_ref",
     *,
     normalize: bool = False,
-    guard: SkewGuard = DEFAULT_GUARD,
+    guard: SkewGuard | None = None,
     max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Flag values found in the lookup; rows are neither lost nor multiplied.
 
-    ``normalize`` compares trimmed upper-case values instead of exact ones.
+    ``normalize`` compares trimmed upper-case values instead of exact ones. A
+    NULL value is in no lookup. ``guard`` is that of :func:`lookup_join`.
     """
-    value = F.upper(F.trim(check_column)) if normalize else F.col(check_column)
-    known = F.upper(F.trim(lookup_column)) if normalize else F.col(lookup_column)
-    values = lookup_df.select(known.alias("_lookup_value")).filter("_lookup_value IS NOT NULL").distinct()
+    as_compared = transforms.normalize_code if normalize else F.col
+    members = lookup_df.select(as_compared(lookup_column).alias("_member")).dropna().dropDuplicates()
+    probed = df.select("*", as_compared(check_column).alias("_member"))
     joined = lookup_join(
-        df.withColumn("_lookup_value", value),
-        values.withColumn("_exists", F.lit("Y")),
-        "_lookup_value",
+        probed,
+        members.select("_member", F.lit(True).alias("_is_member")),
+        "_member",
         guard=guard,
         max_broadcast_rows=max_broadcast_rows,
     )
-    return joined.select(*df.columns, F.coalesce("_exists", F.lit("N")).alias(flag_column))
+    return joined.withColumn(flag_column, flags.yes_no(F.col("_is_member"))).select(*df.columns, flag_column)
 
 
 def add_rejection_reasons(

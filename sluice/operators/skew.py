@@ -6,11 +6,12 @@ import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.sizing import fits_broadcast
 from sluice.sources.tables import ROW_ID, with_row_id
+from sluice.storage import scratch_path
 
 _COUNTERS = 131_072
 
@@ -61,27 +62,45 @@ class SkewGuard:
 DEFAULT_GUARD = SkewGuard()
 
 
+def _splits_skew(spark: SparkSession) -> bool:
+    names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(spark.conf.get(name).lower() == "true" for name in names)
+
+
+def _written(frame: DataFrame) -> DataFrame:
+    path = scratch_path(frame.sparkSession, "lookup")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
     spread_by: list[str] | None = None,
-    guard: SkewGuard = DEFAULT_GUARD,
+    guard: SkewGuard | None = None,
     max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left join to a lookup that has each ``key`` once.
 
     A lookup of checked size is broadcast and the facts stay where they are.
-    A larger one is shuffled; rows of hot keys, a missing key included, are
-    then dealt out over salts, as many as an average shuffle partition goes
-    into the key's share, and their lookup row is repeated once per salt.
-    ``spread_by`` names columns that tell the rows of a key apart; without it
-    the row identity does.
+    A larger one is shuffled, and adaptive execution splits the partitions of
+    hot keys, which needs no look at the facts beforehand. Where that is off, or
+    with a ``guard``, hot keys are counted first; their rows, those without a
+    key included, are dealt out over salts, as many as an average shuffle
+    partition goes into the key's share, and their lookup row is repeated once
+    per salt. ``spread_by`` names columns that tell the rows of a key apart;
+    without it the row identity does.
+
+    The lookup is written to the scratch folder once, since measuring reads it too.
     """
+    lookup = _written(lookup)
     bound = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     if fits_broadcast(lookup, **bound):
         return facts.join(F.broadcast(lookup), key, "left")
-    hot = guard.hot_keys(facts, [key])
+    if guard is None and _splits_skew(facts.sparkSession):
+        return facts.join(lookup, key, "left")
+    hot = (guard or DEFAULT_GUARD).hot_keys(facts, [key])
     if not hot:
         return facts.join(lookup, key, "left")
     columns = [*facts.columns, *[name for name in lookup.columns if name != key]]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.transforms import line_amount, map_value
-from sluice.operators.skew import DEFAULT_GUARD, SkewGuard, lookup_join
+from sluice.operators.skew import SkewGuard, lookup_join
 from sluice.schemas import INSERTED_AT, REGION_OF_COUNTRY
 from sluice.sources.tables import ROW_ID
 
@@ -128,13 +128,13 @@ def total_sales(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def sales_by_country(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, guard: SkewGuard = DEFAULT_GUARD
+    orders: DataFrame, customers: DataFrame, products: DataFrame, guard: SkewGuard | None = None
 ) -> DataFrame:
     """Sales per country code, including NULL for orders without a known country.
 
     Prices join to single orders, where a best-seller may be hot: that join is
-    broadcast, or salted by the identity of the rows (``order_id`` if they carry
-    no other). Amounts are then summed per customer, so that the join
+    broadcast, or its hot keys are split (:func:`lookup_join`; the identity of
+    the rows, ``order_id`` if they carry no other, tells them apart). Amounts are then summed per customer, so that the join
     to customers again meets each key once.
     """
     identity = ROW_ID if ROW_ID in orders.columns else "order_id"

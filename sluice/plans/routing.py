@@ -63,15 +63,16 @@ def route(
     newest = [F.col(INSERTED_AT).desc_nulls_last()] if INSERTED_AT in columns else []
     if prefer_valid:
         newest.insert(0, failed.asc())
-    order = total_order(raw, [feed.key, INSERTED_AT, CORRUPT], newest)
-    tagged = tag_first(tagged, [feed.key], order, exempt=exempt, guard=guard)
-
+    # Hot keys are counted on the scan itself, and lookups join raw rows, before anything was shuffled.
+    hot = guard.hot_keys(raw.filter(~exempt), [feed.key])
     for rule in rules:
         if rule.lookup is not None:
             lookup = (lookups or {})[rule.lookup]
             tagged = check_referential_integrity(
-                tagged, lookup, rule.column, rule.lookup, rule.flag, normalize=normalize, guard=guard
+                tagged, lookup, rule.column, rule.lookup, rule.flag, normalize=normalize
             )
+    order = total_order(raw, [feed.key, INSERTED_AT, CORRUPT], newest)
+    tagged = tag_first(tagged, [feed.key], order, exempt=exempt, guard=guard, hot=hot, total=True)
 
     outcome = (
         F.when(corrupt, F.lit(CORRUPTED))

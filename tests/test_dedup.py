@@ -52,6 +52,28 @@ def test_split_equals_brute_force(frame, rows, guard, identified):
     assert duplicates.columns == source.columns
 
 
+@pytest.mark.parametrize("guard", [HOT, COLD])
+@pytest.mark.parametrize("files", [1, 7])
+@pytest.mark.parametrize("identified", [True, False])
+def test_an_order_with_ties_loses_and_repeats_nothing(spark, frame, rows, tmp_path, guard, files, identified):
+    frame.orderBy("n").repartition(files, "s").write.parquet(str(tmp_path / "rows"))
+    source = spark.read.parquet(str(tmp_path / "rows"))
+    source = with_file_row_id(source) if identified else source
+    kept, duplicates = dedup.split_duplicates(source, ["k"], [F.lit(1).asc(), F.desc("n")], guard)
+    kept_rows = Counter(map(tuple, kept.select("k", "n", "s").collect()))
+    assert sorted(map(str, (r[0] for r in kept_rows))) == sorted({str(r[0]) for r in rows}) and set(kept_rows.values()) == {1}
+    assert kept_rows + Counter(map(tuple, duplicates.select("k", "n", "s").collect())) == Counter(rows)
+    if identified:
+        ids = lambda df: {tuple(r[0]) for r in df.select(ROW_ID).collect()}
+        assert not ids(kept) & ids(duplicates) and len(ids(kept) | ids(duplicates)) == len(rows)
+
+
+def test_map_columns_are_compared(spark):
+    rows = spark.sql("SELECT id % 3 AS k, map('a', id) AS m, array(struct(map(1, 2) AS x)) AS a FROM range(12)")
+    kept, duplicates = dedup.split_duplicates(rows, ["k"])
+    assert sorted(r.k for r in kept.collect()) == [0, 1, 2] and duplicates.count() == 9
+
+
 @pytest.mark.parametrize("guard", [HOT, COLD])
 def test_exempt_rows_are_first_and_do_not_compete(frame, guard):
     exempt = F.col("k").isNull() | (F.col("n") == 0)
