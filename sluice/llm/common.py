@@ -16,11 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write to the shared scratch folder and read back: cuts lineage, survives lost executors.
+
+    ``files`` bounds the number of files of a frame that is small by construction.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -41,6 +41,8 @@ WINDOW = 8
 STEPS = 4
 LIMIT = 10.0
 LEAST_ROWS = 100
+# Files of the tables that have one row per group.
+FEW = 4
 # Least standard deviation of each transformed statistic.
 SPREAD = {"x0": 0.5, "x1": 0.05, "x2": 0.25, "x3": 0.5, "x4": 0.1}
 NAMES = list(SPREAD)
@@ -138,7 +140,7 @@ def _estimation_keys(rows: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     name = name.otherwise(F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")))
     keys = keyed.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), F.to_json(name).alias("key"))
-    keys = materialise(keys, "keys")
+    keys = materialise(keys, "keys", FEW)
     same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
     return rows.join(keys, same, "left").drop("_l", "_s")
 
@@ -175,7 +177,7 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 def _nearest_half(rows: DataFrame) -> DataFrame:
     limits = rows.groupBy("key").agg(F.percentile_approx("d2", 0.5, 10000).alias("half"))
-    return _join(rows, materialise(limits, "halves")).filter("d2 <= half")
+    return _join(rows, materialise(limits, "halves", FEW)).filter("d2 <= half")
 
 
 def _moments(rows: DataFrame) -> DataFrame:
@@ -187,7 +189,7 @@ def _moments(rows: DataFrame) -> DataFrame:
 def mcd(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """One row per ``key``: location ``m*`` and factor ``l**`` of the MCD estimate over ``rows`` (``key``, ``x*``)."""
     medians = [F.percentile_approx(name, 0.5, 10000).alias(f"m{i}") for i, name in enumerate(NAMES)]
-    centre = materialise(rows.groupBy("key").agg(*medians), "medians")
+    centre = materialise(rows.groupBy("key").agg(*medians), "medians", FEW)
     spread = [
         F.percentile_approx(F.abs(F.col(name) - F.col(f"m{i}")), 0.5, 10000).alias(f"s{i}") for i, name in enumerate(NAMES)
     ]
@@ -198,10 +200,10 @@ def mcd(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         for i in range(len(NAMES))
         for j in range(i + 1)
     ]
-    estimate = materialise(start.select("key", *[f"m{i}" for i in range(len(NAMES))], *factor), "start")
+    estimate = materialise(start.select("key", *[f"m{i}" for i in range(len(NAMES))], *factor), "start", FEW)
     for _ in range(steps):
         near = _nearest_half(_distance(_join(rows, estimate)))
-        estimate = materialise(_factored(_moments(near)), "estimate")
+        estimate = materialise(_factored(_moments(near)), "estimate", FEW)
     return estimate
 
 
