@@ -384,6 +384,19 @@ def merge_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+def merge_partitioned_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders partitioned by status and merged three times: updates in place, moves, inserts and a new partition."""
+    name = f"{_scratch_database(spark)}.orders"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    write_append(orders.filter("o_orderstatus <> 'P'"), name, ["o_orderstatus"])
+    write_merge(orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1), name, "o_orderkey")
+    moved = orders.filter("o_orderstatus = 'O' AND o_totalprice < 100000").withColumn("o_orderstatus", F.lit("F"))
+    write_merge(moved.unionByName(orders.filter("o_orderstatus = 'P'")), name, "o_orderkey")
+    late = orders.filter("o_totalprice > 400000").withColumn("o_orderstatus", F.lit("it's X/Y"))
+    write_merge(late.withColumn("note", F.lit("late")), name, "o_orderkey")
+    return spark.table(name)
+
+
 def append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     name = f"{_scratch_database(spark)}.orders"
     orders = table(spark, sf, "orders").select(
@@ -542,6 +555,7 @@ QUERIES: dict[str, Query] = {
         customers_by_segment,
         merge_upsert,
         merge_catalog_table,
+        merge_partitioned_table,
         append_partitioned,
         catalog_setup,
         catalog_run,

@@ -334,6 +334,14 @@ ORACLE_SQL: dict[str, str] = {
         FROM customer GROUP BY c_mktsegment""",
     "merge_upsert": MERGED_PARTS,
     "merge_catalog_table": MERGED_PARTS,
+    "merge_partitioned_table": """
+        SELECT o_orderkey,
+               CASE WHEN o_totalprice > 400000 THEN o_totalprice
+                    WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+               CASE WHEN o_totalprice > 400000 THEN 'it''s X/Y'
+                    WHEN o_orderstatus = 'O' AND o_totalprice < 100000 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_totalprice > 400000 THEN 'late' END AS note
+        FROM orders""",
     "append_partitioned": """
         SELECT o_orderkey, o_totalprice, o_orderstatus,
                CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,

@@ -2,34 +2,36 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from sluice import storage
 from sluice.operators.upsert import merge_rows, require_unique_keys
+from sluice.sinks.evolution import conformed, widened
 
 
-def _widen(spark: SparkSession, table_name: str, df: DataFrame) -> None:
-    """Add the frame's new columns to the table; old rows read NULL there."""
-    known = {name.lower() for name in spark.table(table_name).columns}
-    new = [field for field in df.schema.fields if field.name.lower() not in known]
+def widen_table(spark: SparkSession, table_name: str, schema: StructType) -> None:
+    """Add a schema's new columns to the table; old rows read NULL there. Changed types are refused."""
+    known = spark.table(table_name).schema
+    new = widened(known, schema, f"rows for {table_name}", complete=False).fields[len(known.fields) :]
     if new:
         columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new)
         spark.sql(f"ALTER TABLE {table_name} ADD COLUMNS ({columns})")
+        spark.catalog.refreshTable(table_name)
 
 
 def _conform(spark: SparkSession, table_name: str, df: DataFrame) -> DataFrame:
-    """The frame with all columns of the table, in any order; absent ones are NULL."""
-    fields = spark.table(table_name).schema.fields
-    given = {name.lower() for name in df.columns}
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in fields if f.name.lower() not in given}
-    return df.withColumns(missing).select(*[f.name for f in fields])
+    return conformed(df, spark.table(table_name).schema)
 
 
 def write_append(df: DataFrame, table_name: str, partition_columns: list[str] | None = None) -> None:
     """Append by column name, creating or widening the table as needed."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table_name):
-        _widen(spark, table_name, df)
+        widen_table(spark, table_name, df.schema)
         df = _conform(spark, table_name, df)
     writer = df.write.mode("append")
     if partition_columns:
@@ -40,7 +42,7 @@ def write_append(df: DataFrame, table_name: str, partition_columns: list[str] |
 def write_replace(df: DataFrame, table_name: str) -> None:
     """Replace all rows of an existing table; the frame must not read from it."""
     spark = df.sparkSession
-    _widen(spark, table_name, df)
+    widen_table(spark, table_name, df.schema)
     _conform(spark, table_name, df).write.insertInto(table_name, overwrite=True)
 
 
@@ -57,9 +59,11 @@ def write_merge(df: DataFrame, table_name: str, key: str, check_keys: bool = Tru
     """Upsert into a catalog table; its single writer is the caller.
 
     A table format with row-level operations merges in place. A parquet table
-    is written anew beside the old files, and then the table is pointed there:
-    readers see the old or the new rows, and no file in use is overwritten.
-    Prefer :class:`sluice.sinks.snapshot.SnapshotTable` for large tables; it
+    is written anew beside the old files, in the table's own partitions, and
+    then the table is pointed there: no file in use is overwritten. Readers of
+    an unpartitioned table see the old or the new rows; partitions are switched
+    one after the other. The version before stays for readers, older ones are
+    deleted. Prefer :class:`sluice.sinks.snapshot.SnapshotTable` for large tables; it
     rewrites only the buckets a batch touches.
     """
     spark = df.sparkSession
@@ -70,13 +74,55 @@ def write_merge(df: DataFrame, table_name: str, key: str, check_keys: bool = Tru
         merge = df.alias("source").mergeInto(table_name, F.expr(f"{table_name}.`{key}` = source.`{key}`"))
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
+    widen_table(spark, table_name, df.schema)
     target = spark.table(table_name)
-    _widen(spark, table_name, df)
-    spark.catalog.refreshTable(table_name)
     merged = merge_rows(target, _conform(spark, table_name, df), key)
+    partitions = [column.name for column in spark.catalog.listColumns(table_name) if column.isPartition]
     old = details["Location"].rstrip("/")
     base, _, version = old.rpartition("/v=")
-    new = f"{base}/v={int(version) + 1}" if base else f"{old}.versions/v=1"
-    merged.write.mode("overwrite").parquet(new)
+    version = int(version) + 1 if base else 1
+    new = f"{base or f'{old}.versions'}/v={version}"
+    merged.write.mode("overwrite").partitionBy(*partitions).option("partitionOverwriteMode", "static").parquet(new)
     spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{new}'")
+    if partitions:
+        _switch_partitions(spark, table_name, new, len(partitions))
     spark.catalog.refreshTable(table_name)
+    if version > 2:
+        storage.delete(spark, f"{base}/v={version - 2}")
+
+
+def _partition_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
+    folders = [""]
+    for _ in range(depth):
+        folders = [
+            f"{folder}/{name}".lstrip("/")
+            for folder in folders
+            for name in storage.child_names(spark, f"{root}/{folder}".rstrip("/"))
+            if "=" in name
+        ]
+    return folders
+
+
+def _partition_spec(folder: str) -> str:
+    """``a=1/b=x`` as the specification in a statement."""
+    values = []
+    for part in folder.split("/"):
+        name, _, value = part.partition("=")
+        value = unquote(value)
+        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+        values.append(f"`{unquote(name)}` = " + ("null" if value == "__HIVE_DEFAULT_PARTITION__" else f"'{quoted}'"))
+    return f"PARTITION ({', '.join(values)})"
+
+
+def _switch_partitions(spark: SparkSession, table_name: str, root: str, depth: int) -> None:
+    """Point the table's partitions at the folders below ``root``: known ones, then new ones, then vanished ones."""
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table_name}").collect()}
+    written = _partition_folders(spark, root, depth)
+    for folder in written:
+        if folder in known:
+            spark.sql(f"ALTER TABLE {table_name} {_partition_spec(folder)} SET LOCATION '{root}/{folder}'")
+    added = " ".join(f"{_partition_spec(folder)} LOCATION '{root}/{folder}'" for folder in written if folder not in known)
+    if added:
+        spark.sql(f"ALTER TABLE {table_name} ADD {added}")
+    for folder in sorted(known - set(written)):
+        spark.sql(f"ALTER TABLE {table_name} DROP {_partition_spec(folder)}")

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sluice import storage
 from sluice.operators.upsert import merge_rows, require_unique_keys
+from sluice.sinks.evolution import conformed, widened
 
 MAX_DEFAULT_BUCKETS = 2_048
 _VERSION, _BUCKET = "_version", "_bucket"
@@ -33,16 +34,6 @@ def _from_json(schema: str) -> StructType:
     return StructType.fromJson(json.loads(schema))
 
 
-def _merged_schema(known: StructType | None, given: StructType, what: str) -> StructType:
-    """Known columns first, new ones after; a known column may not vanish."""
-    if known is None:
-        return given
-    missing = [name for name in known.fieldNames() if name not in given.fieldNames()]
-    if missing:
-        raise ValueError(f"{what} lack columns of the table: {', '.join(missing)}")
-    return StructType([*known.fields, *[field for field in given.fields if field.name not in known.fieldNames()]])
-
-
 @dataclass(frozen=True)
 class Snapshot:
     """What the pointer file of one version says."""
@@ -67,9 +58,10 @@ class SnapshotTable:
     Buckets use the hash of Spark's own shuffles: with shuffle partitions equal
     to ``n_buckets`` or a multiple, a task that comes out of the join on the key
     writes to one bucket, and the layout needs no shuffle of its own. With other
-    settings rows are shuffled to their buckets before the write. ``n_buckets``
-    is fixed when the table is first written; by default it is the number of
-    shuffle partitions, up to a bound that keeps the pointer file small.
+    settings rows are shuffled to their buckets before the write. By default
+    ``n_buckets`` is the number of shuffle partitions when the table is first
+    written, up to a bound that keeps the pointer file small; :meth:`rebucket`
+    changes it when the table has grown.
     """
 
     def __init__(
@@ -163,7 +155,13 @@ class SnapshotTable:
         old = self.current()
         n_buckets = old.n_buckets if old else self._n_buckets
         version = old.version + 1 if old else 1
-        schema = _merged_schema(_from_json(old.schema) if old else None, source.schema, "upsert rows")
+        # Types are settled, and rejects refused, before anything is written.
+        schema = widened(_from_json(old.schema) if old else None, source.schema, "upsert rows")
+        source = conformed(source, schema)
+        earlier = [] if replace_rejects or old is None else list(old.reject_versions)
+        reject_schema = old.reject_schema if old else None
+        if rejects is not None:
+            reject_schema = widened(_from_json(reject_schema) if earlier else None, rejects, "rejects").json()
 
         source = source.withColumn(_BUCKET, self._bucket(n_buckets))
         keys = source.select(self.key)
@@ -183,11 +181,6 @@ class SnapshotTable:
                 .parquet(f"{self.path}/data/{_VERSION}={version}")
             )
         current = [segment for segment in (old.segments if old else []) if segment not in replaced]
-        earlier = [] if replace_rejects or old is None else list(old.reject_versions)
-        reject_schema = old.reject_schema if old else None
-        if rejects is not None:
-            known = _from_json(reject_schema) if earlier else None
-            reject_schema = _merged_schema(known, rejects, "rejects").json()
         snapshot = Snapshot(
             version=version,
             n_buckets=n_buckets,
@@ -197,9 +190,32 @@ class SnapshotTable:
             reject_versions=[*earlier, version] if rejects is not None else earlier,
             state={**(old.state if old else {}), **(state or {})},
         )
-        storage.publish_text(self.spark, f"{self.path}/pointer/{version:012d}.json", json.dumps(asdict(snapshot)))
+        self._publish(snapshot)
         return snapshot
 
+    def rebucket(self, n_buckets: int) -> Snapshot:
+        """Publish the same rows under another number of buckets; readers of older versions are not disturbed."""
+        old = self.current()
+        if old is None:
+            raise FileNotFoundError(f"nothing published at {self.path}")
+        version = old.version + 1
+        rows = self.read().withColumn(_BUCKET, self._bucket(n_buckets)).hint("rebalance", _BUCKET)
+        (
+            rows.write.mode("overwrite")
+            .partitionBy(_BUCKET, *self.partition_by)
+            .option("partitionOverwriteMode", "static")
+            .parquet(f"{self.path}/data/{_VERSION}={version}")
+        )
+        names = storage.child_names(self.spark, f"{self.path}/data/{_VERSION}={version}")
+        buckets = sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{_BUCKET}="))
+        snapshot = replace(old, version=version, n_buckets=n_buckets, segments=[[version, b] for b in buckets])
+        self._publish(snapshot)
+        return snapshot
+
+    def _publish(self, snapshot: Snapshot) -> None:
+        name = f"{self.path}/pointer/{snapshot.version:012d}.json"
+        storage.publish_text(self.spark, name, json.dumps(asdict(snapshot)))
+
     def _segments_to_rewrite(self, old: Snapshot, touched: set[int], keys: DataFrame) -> list[list[int]]:
         """Segments with a row to replace, and all segments of touched buckets that have too many."""
         candidates = [segment for segment in old.segments if segment[1] in touched]

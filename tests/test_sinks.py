@@ -152,3 +152,38 @@ def test_merge_into_catalog_table(spark, tmp_path):
     assert content(spark.table("merge_db.t")) == {"A": ("old", None), "B": ("new", None), "C": ("newer", 1)}
     with pytest.raises(ValueError):
         append.write_merge(keyed(spark, [("B", "1"), ("B", "2")]), "merge_db.t", "k")
+
+
+def test_refused_upserts_leave_the_old_version_readable(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "typed"), "k", n_buckets=2)
+    table.upsert(spark.createDataFrame([(1, "a")], "k int, v string"))
+    with pytest.raises(ValueError, match="another type"):
+        table.upsert(spark.createDataFrame([(2, "b")], "k long, v string"))
+    with pytest.raises(ValueError, match="lack columns"):
+        table.upsert(spark.createDataFrame([(2,)], "k int"))
+    assert [tuple(r) for r in table.read().collect()] == [(1, "a")] and table.current().version == 1
+    table.upsert(spark.createDataFrame([(3, "c", 1.5)], "k short, v string, w double"))
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a", None), (3, "c", 1.5)]
+    assert dict(table.read().dtypes)["k"] == "int"
+
+
+def test_rebucketed_rows_are_the_same(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "grown"), "k", n_buckets=2)
+    for n in (1, 2):
+        table.upsert(spark.range(50 * n).selectExpr("id AS k", f"{n} AS v"))
+    before = sorted(map(tuple, table.read().collect()))
+    assert table.rebucket(7).n_buckets == 7
+    assert sorted(map(tuple, table.read().collect())) == before
+    table.upsert(spark.range(3).selectExpr("id AS k", "9 AS v"))
+    assert sorted(map(tuple, table.read().collect())) == [(k, 9 if k < 3 else 2) for k in range(100)]
+
+
+def test_append_refuses_a_changed_type(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS typed LOCATION '{tmp_path}'")
+    append.write_append(spark.sql("SELECT 1 AS a, 'x' AS b"), "typed.t")
+    with pytest.raises(ValueError, match="another type"):
+        append.write_append(spark.sql("SELECT 1.5D AS a, 'x' AS b"), "typed.t")
+    append.write_append(spark.sql("SELECT 2S AS a, true AS c"), "typed.t")
+    assert sorted(map(str, spark.table("typed.t").collect())) == sorted(
+        ["Row(a=1, b='x', c=None)", "Row(a=2, b=None, c=True)"]
+    )
