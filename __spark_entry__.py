@@ -20,16 +20,19 @@ from sluice.operators.quality import Rule  # noqa: E402
 from sluice.operators.skew import SkewGuard  # noqa: E402
 from sluice.plans import marts, star_schema  # noqa: E402
 from sluice.plans.feeds import CUSTOMERS, ORDERS, PRODUCTS  # noqa: E402
+from sluice.plans.reports import lake_reports  # noqa: E402
 from sluice.plans.routing import rejected_rows, route, structured_rows  # noqa: E402
-from sluice.plans.runs import run_feed, run_feed_into_catalog  # noqa: E402
+from sluice.plans.runs import rule_counts as rule_counts_of  # noqa: E402
+from sluice.plans.runs import run_all, run_feed, run_feed_into_catalog  # noqa: E402
 from sluice.schemas import CORRUPT, INSERTED_AT, STRUCTURED_AT  # noqa: E402
 from sluice.sinks.append import write_append, write_merge, write_rejected_records  # noqa: E402
 from sluice.sinks.catalog import set_up_tables  # noqa: E402
+from sluice.sinks.landing import LANDING, land_in_table, landing_name, read_landed  # noqa: E402
 from sluice.sinks.snapshot import SnapshotTable  # noqa: E402
 from sluice.sources.csv import read_static_csv  # noqa: E402
 from sluice.sources.tables import ROW_ID, read_path, rows_after, select_where, with_file_row_id  # noqa: E402
 from sluice.storage import scratch_path  # noqa: E402
-from sluice.streaming.ingest import ingest_feed, upsert_stream  # noqa: E402
+from sluice.streaming.ingest import append_stream, ingest_feed, upsert_stream  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +133,11 @@ def check_date_range(spark: SparkSession, sf: str) -> DataFrame:
     return checked.select("o_orderkey", "is_valid_date")
 
 
+def check_date_range_timed(spark: SparkSession, sf: str) -> DataFrame:
+    checked = quality.check_date_range(table(spark, sf, "events"), "ts", "2024-01-03 12:00:00", "2024-01-20 06:30:00.5")
+    return checked.select("event_id", "is_valid_date")
+
+
 def check_length(spark: SparkSession, sf: str) -> DataFrame:
     bounds = {"text": (20, 2000), "lang": (None, None), "source": (5, None)}
     checked = quality.check_string_length(table(spark, sf, "documents"), bounds)
@@ -339,6 +347,14 @@ def total_sales(spark: SparkSession, sf: str) -> DataFrame:
     return marts.total_sales(orders, products)
 
 
+def total_sales_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """Some prices are huge, infinite or tiny."""
+    orders, _, products = star_schema.sales_tables(spark, sf)
+    kind = F.col("product_id") % 50
+    price = F.when(kind == 0, 2e12).when(kind == 1, float("inf")).when(kind == 2, 1e-7).otherwise(F.col("price"))
+    return marts.total_sales(orders, products.withColumn("price", price))
+
+
 def sales_by_country_top10(spark: SparkSession, sf: str) -> DataFrame:
     country_sales = marts.sales_by_country(*star_schema.sales_tables(spark, sf))
     return marts.top_countries(country_sales, star_schema.country_names(spark, sf))
@@ -414,7 +430,7 @@ def catalog_setup(spark: SparkSession, sf: str) -> DataFrame:
         set_up_tables(spark, scratch_path(spark, "catalog"), prefix)
     raw = star_schema.raw_products(spark, sf).drop(ROW_ID, INSERTED_AT)
     write_append(raw.select(*reversed(raw.columns)), f"{prefix}raw.products")
-    return spark.table(f"{prefix}raw.products").drop(INSERTED_AT)
+    return spark.table(f"{prefix}raw.products").drop(INSERTED_AT, LANDING)
 
 
 def catalog_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -467,16 +483,66 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest event of every user, kept current by a stream."""
+def _files_as_stream(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Add rows to a folder of files and stream the folder."""
+    rows.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def _upsert_latest_events(spark: SparkSession, sf: str, sources: list[tuple[str, str]]) -> DataFrame:
+    """Latest event of every user, from events that arrive in parts: ``(stream, condition)``."""
     base = scratch_path(spark, "latest")
-    events = table(spark, sf, "events")
-    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     target = SnapshotTable(spark, f"{base}/table", "user_id")
-    upsert_stream(stream, target, [F.desc("ts"), F.col("event_id")], f"{base}/checkpoint")
+    for name, condition in sources:
+        stream = _files_as_stream(spark, f"{base}/{name}", table(spark, sf, "events").filter(condition))
+        upsert_stream(stream, target, [F.desc("ts"), F.col("event_id")], f"{base}/checkpoint-{name}")
     return target.read().drop("ts", "props")
 
 
+def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches; the second one brings rows older than those of the first."""
+    late = "ts < TIMESTAMP_NTZ'2024-01-15 00:00:00'"
+    parts = [f"NOT {late} AND user_id % 3 > 0", late, f"NOT {late} AND user_id % 3 = 0"]
+    return _upsert_latest_events(spark, sf, [("events", part) for part in parts])
+
+
+def stream_upsert_two_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Two streams with checkpoints of their own feed one table, in turns."""
+    parts = [("a", "event_type = 'purchase'"), ("b", "event_type = 'view'"), ("a", "event_type = 'click'")]
+    return _upsert_latest_events(spark, sf, [*parts, ("b", "event_type NOT IN ('purchase', 'view', 'click')")])
+
+
+def stream_widen(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that gains a column, into a folder and into a table."""
+    base, database = scratch_path(spark, "widen"), _scratch_database(spark)
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    small = F.col("p_partkey") % 2 == 0
+    for kind, where in (("folder", {"path": f"{base}/raw"}), ("table", {"table": f"{database}.parts"})):
+        for step, rows in enumerate((parts.filter(small).drop("p_size"), parts.filter(~small))):
+            stream = _files_as_stream(spark, f"{base}/{kind}/{step}", rows)
+            append_stream(stream, f"{base}/checkpoint-{kind}-{step}", **where)
+    found = read_landed(spark, f"{base}/raw").withColumn("sink", F.lit("folder"))
+    return (
+        found.unionByName(spark.table(f"{database}.parts").withColumn("sink", F.lit("table")), allowMissingColumns=True)
+        .select("sink", "p_partkey", "p_name", "p_size")
+    )
+
+
+def incremental_runs_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed by a stream in two batches; rows of the second have no stamp or an earlier one."""
+    base = scratch_path(spark, "late")
+    raw = star_schema.raw_orders(spark, sf).drop(ROW_ID)
+    target = SnapshotTable(spark, f"{base}/structured", ORDERS.key)
+    early = F.col("quantity") < 20
+    late = F.when(F.col("quantity") % 2 != 0, F.lit("2023-01-01"))
+    for rows, stamp in ((raw.filter(early), F.lit("2024-01-02")), (raw.filter(~early), late)):
+        stream = _files_as_stream(spark, f"{base}/source", rows.withColumn(INSERTED_AT, stamp.cast("timestamp")))
+        append_stream(stream, f"{base}/checkpoint", path=f"{base}/raw")
+        for _ in range(2):  # the second time nothing is new
+            run_feed(ORDERS, read_landed(spark, f"{base}/raw"), target)
+    return _run_report(target)
+
+
 def incremental_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Orders landed in two batches, each structured by an incremental run."""
     base = scratch_path(spark, "runs")
@@ -486,6 +552,58 @@ def incremental_runs(spark: SparkSession, sf: str) -> DataFrame:
     for batch, stamp in ((raw.filter(early), "2024-01-01"), (raw.filter(~early), "2024-01-02")):
         batch.withColumn(INSERTED_AT, F.lit(stamp).cast("timestamp")).write.mode("append").parquet(f"{base}/raw")
         run_feed(ORDERS, with_file_row_id(read_path(spark, f"{base}/raw")), target)
+    return _run_report(target)
+
+
+def run_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run counted while it wrote: outcomes, and failures of each rule."""
+    raw = star_schema.raw_orders(spark, sf).withColumn(INSERTED_AT, F.lit("2024-01-01").cast("timestamp"))
+    target = SnapshotTable(spark, scratch_path(spark, "counted"), ORDERS.key)
+    counts = rule_counts_of(run_feed(ORDERS, raw, target))
+    return spark.createDataFrame(list(counts.items()), "name string, rows long")
+
+
+def lake_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """A round over two feeds, one of them without files yet, and a report of all layers."""
+    base = scratch_path(spark, "lake")
+    events = table(spark, sf, "events")
+    lines = events.select(
+        F.col("event_id").cast("string").alias("order_id"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.col("event_type").alias("product_id"),
+        F.when(F.col("value") > 100, F.lit("INVALID_DATE")).otherwise(F.lit("2024-01-01")).alias("order_date"),
+        F.when(F.col("value") >= 1, F.floor("value").cast("string")).alias("quantity"),
+    )
+    lines.write.csv(f"{base}/source/orders", header=True)
+    names = star_schema.customer_lookups(spark, sf)
+    run_all(spark, f"{base}/source", f"{base}/lake", names)
+    countries, departments = (
+        names[code].withColumn(code.replace("code", "name"), F.col(code)) for code in ("country_code", "department_code")
+    )
+    return lake_reports(spark, f"{base}/lake", countries, departments)["layer_counts"]
+
+
+def catalog_run_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer records landed twice in the catalog, each landing structured by an incremental run."""
+    prefix = f"sluice_{uuid.uuid4().hex}_"
+    set_up_tables(spark, scratch_path(spark, "catalog"), prefix)
+    raw = star_schema.raw_customers(spark, sf).drop(ROW_ID)
+    raw = raw.withColumn(INSERTED_AT, F.col(INSERTED_AT).cast("timestamp"))
+    names = [f"{prefix}raw.customers", f"{prefix}structured.customers", f"{prefix}structured.customers_rejected"]
+    lookups = star_schema.customer_lookups(spark, sf)
+    for number, condition in enumerate(("phone_number IS NULL", "phone_number IS NOT NULL")):
+        land_in_table(raw.filter(condition), names[0], landing_name("driver", number))
+        for _ in range(2):
+            run_feed_into_catalog(CUSTOMERS, *names, lookups, spark=spark, mode="incremental")
+    kept = spark.table(names[1]).select(
+        F.concat_ws(" ", "is_valid_country", "is_valid_department").alias("kind"), "signup_date"
+    )
+    rejects = spark.table(names[2]).select(F.col("rejection_reason").alias("kind"), "signup_date")
+    both = kept.unionByName(rejects).groupBy("kind").agg(F.count("*").alias("rows"), F.max("signup_date").alias("last"))
+    return both.withColumn("last", _day("last"))
+
+
+def _run_report(target: SnapshotTable) -> DataFrame:
     kept = target.read().groupBy("order_year", "order_month").agg(
         F.count("*").alias("rows"), F.sum("quantity").alias("quantity")
     )
@@ -519,6 +637,7 @@ QUERIES: dict[str, Query] = {
         check_email,
         check_positive,
         check_date_range,
+        check_date_range_timed,
         check_length,
         check_reference,
         check_reference_shuffled,
@@ -550,6 +669,7 @@ QUERIES: dict[str, Query] = {
         ingest_batches,
         entity_counts,
         total_sales,
+        total_sales_extremes,
         sales_by_country_top10,
         sales_by_region,
         customers_by_segment,
@@ -562,7 +682,13 @@ QUERIES: dict[str, Query] = {
         quarantine,
         stream_ingest,
         stream_upsert,
+        stream_upsert_two_sources,
+        stream_widen,
         incremental_runs,
+        incremental_runs_late,
+        run_rule_counts,
+        lake_layers,
+        catalog_run_customers,
     )
 }
 

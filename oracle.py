@@ -183,6 +183,26 @@ MERGED_PARTS = f"""
 
 RAW_ORDERS_BY_SUPPLIER = f"SELECT * REPLACE (customer_id AS order_id) FROM ({RAW_ORDERS})"
 RAW_ORDERS_ONE_STAMP = f"SELECT * REPLACE (DATE '2024-01-01' AS inserted) FROM ({RAW_ORDERS})"
+LATEST_EVENTS = """
+    SELECT event_id, user_id, event_type, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rank FROM events)
+    WHERE rank = 1"""
+ROUTED_ORDERS_ONE_STAMP = _routed(RAW_ORDERS_ONE_STAMP, ORDER_COLUMNS, ORDER_FLAGS, ORDER_FAILURES)
+LATE_ORDERS = _routed(
+    f"""SELECT * REPLACE (CASE WHEN quantity < 20 THEN DATE '2024-01-02'
+                            WHEN quantity % 2 <> 0 THEN DATE '2023-01-01' END AS inserted) FROM ({RAW_ORDERS})""",
+    ORDER_COLUMNS,
+    ORDER_FLAGS,
+    ORDER_FAILURES,
+    batch="CASE WHEN quantity < 20 THEN 1 ELSE 2 END",
+)
+BATCHED_CUSTOMERS = _routed(
+    RAW_CUSTOMERS,
+    CUSTOMER_COLUMNS,
+    CUSTOMER_FLAGS,
+    CUSTOMER_FAILURES,
+    batch="CASE WHEN phone_number IS NULL THEN 1 ELSE 2 END",
+)
 BATCHED_ORDERS = _routed(
     RAW_ORDERS_ONE_STAMP,
     ORDER_COLUMNS,
@@ -191,6 +211,21 @@ BATCHED_ORDERS = _routed(
     batch="CASE WHEN quantity < 20 THEN 1 ELSE 2 END",
 )
 
+
+def _run_report(routed: str) -> str:
+    """Structured rows by month, the newest batch of each key, and rejects by reason and batch."""
+    return f"""
+        WITH routed AS (SELECT * FROM {routed} r),
+        clean AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY batch DESC) AS newest
+                  FROM routed WHERE outcome = 'clean')
+        SELECT 'structured' AS layer, '' AS reason, CAST(year(order_date) AS INTEGER) AS order_year,
+               CAST(month(order_date) AS INTEGER) AS order_month, count(*) AS rows, CAST(sum(quantity) AS BIGINT) AS quantity
+        FROM clean WHERE newest = 1 GROUP BY 3, 4
+        UNION ALL
+        SELECT 'rejected', rejection_reason, batch, 0, count(*), CAST(sum(quantity) AS BIGINT)
+        FROM routed WHERE outcome <> 'clean' GROUP BY rejection_reason, batch"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "scan_filter_project": """
         SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderstatus = 'F'""",
@@ -209,6 +244,9 @@ ORACLE_SQL: dict[str, str] = {
     "check_date_range": f"""
         SELECT o_orderkey, {_flag("o_orderdate BETWEEN DATE '1996-01-01' AND DATE '2000-06-30'")} AS is_valid_date
         FROM orders""",
+    "check_date_range_timed": f"""
+        SELECT event_id, {_flag("ts BETWEEN TIMESTAMP '2024-01-03 12:00:00' AND TIMESTAMP '2024-01-20 06:30:00.5'")} AS is_valid_date
+        FROM events""",
     "check_length": f"""
         SELECT doc_id, {_flag("length(text) BETWEEN 20 AND 2000")} AS is_valid_length_text,
                {_flag("length(source) >= 5")} AS is_valid_length_source
@@ -317,7 +355,15 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'customers', count(DISTINCT c_custkey) FROM customer
         UNION ALL SELECT 'products', count(DISTINCT p_partkey) FROM part""",
     "total_sales": """
-        SELECT CAST(sum(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(18, 6))) AS DECIMAL(28, 2)) AS total_sales
+        SELECT CAST(sum(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(18, 6))) AS DECIMAL(28, 2)) AS total_sales,
+               count(*) FILTER (WHERE p_retailprice IS NULL) AS unpriced_orders
+        FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
+    "total_sales_extremes": """
+        SELECT CAST(sum(CAST(l_quantity AS INTEGER) * CASE p_partkey % 50
+                          WHEN 0 THEN CAST(2000000000000 AS DECIMAL(24, 9)) WHEN 1 THEN NULL
+                          WHEN 2 THEN CAST(0.0000001 AS DECIMAL(24, 9))
+                          ELSE CAST(p_retailprice AS DECIMAL(24, 9)) END) AS DECIMAL(28, 2)) AS total_sales,
+               count(*) FILTER (WHERE p_partkey % 50 = 1) AS unpriced_orders
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "sales_by_country_top10": f"""
         SELECT CAST(c_nationkey AS VARCHAR) AS country_code, sales, n_name AS country_name
@@ -369,18 +415,34 @@ ORACLE_SQL: dict[str, str] = {
                  AS _corrupt_records,
                batch
         FROM lines""",
-    "stream_upsert": """
-        SELECT event_id, user_id, event_type, value FROM (
-          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rank FROM events)
-        WHERE rank = 1""",
-    "incremental_runs": f"""
-        WITH routed AS (SELECT * FROM {BATCHED_ORDERS} r),
-        clean AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY batch DESC) AS newest
-                  FROM routed WHERE outcome = 'clean')
-        SELECT 'structured' AS layer, '' AS reason, CAST(year(order_date) AS INTEGER) AS order_year,
-               CAST(month(order_date) AS INTEGER) AS order_month, count(*) AS rows, CAST(sum(quantity) AS BIGINT) AS quantity
-        FROM clean WHERE newest = 1 GROUP BY 3, 4
-        UNION ALL
-        SELECT 'rejected', rejection_reason, batch, 0, count(*), CAST(sum(quantity) AS BIGINT)
-        FROM routed WHERE outcome <> 'clean' GROUP BY rejection_reason, batch""",
+    "stream_upsert": LATEST_EVENTS,
+    "stream_upsert_two_sources": LATEST_EVENTS,
+    "stream_widen": """
+        SELECT sink, p_partkey, p_name, CASE WHEN p_partkey % 2 <> 0 THEN p_size END AS p_size
+        FROM part CROSS JOIN (VALUES ('folder'), ('table')) sinks(sink)""",
+    "incremental_runs": _run_report(BATCHED_ORDERS),
+    "incremental_runs_late": _run_report(LATE_ORDERS),
+    "run_rule_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS rows FROM {ROUTED_ORDERS_ONE_STAMP} r WHERE {condition}"
+        for name, condition in {
+            "rows": "true",
+            **{outcome: f"outcome = '{outcome}'" for outcome in ("clean", "corrupt", "duplicate", "failed")},
+            "failed_has_null_required": "outcome <> 'corrupt' AND has_null_required = 'Y'",
+            "failed_is_valid_quantity": "outcome <> 'corrupt' AND is_valid_quantity = 'N'",
+            "failed_is_valid_date": "outcome <> 'corrupt' AND is_valid_date = 'N'",
+        }.items()
+    ),
+    "lake_layers": """
+        SELECT feed, layer, CASE WHEN feed = 'orders' THEN rows ELSE 0 END AS rows FROM (
+          SELECT 'raw' AS layer, count(*) AS rows FROM events
+          UNION ALL SELECT 'structured', count(*) FILTER (WHERE value >= 1 AND value <= 100) FROM events
+          UNION ALL SELECT 'rejected', count(*) FILTER (WHERE NOT coalesce(value >= 1 AND value <= 100, false)) FROM events) counted
+        CROSS JOIN (VALUES ('customers'), ('orders'), ('products')) feeds(feed)""",
+    "catalog_run_customers": f"""
+        WITH routed AS (SELECT * FROM {BATCHED_CUSTOMERS} r),
+        clean AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY batch DESC) AS newest
+                  FROM routed WHERE outcome = 'clean'),
+        rows AS (SELECT is_valid_country || ' ' || is_valid_department AS kind, signup_date FROM clean WHERE newest = 1
+                 UNION ALL SELECT rejection_reason, signup_date FROM routed WHERE outcome <> 'clean')
+        SELECT kind, count(*) AS rows, strftime(max(signup_date), '%Y-%m-%d') AS last FROM rows GROUP BY kind""",
 }

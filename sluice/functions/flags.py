@@ -36,8 +36,13 @@ def positive(column: str) -> Column:
     return yes_no(F.col(column) > 0)
 
 
-def _as_date(bound: str | dt.date) -> Column:
-    return F.lit(dt.date.fromisoformat(bound) if isinstance(bound, str) else bound)
+def _as_bound(bound: str | dt.date) -> Column:
+    """A date, or a time of day without a zone, as a literal."""
+    if isinstance(bound, str):
+        bound = dt.datetime.fromisoformat(bound) if len(bound.strip()) > 10 else dt.date.fromisoformat(bound)
+    if isinstance(bound, dt.datetime):
+        return F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(bound)
 
 
 def date_between(
@@ -45,14 +50,15 @@ def date_between(
 ) -> Column:
     """``'Y'`` for a date within the bounds, both inclusive and both optional.
 
-    Bounds become date literals here, so a malformed one fails when the plan is
+    A bound may have a time of day; a date is then its first moment. Bounds
+    become literals here, so a malformed one fails when the plan is
     built and a good one can be pushed to the scan.
     """
     conditions = [F.col(column).isNotNull()]
     if min_date:
-        conditions.append(F.col(column) >= _as_date(min_date))
+        conditions.append(F.col(column) >= _as_bound(min_date))
     if max_date:
-        conditions.append(F.col(column) <= _as_date(max_date))
+        conditions.append(F.col(column) <= _as_bound(max_date))
     return yes_no(reduce(and_, conditions))
 
 

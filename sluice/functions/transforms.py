@@ -49,11 +49,13 @@ def price_band(column: str) -> Column:
 
 
 def line_amount(quantity: str, price: str) -> Column:
-    """Quantity times price, exact to six decimals; NULL if the price is unknown.
+    """Quantity times price, exact to nine decimals.
 
-    Decimal, so that sums do not depend on the order in which tasks finish.
+    NULL if the price is unknown, infinite or above 15 digits, or the quantity
+    above 13: such a line has no amount, and reports count it. Decimal, so that
+    sums do not depend on the order in which tasks finish.
     """
-    return F.col(quantity) * F.col(price).cast("decimal(18,6)")
+    return F.col(quantity).try_cast("decimal(13,0)") * F.col(price).try_cast("decimal(24,9)")
 
 
 def map_value(column: str, mapping: Mapping[str, str]) -> Column:

@@ -13,6 +13,7 @@ from sluice import schemas
 from sluice.functions import flags, transforms
 from sluice.operators.quality import Rule
 
+# Names of flags and messages of rules, here and in the rules below.
 REQUIRED = "has_null_required"
 REQUIRED_MESSAGE = "Required field is null"
 

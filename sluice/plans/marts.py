@@ -20,7 +20,7 @@ MONEY = "decimal(28,2)"
 
 
 def _sum_money(column: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0)).cast(MONEY)
+    return F.when(F.count(column) == 0, 0).otherwise(F.try_sum(column)).try_cast(MONEY)
 
 
 def _percent(part: str, whole: str) -> Column:
@@ -117,14 +117,16 @@ def entity_counts(orders: DataFrame, customers: DataFrame, products: DataFrame)
 
 
 def total_sales(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Sum of quantity times price over all orders.
+    """Sum of quantity times price over all orders, and the orders that have no amount (:func:`line_amount`).
 
     Quantities are summed per product before the join: every product then has
     one row, however many orders it has.
     """
-    sold = orders.groupBy("product_id").agg(F.sum("quantity").alias("quantity"))
+    sold = orders.groupBy("product_id").agg(F.sum("quantity").alias("quantity"), F.count("*").alias("orders"))
     priced = sold.join(products.select("product_id", "price"), "product_id", "left")
-    return priced.select(line_amount("quantity", "price").alias("amount")).agg(_sum_money("amount").alias("total_sales"))
+    amounts = priced.select(line_amount("quantity", "price").alias("amount"), "orders")
+    unpriced = F.coalesce(F.sum(F.when(F.col("amount").isNull(), F.col("orders"))), F.lit(0))
+    return amounts.agg(_sum_money("amount").alias("total_sales"), unpriced.alias("unpriced_orders"))
 
 
 def sales_by_country(
@@ -143,7 +145,7 @@ def sales_by_country(
     per_customer = (
         priced.select("customer_id", line_amount("quantity", "price").alias("amount"))
         .groupBy("customer_id")
-        .agg(F.sum("amount").alias("amount"))
+        .agg(F.try_sum("amount").alias("amount"))
     )
     located = per_customer.join(customers.select("customer_id", "country_code"), "customer_id", "left")
     return located.groupBy("country_code").agg(_sum_money("amount").alias("sales"))

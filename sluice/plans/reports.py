@@ -8,11 +8,16 @@ from sluice import storage
 from sluice.plans import marts
 from sluice.plans.feeds import FEEDS
 from sluice.plans.runs import structured_table
+from sluice.schemas import quarantine_schema, raw_schema
+from sluice.sinks.catalog import TABLES
+from sluice.sinks.landing import read_landed
 from sluice.sources.tables import read_path
 
 
-def ingestion_reports(layers: dict[str, dict[str, DataFrame | None]]) -> dict[str, DataFrame]:
-    counts = marts.layer_counts(layers)
+Layers = dict[str, dict[str, DataFrame]]
+
+
+def ingestion_reports(layers: Layers, counts: DataFrame) -> dict[str, DataFrame]:
     return {
         "layer_counts": counts,
         "quality_rate": marts.quality_rate(counts),
@@ -20,10 +25,9 @@ def ingestion_reports(layers: dict[str, dict[str, DataFrame | None]]) -> dict[st
     }
 
 
-def quality_reports(layers: dict[str, dict[str, DataFrame | None]]) -> dict[str, DataFrame]:
-    rejects = {feed: frames["rejected"] for feed, frames in layers.items() if frames["rejected"] is not None}
-    reports = {"rejection_rates": marts.rejection_rates(marts.layer_counts(layers))}
-    return reports | ({"reason_histogram": marts.reason_histogram(rejects)} if rejects else {})
+def quality_reports(layers: Layers, counts: DataFrame) -> dict[str, DataFrame]:
+    rejects = {feed: frames["rejected"] for feed, frames in layers.items()}
+    return {"rejection_rates": marts.rejection_rates(counts), "reason_histogram": marts.reason_histogram(rejects)}
 
 
 def business_reports(
@@ -46,18 +50,30 @@ def business_reports(
     }
 
 
+def lake_layers(spark: SparkSession, lake_root: str) -> Layers:
+    """Raw, structured and rejected rows of each feed; a layer that does not exist yet has no rows."""
+    layers = {}
+    for name, feed in FEEDS.items():
+        target = structured_table(spark, feed, f"{lake_root}/structured/{name}")
+        there = target.current() is not None
+        rejects = target.read_rejects() if there else None
+        structured = TABLES[f"structured.{name}"]
+        layers[name] = {
+            "raw": read_landed(spark, f"{lake_root}/raw/{name}", raw_schema(feed.schema)),
+            "structured": target.read() if there else spark.createDataFrame([], structured),
+            "rejected": rejects if rejects is not None else spark.createDataFrame([], quarantine_schema(feed.schema)),
+        }
+    return layers
+
+
 def lake_reports(
     spark: SparkSession, lake_root: str, countries: DataFrame, departments: DataFrame
 ) -> dict[str, DataFrame]:
-    """Every report, by name."""
-    targets = {name: structured_table(spark, feed, f"{lake_root}/structured/{name}") for name, feed in FEEDS.items()}
-    layers = {
-        name: {
-            "raw": read_path(spark, f"{lake_root}/raw/{name}"),
-            "structured": target.read(),
-            "rejected": target.read_rejects(),
-        }
-        for name, target in targets.items()
-    }
+    """Every report, by name. Rows of the layers are counted once, and the counts written for all reports."""
+    layers = lake_layers(spark, lake_root)
+    path = storage.scratch_path(spark, "layer-counts")
+    marts.layer_counts(layers).write.parquet(path)
+    counts = read_path(spark, path)
     tables = [layers[name]["structured"] for name in ("orders", "customers", "products")]
-    return ingestion_reports(layers) | quality_reports(layers) | business_reports(*tables, countries, departments)
+    reports = ingestion_reports(layers, counts) | quality_reports(layers, counts)
+    return reports | business_reports(*tables, countries, departments)

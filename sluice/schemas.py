@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_records"
@@ -23,6 +22,7 @@ def _struct(required: str = "", **types: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind], name != required) for name, kind in types.items()])
 
 
+# Column names and types of the feeds, the lookups and the structured tables.
 CUSTOMERS_FEED = _struct(
     customer_id="string",
     first_name="string",
@@ -103,71 +103,44 @@ STRUCTURED_PRODUCTS = _struct(
 # Category domain of the products feed.
 CATEGORIES = ["Electronics", "Clothing", "Food", "Books"]
 
-# Country codes in order, their names, and the region each one reports to.
-COUNTRIES = [
-    ("AE", "United Arab Emirates", "Middle East"),
-    ("AR", "Argentina", "South America"),
-    ("AU", "Australia", "Oceania"),
-    ("BE", "Belgium", "Europe"),
-    ("BR", "Brazil", "South America"),
-    ("CA", "Canada", "North America"),
-    ("CH", "Switzerland", "Europe"),
-    ("CN", "China", "Asia"),
-    ("DE", "Germany", "Europe"),
-    ("DK", "Denmark", "Europe"),
-    ("EG", "Egypt", "Africa"),
-    ("ES", "Spain", "Europe"),
-    ("FI", "Finland", "Europe"),
-    ("FR", "France", "Europe"),
-    ("GB", "United Kingdom", "Europe"),
-    ("GR", "Greece", "Europe"),
-    ("IE", "Ireland", "Europe"),
-    ("IL", "Israel", "Asia"),
-    ("IN", "India", "Asia"),
-    ("IT", "Italy", "Europe"),
-    ("JP", "Japan", "Asia"),
-    ("KR", "South Korea", "Asia"),
-    ("MX", "Mexico", "North America"),
-    ("MY", "Malaysia", "Asia"),
-    ("NL", "Netherlands", "Europe"),
-    ("NO", "Norway", "Europe"),
-    ("NZ", "New Zealand", "Oceania"),
-    ("PH", "Philippines", "Asia"),
-    ("PL", "Poland", "Europe"),
-    ("PT", "Portugal", "Europe"),
-    ("RU", "Russia", "Eastern Europe"),
-    ("SA", "Saudi Arabia", "Middle East"),
-    ("SE", "Sweden", "Europe"),
-    ("SG", "Singapore", "Asia"),
-    ("TH", "Thailand", "Asia"),
-    ("TR", "Turkey", "Europe"),
-    ("US", "United States", "North America"),
-    ("ZA", "South Africa", "Africa"),
-]
-REGION_OF_COUNTRY = {code: region for code, _, region in COUNTRIES}
-
-# Department codes in order, and their names.
-DEPARTMENTS = [
-    ("ADM", "Administration"),
-    ("ENG", "Engineering"),
-    ("FIN", "Finance"),
-    ("HR", "Human Resources"),
-    ("IT", "Information Technology"),
-    ("LEGAL", "Legal"),
-    ("LOG", "Logistics"),
-    ("MKT", "Marketing"),
-    ("OPS", "Operations"),
-    ("PROC", "Procurement"),
-    ("QA", "Quality Assurance"),
-    ("RND", "Research & Development"),
-    ("SALES", "Sales"),
-    ("SUPPORT", "Customer Support"),
-]
-
-
-def country_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(code, name) for code, name, _ in COUNTRIES], COUNTRY_LOOKUP)
-
-
-def department_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEPARTMENTS, DEPARTMENT_LOOKUP)
+# The region that each country code reports to.
+REGION_OF_COUNTRY = {
+    "AE": "Middle East",
+    "AR": "South America",
+    "AU": "Oceania",
+    "BE": "Europe",
+    "BR": "South America",
+    "CA": "North America",
+    "CH": "Europe",
+    "CN": "Asia",
+    "DE": "Europe",
+    "DK": "Europe",
+    "EG": "Africa",
+    "ES": "Europe",
+    "FI": "Europe",
+    "FR": "Europe",
+    "GB": "Europe",
+    "GR": "Europe",
+    "IE": "Europe",
+    "IL": "Asia",
+    "IN": "Asia",
+    "IT": "Europe",
+    "JP": "Asia",
+    "KR": "Asia",
+    "MX": "North America",
+    "MY": "Asia",
+    "NL": "Europe",
+    "NO": "Europe",
+    "NZ": "Oceania",
+    "PH": "Asia",
+    "PL": "Europe",
+    "PT": "Europe",
+    "RU": "Eastern Europe",
+    "SA": "Middle East",
+    "SE": "Europe",
+    "SG": "Asia",
+    "TH": "Asia",
+    "TR": "Europe",
+    "US": "North America",
+    "ZA": "Africa",
+}

@@ -14,14 +14,21 @@ SETTINGS = {
 }
 
 
+MAX_PARTITIONS = 50_000
+
+
 def sized_for(input_bytes: int, cores: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Scan and shuffle settings for a cluster's cores and the size of a run's input.
 
+    Above ``MAX_PARTITIONS`` partitions, what the driver keeps about every pair
+    of map and reduce task costs more than larger partitions do; they grow instead.
+
     Shuffle partitions of about ``partition_bytes`` are sorted without much
     spilling, and three tasks per core even out slow ones; adaptive execution
     merges what turns out smaller, up to the same size. Large numbers are a
     multiple of the bucket count of upsert tables, which saves those a shuffle.
     """
+    partition_bytes = max(partition_bytes, -(-input_bytes // MAX_PARTITIONS))
     partitions = max(3 * cores, -(-input_bytes // partition_bytes))
     if partitions > MAX_DEFAULT_BUCKETS:
         partitions = -(-partitions // MAX_DEFAULT_BUCKETS) * MAX_DEFAULT_BUCKETS

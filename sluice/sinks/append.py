@@ -32,7 +32,8 @@ def write_append(df: DataFrame, table_name: str, partition_columns: list[str] |
     spark = df.sparkSession
     if spark.catalog.tableExists(table_name):
         widen_table(spark, table_name, df.schema)
-        df = _conform(spark, table_name, df)
+        _conform(spark, table_name, df).write.insertInto(table_name)  # into the table's own partitions
+        return
     writer = df.write.mode("append")
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from sluice import schemas
+from sluice.sinks.landing import LANDING
 
 TABLES: dict[str, StructType] = {
     "raw.customers": schemas.raw_schema(schemas.CUSTOMERS_FEED),
@@ -36,13 +37,17 @@ def set_up_tables(
     """Create what is missing and return all table names.
 
     ``location`` keeps the databases below one folder; ``prefix`` is put before
-    the database names.
+    the database names. Raw tables are partitioned by landing.
     """
     for database in sorted({name.split(".")[0] for name in TABLES}):
         where = f" LOCATION '{location}/{database}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{database}{where}")
     names = []
     for name, schema in TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({_columns_ddl(schema)}) USING {table_format}")
+        landed = f", `{LANDING}` STRING" if name.startswith("raw.") else ""
+        parts = f" PARTITIONED BY ({LANDING})" if landed else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({_columns_ddl(schema)}{landed}) USING {table_format}{parts}"
+        )
         names.append(f"{prefix}{name}")
     return names

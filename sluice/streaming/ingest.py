@@ -7,8 +7,17 @@ from pyspark.sql import functions as F
 
 from sluice.operators.dedup import keep_first
 from sluice.schemas import INSERTED_AT
+from sluice.sinks.landing import (
+    create_landing_table,
+    land_in_folder,
+    land_in_table,
+    landing_name,
+    stream_id,
+    widen_folder,
+)
 from sluice.sinks.snapshot import SnapshotTable
 from sluice.sources.csv import read_feed_stream
+from sluice.storage import delete, scratch_path
 
 
 def stamp(stream: DataFrame) -> DataFrame:
@@ -22,16 +31,35 @@ def append_stream(
     """Process all input not seen yet, append it to a table or folder, and stop.
 
     The checkpoint folder remembers which input is done, so a rerun takes up
-    new files only and a failed run continues where it stopped.
+    new files only and a failed run continues where it stopped. Every batch
+    lands in a partition of its own (:mod:`sluice.sinks.landing`), which a
+    repeated batch replaces. A table or folder that lacks columns of the stream
+    is widened first; a column that changed its type is refused.
     """
-    writer = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
+    spark = stream.sparkSession
+    if table:
+        create_landing_table(spark, table, stream.schema)
+    else:
+        widen_folder(spark, path, stream.schema)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        landing = landing_name(stream_id(spark, checkpoint_path), batch_id)
+        if table:
+            land_in_table(batch, table, landing)
+        else:
+            land_in_folder(batch, path, landing)
+
+    _drain(stream, land, checkpoint_path)
+
+
+def _drain(stream: DataFrame, apply, checkpoint_path: str) -> None:
+    (
+        stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
     )
-    query = writer.toTable(table) if table else writer.start(path)
-    query.awaitTermination()
 
 
 def ingest_feed(
@@ -55,24 +83,36 @@ def ingest_feed(
 def upsert_stream(
     stream: DataFrame, target: SnapshotTable, order: list[Column], checkpoint_path: str
 ) -> None:
-    """Upsert all input not seen yet: per micro-batch, the first row of each key by ``order``.
-
-    The batch number is published with the rows. A batch that is replayed after
-    a failure finds its number there and is skipped.
+    """Upsert all input not seen yet: the table holds, of all rows ever streamed, the first of each key by ``order``.
+
+    A batch's rows are compared with the stored ones of their keys, so a late
+    row replaces nothing that comes before it in ``order``, whichever batch or
+    stream brought it. Batch numbers are published with the rows, per stream: a
+    batch that is replayed after a failure finds its number there and is
+    skipped. A NULL key is refused. The winners of a batch are written to the
+    scratch folder, since the table reads them more than once.
     """
+    spark = stream.sparkSession
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        name = stream_id(spark, checkpoint_path)
         snapshot = target.current()
-        if snapshot is not None and snapshot.state.get("stream_batch", -1) >= batch_id:
+        done = snapshot.state.get("stream_batches", {}) if snapshot is not None else {}
+        if done.get(name, -1) >= batch_id:
             return
-        rows = keep_first(batch, [target.key], order).persist()
-        target.upsert(rows, check_keys=False, state={"stream_batch": batch_id})
-        rows.unpersist()
-
-    (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+        stage = scratch_path(spark, "winners")
+        try:
+            keep_first(batch, [target.key], order).write.parquet(stage)
+            rows = spark.read.schema(batch.schema).parquet(stage)
+            if not rows.filter(F.col(target.key).isNull()).isEmpty():
+                raise ValueError(f"a streamed row has no {target.key}")
+            if snapshot is not None:
+                stored = target.read().join(rows.select(target.key), target.key, "left_semi")
+                rows = keep_first(rows.unionByName(stored, allowMissingColumns=True), [target.key], order)
+                rows.write.parquet(f"{stage}/merged")
+                rows = spark.read.schema(rows.schema).parquet(f"{stage}/merged")
+            target.upsert(rows, check_keys=False, state={"stream_batches": done | {name: batch_id}})
+        finally:
+            delete(spark, stage)
+
+    _drain(stream, apply, checkpoint_path)
