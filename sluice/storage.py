@@ -76,7 +76,11 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file whole or not at all; fails if it already exists."""
+    """Create a small file by writing a draft and renaming it; fails if the file already exists.
+
+    The single writer of a table is what makes this safe: between the look and
+    the rename, file systems without an atomic rename would let two writers through.
+    """
     jvm = spark.sparkContext._jvm
     target, fs = _hadoop_path(spark, path)
     fs.mkdirs(target.getParent())
