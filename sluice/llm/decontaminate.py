@@ -11,7 +11,8 @@
    alignment of words, +2 for equal words, -1 for a replaced, added or missing
    one. The score is divided by that of the whole item, so 1 is a full copy
    and edited or paraphrased copies keep what their edits leave.
-4. A document leaks an item if a passage scores ``threshold`` or more.
+4. A document leaks an item if a passage scores ``threshold`` or more, and at
+   least what ``LEAST_WORDS`` equal words score (or the whole of a shorter item).
 
 What goes to every task is a bitmap of hashed n-grams of a fixed size
 (``BITMAP_BITS``); it only rules words out. The joins with the n-grams of items
@@ -41,6 +42,8 @@ N = 3
 WINDOW = 4
 BITMAP_BITS = 24
 MATCH, MISS, GAP = 2, -1, -1
+# What a few words in common are worth says nothing about a short item: it takes this many, or all it has.
+LEAST_WORDS = 5
 
 _PRIME = 0x100000001B3
 _PIECE = 1 << 20
@@ -284,7 +287,8 @@ def _align_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 score, start, stop = align(a[low:high], b)
                 if score > best[0]:
                     best = (score, low + start, low + stop)
-            out.append((best[0] / (MATCH * max(1, len(b))), first + best[1], first + best[2]))
+            enough = best[0] >= MATCH * min(LEAST_WORDS, len(b))
+            out.append((best[0] / (MATCH * len(b)) if enough and b else 0.0, first + best[1], first + best[2]))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc"),
