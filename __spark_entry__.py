@@ -296,6 +296,16 @@ def structured_orders(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("order_date", _day("order_date")).drop(STRUCTURED_AT)
 
 
+def structured_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    """The processing time of structured rows: one for all, and not in the future."""
+    rows = structured_rows(ORDERS, _routed(spark, sf, "orders"))
+    stamp = F.col(STRUCTURED_AT)
+    return rows.groupBy("order_year").agg(
+        F.count_if(stamp.isNotNull() & (stamp <= F.current_timestamp())).alias("stamped"),
+        F.count_distinct(stamp).alias("stamps"),
+    )
+
+
 def structured_customers(spark: SparkSession, sf: str) -> DataFrame:
     rows = structured_rows(CUSTOMERS, _routed(spark, sf, "customers"))
     return rows.withColumn("signup_date", _day("signup_date")).drop(STRUCTURED_AT)
@@ -659,6 +669,7 @@ QUERIES: dict[str, Query] = {
         route_orders_hot,
         route_orders_prefer_valid,
         structured_orders,
+        structured_stamp,
         structured_customers,
         structured_products,
         rejected_customers,

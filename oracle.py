@@ -307,6 +307,9 @@ ORACLE_SQL: dict[str, str] = {
         _routed(RAW_ORDERS, ORDER_COLUMNS, ORDER_FLAGS, ORDER_FAILURES, prefer_valid=True),
         ("order_date",),
     ),
+    "structured_stamp": f"""
+        SELECT CAST(year(order_date) AS INTEGER) AS order_year, count(*) AS stamped, 1 AS stamps
+        FROM {ROUTED_ORDERS} r WHERE outcome = 'clean' GROUP BY 1""",
     "structured_orders": f"""
         SELECT order_id, customer_id, product_id, strftime(order_date, '%Y-%m-%d') AS order_date,
                CAST(year(order_date) AS INTEGER) AS order_year, CAST(month(order_date) AS INTEGER) AS order_month,

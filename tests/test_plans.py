@@ -1,15 +1,17 @@
 """What Catalyst makes of the plans: pushed filters, pruned scans, few shuffles."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import dedup, quality
+from sluice.operators.skew import SkewGuard
 from sluice.plans import marts, star_schema
-from sluice.plans.feeds import ORDERS
+from sluice.plans.feeds import CUSTOMERS, ORDERS
 from sluice.plans.routing import route, structured_rows
-from sluice.sources.tables import ROW_ID, rows_after, select_where
+from sluice.sources.tables import ROW_ID, rows_after, select_where, with_file_row_id
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -89,3 +91,26 @@ def test_no_python_workers(spark, name):
 
     text = plan(queries()[name](spark, FOLDER))
     assert not re.search(r"Python|Pandas|Arrow", text)
+
+
+def test_probes_read_raw_rows_only(spark, tmp_path, monkeypatch):
+    """With every lookup over the limit and hot keys: no probe joins or ranks, and each lookup is computed once."""
+    star_schema.raw_customers(spark, FOLDER).drop(ROW_ID).write.parquet(str(tmp_path / "raw"))
+    raw = with_file_row_id(spark.read.parquet(str(tmp_path / "raw")))
+    lookups = star_schema.customer_lookups(spark, FOLDER)
+    columns = ["customer_id", "is_valid_country", "is_valid_department", "outcome"]
+    plain = Counter(map(tuple, route(CUSTOMERS, raw, lookups).select(*columns).collect()))
+
+    probes, original = [], SkewGuard.hot_keys
+
+    def watched(self, df, keys):
+        probes.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return original(self, df, keys)
+
+    monkeypatch.setattr(SkewGuard, "hot_keys", watched)
+    monkeypatch.setattr("sluice.operators.skew.fits_broadcast", lambda *_, **__: False)
+    routed = route(CUSTOMERS, raw, lookups, guard=SkewGuard(min_rows=5))
+    assert probes and not any(word in text for text in probes for word in ("Join", "Window", "Aggregate"))
+    text = routed._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in text and "nation" not in text  # lookups come from where they were written
+    assert Counter(map(tuple, routed.select(*columns).collect())) == plain
