@@ -28,7 +28,7 @@ def op2_tag_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
     archive = warc.write(table(spark, folder, "pages"))
-    captures = warc.assemble(warc.read(spark, archive, with_payload=False))
+    captures = warc.assemble(materialise(warc.read(spark, archive, with_payload=False), "records"))
     captures = captures.select(
         "capture",
         warc.page_number().alias("page_id"),

@@ -6,8 +6,9 @@ A capture is three records: a request and a metadata record name the response
 
 Writing: records are composed by DataFrame functions and written by Spark's text
 writer. Every WARC record ends in two line breaks, so those are the writer's line
-separator, and a part file is a plain or gzipped WARC file. Partitions are
-rebalanced to the advisory size first, which bounds the size of a file.
+separator, and a part file is a plain or gzipped WARC file. It holds what one
+task writes: a split of the pages, or a shuffle partition of the join by
+payload, which adaptive execution keeps near its advisory size.
 
 Reading: each file is parsed as a stream by its content lengths, in the task that
 reads it. Records are then joined: requests and metadata to the response that
@@ -115,7 +116,7 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 def write(pages: DataFrame, path: str | None = None, compression: str = "gzip", **columns) -> str:
     """Write the captures of ``pages`` as WARC files into a new folder, whose path is returned."""
     path = path or scratch_path(pages.sparkSession, "warc")
-    found = records(pages, **columns).hint("rebalance")
+    found = records(pages, **columns)
     found.write.option("lineSep", _BREAK + _BREAK).option("compression", compression).text(path)
     return path
 
@@ -208,7 +209,11 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
 
 
 def assemble(found: DataFrame) -> DataFrame:
-    """One row per capture: ``request``, ``response`` (a response or revisit) and ``metadata``, nested."""
+    """One row per capture: ``request``, ``response`` (a response or revisit) and ``metadata``, nested.
+
+    ``found`` is read once for each kind of record; hand in a table rather than
+    archives that would be parsed each time.
+    """
     whole = F.struct(*[F.col(name) for name in found.columns])
 
     def of(*types: str, name: str) -> DataFrame:
