@@ -19,14 +19,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(least.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -37,8 +37,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     harmless, nulls are ignored. Alternates the two star operations (Kiveris et
     al., 2014) until the edge set stops changing: then every edge points at the
     smallest node of its component. Minima are combined before the shuffle and
-    the hub of a star is one row on the other side of a join, so that a hub
-    with a third of all edges can be split by adaptive execution. Each round is
+    the hub of a star is one row on the other side of a sort-merge join, so that
+    a hub with a third of all edges is split by adaptive execution. Each round is
     written to the scratch folder; the driver sees two numbers per round.
     """
     left, right = edges.columns
