@@ -56,6 +56,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
     return texts.join(F.broadcast(chosen), "doc_id").select("_text", "_label")
 
 
+def join_key(*names: str) -> Column:
+    """Columns as one join key that no earlier aggregate has partitioned by.
+
+    A side that was aggregated by the plain columns would share its shuffle with
+    the join, and adaptive execution does not split hot keys of a shared shuffle.
+    """
+    return F.struct(*names)
+
+
 ROW = ("__row_file", "__row_at")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise
+from sluice.llm.common import join_key, materialise
 
 
 def _signature(edges: DataFrame) -> tuple[int, int]:
@@ -15,18 +15,24 @@ def _signature(edges: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["h"] or 0)
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges with their node's ``m``; a hub's edges can be split."""
+    keyed = least.select(join_key("u").alias("_node"), "m").hint("merge")
+    return edges.withColumn("_node", join_key("u")).join(keyed, "_node").drop("_node")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both, least).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least.hint("merge"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(down, least).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ROW, as_bytes, materialise, with_rows
+from sluice.llm.common import ROW, as_bytes, join_key, materialise, with_rows
 from sluice.llm.components import connected_components
 
 SEED = 42
@@ -211,7 +211,8 @@ def link_fingerprints(prints: DataFrame, radius: int = 4, blocks: int = 6, shard
         F.col("c.choice").alias("choice"), F.expr("print & c.mask").alias("masked"), "print", "node"
     )
     sizes = routed.groupBy("choice", "masked").agg(F.count("*").alias("size")).filter("size > 1")
-    met = routed.join(sizes, ["choice", "masked"])
+    sizes = sizes.select(join_key("choice", "masked").alias("shard"), "size")
+    met = routed.withColumn("shard", join_key("choice", "masked")).join(sizes, "shard")
     # Chunk pairs (tree chunk <= asking chunk) of a large shard; a small one is its own only pair.
     met = met.withColumn("n", F.ceil(F.col("size") / F.lit(shard_rows)).cast("int"))
     met = met.withColumn("own", F.pmod(F.xxhash64("print"), F.col("n")).cast("int"))

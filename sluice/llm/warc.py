@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ROW, with_rows
+from sluice.llm.common import ROW, join_key, with_rows
 from sluice.storage import exists, scratch_path
 
 LEAST_BYTES = 1000
@@ -68,8 +68,8 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     large = rows.filter(F.col("bytes") >= LEAST_BYTES).groupBy(F.col("digest").alias("_digest")).agg(
         F.max(F.struct("id", *ROW, "urn", "url")).alias("first"), F.count("*").alias("n")
     )
-    large = large.filter("n > 1").select("_digest", "first")
-    joined = rows.join(large, (F.col("digest") == F.col("_digest")) & (F.col("bytes") >= LEAST_BYTES), "left")
+    large = large.filter("n > 1").withColumnRenamed("_digest", "digest").select(join_key("digest").alias("_payload"), "first")
+    joined = rows.join(large, (join_key("digest") == F.col("_payload")) & (F.col("bytes") >= LEAST_BYTES), "left")
     revisit = F.col("first").isNotNull() & (F.col("first.urn") != F.col("urn"))
     clean = lambda c: F.replace(F.replace(c, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     target = ("WARC-Target-URI", clean(F.col("url")))
