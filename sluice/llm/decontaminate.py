@@ -156,7 +156,7 @@ def bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     """A set of 64-bit keys folded into ``2**bits`` bits; at most ``2**bits / 64`` rows reach the driver."""
     slot = F.col("gram").bitwiseAND((1 << bits) - 1)
     words = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(gram & 63 as int))")).alias("bits")
+        F.bit_or(F.expr("shiftleft(1L, cast(gram & 63 as int))")).alias("bits")
     )
     rows = words.toArrow()
     held = np.zeros(1 << (bits - 6), np.int64)

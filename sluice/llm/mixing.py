@@ -59,10 +59,15 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return ranked.select("source", "source_size", target.cast("double").alias("target"))
 
 
+def _hash(seed: int, value: Column) -> Column:
+    """The first 60 bits of an MD5."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), value)), 1, 15)
+    return F.conv(digits, 16, 10).cast("long")
+
+
 def _offset(seed: int) -> Column:
     """A number below UNIT for each source."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("\x00")))), 1, 12)
-    return F.conv(digits, 16, 10).cast("long") % UNIT
+    return _hash(seed, F.coalesce("source", F.lit("\x00"))) % UNIT
 
 
 def plan_mix(
@@ -83,7 +88,7 @@ def plan_mix(
     wanted = wanted.withColumn("units", units.cast("decimal(20,0)"))
     wanted = materialise(wanted, "targets").withColumnRenamed("source", "_source")
     planned = sized.join(wanted, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    planned = planned.withColumn("order", F.xxhash64("doc_id", F.lit(seed)))
+    planned = planned.withColumn("order", _hash(seed, F.col("doc_id").cast("string")))
     summed = prefix_sums(planned, "source", ["size", "order", "doc_id", *ROW], "units")
     summed = materialise(summed.withColumn("start", _offset(seed)).drop("order"), "prefixes")
 

@@ -148,5 +148,42 @@ FROM hashed h JOIN placed p ON h.hash = p.hash
 JOIN fits f ON f.depth = p.depth AND f.prefix = h.hash >> (60 - p.depth)
 """
 
-# Copies are counted over documents in the order of size; which of several equal sizes is taken depends on the order of
-# rows in the files, so the SQL is left out and tests compare with brute force.
+# Water-filled targets, then systematic sampling in the order of size, with the best of 16 offsets of each source.
+ORACLE_SQL["op10_systematic_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('0:' || CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS pick
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sources
+), levels AS (
+  SELECT *, CAST(3 * source_size AS DOUBLE) / weight AS bound,
+         (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(3 * source_size) OVER before, 0))
+           / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM weighed
+  WINDOW before AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN bound < level THEN CAST(3 * source_size AS DOUBLE)
+              ELSE weight * (SELECT arg_min(level, (bound, coalesce(source, chr(1114111)))) FROM levels WHERE bound >= level) END AS target
+  FROM levels
+), placed AS (
+  SELECT *, sum(units) OVER (PARTITION BY source ORDER BY size, pick, doc_id) AS prefix FROM (
+    SELECT s.*, t.source_size, t.target,
+           CAST(floor((CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END) * 1000000000) AS HUGEINT) AS units,
+           CAST('0x' || substr(md5('0:' || coalesce(s.source, chr(0))), 1, 15) AS BIGINT) % 1000000000 AS start
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+), tried AS (
+  SELECT *, (prefix + shift) // 1000000000 - (prefix - units + shift) // 1000000000 AS copies
+  FROM (SELECT *, (start + k * 62500000) % 1000000000 AS shift FROM placed, generate_series(0, 15) AS offsets(k))
+), chosen AS (
+  SELECT source, arg_min(shift, (distance, shift)) AS shift FROM (
+    SELECT source, shift, abs(CAST(sum(size * copies) AS DOUBLE) - any_value(target)) AS distance FROM tried GROUP BY source, shift)
+  GROUP BY source
+)
+SELECT t.doc_id, t.size, t.source_size, t.target, CAST(t.size * t.copies AS BIGINT) AS taken
+FROM tried t JOIN chosen c ON t.source IS NOT DISTINCT FROM c.source AND t.shift = c.shift
+"""

@@ -45,7 +45,7 @@ def _bits(depth: Column | int, hashes: str = "hash") -> Column:
 
 
 def _leaves(sizes: DataFrame, low: int, high: int, limit: int) -> DataFrame:
-    """For prefixes of ``high`` bits with ``(bits, bytes, docs, hashes)``: their shard, or null if none of up to ``high`` bits fits.
+    """For prefixes of ``high`` bits with ``(bits, bytes, docs)``: their shard, or null if none of up to ``high`` bits fits.
 
     Shards of fewer than ``low`` bits are known not to fit.
     """
