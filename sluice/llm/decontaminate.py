@@ -1,13 +1,15 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 1. Every n-gram of words of the test items is looked up in the training texts,
-   and its rows there are counted.
-2. Of each window of ``WINDOW`` consecutive n-grams of an item the rarest one in
-   training texts becomes a seed. So common phrases seldom seed anything, yet
-   any unedited run of ``n + WINDOW - 1`` words of an item holds a seed, however
-   often the item was copied.
+   and its rows there are counted. N-grams may skip up to ``SKIP`` words, in
+   items and texts alike, so that an edited word does not break them.
+2. An alignment that reaches the threshold has so few edits that it must share
+   n-grams at ``sure_places`` places of the item at least, wherever the edits
+   are. So the most common places of an item may go unseeded, as long as ``NEED``
+   of the sure ones are left; n-grams that an edit has broken take no other's place.
 3. Training passages around seeds are cut out, seeds are joined to their items,
-   and each passage is aligned with each item it shares a seed with: local
+   and each passage is aligned with each item it shares ``NEED`` seeded places
+   with (one, where no more are sure) and enough words: local
    alignment of words, +2 for equal words, -1 for a replaced, added or missing
    one. The score is divided by that of the whole item, so 1 is a full copy
    and edited or paraphrased copies keep what their edits leave.
@@ -22,24 +24,31 @@ pieces of about a megabyte, and never shuffled; passages are.
 
 Words are runs of letters, digits, ``_`` and non-ASCII characters in lower case.
 Defined cases: null and empty texts and items share nothing; an item with fewer
-than ``n`` words is its own only seed; repeated rows of a document or item give
+than ``n`` words is its own only seed; with ``n = 3`` and a threshold of 0.5 or
+more, what is found is what aligning every text with every item finds (below
+that, short items may have no sure place and are seeded with all they have);
+repeated rows of a document or item give
 one result per id pair; null ids are ids of their own; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import product
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import ROW, materialise, with_rows
 
 N = 3
-WINDOW = 4
+SKIP = 2
+NEED = 2
 BITMAP_BITS = 24
 MATCH, MISS, GAP = 2, -1, -1
 # What a few words in common are worth says nothing about a short item: it takes this many, or all it has.
@@ -107,55 +116,87 @@ def batch_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return number, start - offsets[number], stop - offsets[number], hashes
 
 
-def grams(number: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(index of first word, hash)`` of every run of n words within one text."""
-    if len(hashes) < n:
+def shapes(width: int) -> list[tuple[int, ...]]:
+    """Places of the words of an n-gram, from its first: in a row, or with up to ``SKIP`` words skipped."""
+    if width < 2:
+        return [(0,)]
+    steps = product(range(1, SKIP + 2), repeat=width - 1)
+    return [tuple(sum(x[:k]) for k in range(width)) for x in steps if sum(x) <= width - 1 + SKIP]
+
+
+def grams(number: np.ndarray, hashes: np.ndarray, shape: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """``(index of first word, hash)`` of every n-gram of a shape within one text."""
+    last = len(hashes) - shape[-1]
+    if last <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    last = len(hashes) - n + 1
-    value = np.full(last, n, np.uint64)
-    for k in range(n):
+    value = np.full(last, len(shape), np.uint64)
+    for k in shape:
         value = value * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + last]
-    whole = np.flatnonzero(number[:last] == number[n - 1 :])
-    return whole, _mix(value)[whole].view(np.int64)
+    whole = np.flatnonzero(number[:last] == number[shape[-1] :])
+    return whole, _mix(value[whole]).view(np.int64)
+
+
+def least_score(size: int, threshold: float) -> int:
+    """The score that an item of ``size`` words must reach."""
+    return max(ceil(MATCH * size * threshold - 1e-9), MATCH * min(LEAST_WORDS, size))
+
+
+def sure_places(size: int, n: int, threshold: float) -> int:
+    """Places of an item that share an n-gram with any passage reaching the threshold, at least.
+
+    With m equal words, a score of s leaves 2 m - s edits, in the m - 1 gaps between
+    them. Each gap is in n - 1 of the m - n + 1 runs of n equal words, and a run with
+    up to ``SKIP`` edits inside is an n-gram of some shape on both sides.
+    """
+    if size <= n:
+        return 1
+    score = least_score(size, threshold)
+    return max(0, min(m - n + 1 - (n - 1) * (MATCH * m - score) // (SKIP + 1) for m in range(ceil(score / MATCH), size + 1)))
 
 
 def _bytes(column) -> F.Column:
     return F.lower(F.coalesce(column, F.lit(""))).cast("binary")
 
 
-def item_grams(items: DataFrame, text: str, n: int) -> DataFrame:
-    """``(item, place, gram, width)`` of every n-gram of every item."""
+def item_grams(items: DataFrame, text: str, n: int, threshold: float) -> DataFrame:
+    """``(item, version, place, gram, width, size, spare, need)`` of every n-gram of every item.
+
+    ``size`` is the item's number of words; of its places, the ``spare`` most common ones
+    need no seed, and ``need`` of the others are in any passage that reaches the threshold.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number, _, _, hashes = batch_words(batch.column("text"))
             first = np.searchsorted(number, np.arange(batch.num_rows))
             size = np.bincount(number, minlength=batch.num_rows)
-            parts = [(*grams(number, hashes, n), n)]
+            parts = [(*grams(number, hashes, shape), n) for shape in shapes(n)]
             for width in range(1, n):  # items too short for an n-gram
-                at, gram = grams(number, hashes, width)
+                at, gram = grams(number, hashes, tuple(range(width)))
                 short = size[number[at]] == width
                 parts.append((at[short], gram[short], width))
+            sure = np.array([sure_places(int(x), n, threshold) for x in size], np.int32)
+            need = np.clip(sure, 1, NEED)
+            spare = np.maximum(sure - need, 0)
             for at, gram, width in parts:
+                which = number[at]
+                columns = [batch.column("version").to_numpy()[which], at - first[which], gram, np.full(len(at), width), size[which], spare[which], need[which]]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("item").take(pa.array(number[at])),
-                        pa.array((at - first[number[at]]).astype(np.int32)),
-                        pa.array(gram),
-                        pa.array(np.full(len(at), width, np.int32)),
-                    ],
-                    ["item", "place", "gram", "width"],
+                    [batch.column("item").take(pa.array(which))]
+                    + [pa.array(x.astype(np.int64 if k in (0, 2) else np.int32)) for k, x in enumerate(columns)],
+                    ["item", "version", "place", "gram", "width", "size", "spare", "need"],
                 )
 
-    rows = items.select("item", _bytes(F.col(text)).alias("text"))
+    rows = items.select("item", "version", _bytes(F.col(text)).alias("text"))
     kind = items.schema["item"].dataType.simpleString()
-    return rows.mapInArrow(run, f"item {kind}, place int, gram long, width int")
+    return rows.mapInArrow(run, f"item {kind}, version long, place int, gram long, width int, size int, spare int, need int")
 
 
 def bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A set of 64-bit keys folded into ``2**bits`` bits; at most ``2**bits / 64`` rows reach the driver."""
+    """A set of 64-bit keys, two of ``2**bits`` bits each; at most ``2**bits / 64`` rows reach the driver."""
+    slots = F.explode(F.array("gram", F.shiftright("gram", 32))).alias("gram")
     slot = F.col("gram").bitwiseAND((1 << bits) - 1)
-    words = keys.groupBy(F.shiftright(slot, 6).alias("word")).agg(
+    words = keys.select(slots).groupBy(F.shiftright(slot, 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(gram & 63 as int))")).alias("bits")
     )
     rows = words.toArrow()
@@ -165,54 +206,73 @@ def bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
 
 
 def _is_set(held: np.ndarray, gram: np.ndarray, bits: int) -> np.ndarray:
-    slot = gram.view(np.uint64) & np.uint64((1 << bits) - 1)
-    return (held[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    """Whether a key may be in the set."""
 
+    def bit(keys: np.ndarray) -> np.ndarray:
+        slot = keys & np.uint64((1 << bits) - 1)
+        return (held[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
-def _matches(held, bits: int, widths: list[int], number: np.ndarray, hashes: np.ndarray):
+    keys = gram.view(np.uint64)
+    there = bit(keys)
+    there[there] = bit(keys[there] >> np.uint64(32))
+    return there
+
+
+def _matches(held, bits: int, widths: list[int], n: int, number: np.ndarray, hashes: np.ndarray):
     for width in widths:
-        at, gram = grams(number, hashes, width)
-        there = _is_set(held, gram, bits)
-        yield at[there], gram[there], width
+        for shape in shapes(n) if width == n else [tuple(range(width))]:
+            at, gram = grams(number, hashes, shape)
+            there = _is_set(held, gram, bits)
+            yield at[there], gram[there]
 
 
-def _count(spark: SparkSession, docs: DataFrame, known: DataFrame, widths: list[int], bits: int) -> DataFrame:
+def _count(spark: SparkSession, docs: DataFrame, known: DataFrame, widths: list[int], n: int, bits: int) -> DataFrame:
     """``(gram, rows)``: occurrences in training texts of the n-grams that items have."""
     held = spark.sparkContext.broadcast(bitmap(known, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number, _, _, hashes = batch_words(batch.column("text"))
-            for _, gram, _ in _matches(held.value, bits, widths, number, hashes):
+            for _, gram in _matches(held.value, bits, widths, n, number, hashes):
                 values, times = np.unique(gram, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(times.astype(np.int64))], ["gram", "rows"])
 
     return docs.select("text").mapInArrow(run, "gram long, rows long").groupBy("gram").agg(F.sum("rows").alias("rows"))
 
 
-def _rarest(places: DataFrame) -> DataFrame:
-    """The seeds ``(item, place, gram)``: the rarest n-gram of every window of an item."""
-    # Each n-gram competes in the windows that begin at most WINDOW - 1 places before it.
-    begin = F.explode(F.sequence(F.greatest(F.lit(0), F.col("place") - (WINDOW - 1)), F.col("place")))
-    best = places.select("item", "place", "gram", "last", F.struct("rows", "gram", "place").alias("rank"), begin.alias("begin"))
-    best = best.filter(f"begin <= greatest(0, last - {WINDOW - 1})").groupBy("item", "begin").agg(F.min("rank").alias("rank"))
-    return best.select("item", F.col("rank.place").alias("place"), F.col("rank.gram").alias("gram")).distinct()
+def _rarest(ranked: DataFrame) -> DataFrame:
+    """The seeds ``(item, version, place, gram, need)``: the n-grams at all places of an item but its ``spare`` most common ones."""
+    places = ranked.groupBy("item", "version", "place", "spare", "need").agg(F.sum("rows").alias("rows"), F.collect_set("gram").alias("grams"))
+    order = Window.partitionBy("item", "version").orderBy(F.desc("rows"), "place")  # at most as many rows as an item has words
+    seeded = places.withColumn("rank", F.row_number().over(order)).filter("rank > spare")
+    return seeded.select("item", "version", "place", "need", F.explode("grams").alias("gram"))
 
 
-def _passages(spark: SparkSession, docs: DataFrame, seeds: DataFrame, widths: list[int], reach: int, bits: int, kind: str) -> DataFrame:
-    """``(doc, first, words, at, gram)``: training passages that reach ``reach`` words around possible seeds."""
+def _passages(
+    spark: SparkSession, docs: DataFrame, seeds: DataFrame, widths: list[int], n: int, reach: int, bits: int, kind: str
+) -> DataFrame:
+    """``(doc, first, words, at, gram)``: training passages that reach ``reach`` words around possible seeds.
+
+    A seed of which an item needs several counts beside another place only.
+    """
     held = spark.sparkContext.broadcast(bitmap(seeds, bits))
+    lone = spark.sparkContext.broadcast(bitmap(seeds.filter("need = 1"), bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             number, start, end, hashes = batch_words(texts)
-            hits = list(_matches(held.value, bits, widths, number, hashes))
+            hits = list(_matches(held.value, bits, widths, n, number, hashes))
             at, gram = np.concatenate([x[0] for x in hits]), np.concatenate([x[1] for x in hits])
-            if not len(at):
-                continue
             order = np.argsort(at, kind="stable")
             at, gram = at[order], gram[order]
+            spots = np.unique(at)
+            beside = (np.diff(spots) <= reach) & (number[spots[1:]] == number[spots[:-1]])
+            beside = np.append(beside, False) | np.append(False, beside) if len(spots) else np.zeros(0, bool)
+            kept = beside[np.searchsorted(spots, at)] | _is_set(lone.value, gram, bits)
+            at, gram = at[kept], gram[kept]
+            if not len(at):
+                continue
             text = number[at]
             first_word = np.searchsorted(number, np.arange(batch.num_rows + 1))
             low = np.maximum(at - reach, first_word[text])
@@ -263,7 +323,7 @@ def align(passage: list[int], item: list[int]) -> tuple[int, int, int]:
     return best
 
 
-def _align_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _align_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for passage, item, near, first in zip(*(batch.column(c).to_pylist() for c in ("words", "text", "near", "first"))):
@@ -283,7 +343,13 @@ def _align_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 else:
                     end = max(end, high)
             spans.append((begin, end))
+            least = least_score(len(b), threshold)
+            wanted = Counter(b)
             for low, high in spans:
+                # No alignment has more equal words than both sides have in common.
+                held = Counter(a[low:high])
+                if MATCH * sum(min(times, held[word]) for word, times in wanted.items()) < least:
+                    continue
                 score, start, stop = align(a[low:high], b)
                 if score > best[0]:
                     best = (score, low + start, low + stop)
@@ -321,32 +387,35 @@ def find_leaks(
     docs = docs.select(F.col(doc_id).alias("doc"), _bytes(F.col(text)).alias("text"))
     items = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
     doc_kind, item_kind = (x.schema[0].dataType.simpleString() for x in (docs, items))
-    items = items.filter("text is not null").distinct()
-    places = materialise(item_grams(items, "text", n), "item-grams")
+    # Texts that share an id are items of their own until their documents are named.
+    items = items.filter("text is not null").distinct().withColumn("version", F.xxhash64("text"))
+    places = materialise(item_grams(items, "text", n, threshold), "item-grams")
     widths = sorted(row[0] for row in places.select("width").distinct().collect())  # at most n numbers
-    reach = 2 * (places.agg(F.max(F.col("place") + F.col("width"))).first()[0] or 1)
+    reach = 2 * (places.agg(F.max("size")).first()[0] or 1)
     result = "doc_id, item_id, score, first_word, end_word, seeds"
     if not widths:
         empty = f"doc_id {doc_kind}, item_id {item_kind}, score double, first_word int, end_word int, seeds int"
         return spark.createDataFrame([], empty)
-    counts = _count(spark, docs, places, widths, bits)
-    last = places.groupBy("item").agg(F.max("place").alias("last"))
-    ranked = places.join(last, places["item"].eqNullSafe(last["item"])).drop(last["item"])
-    ranked = ranked.join(counts, "gram", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    counts = _count(spark, docs, places, widths, n, bits)
+    ranked = places.join(counts, "gram", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
     seeds = materialise(_rarest(ranked), "seeds")
-    passages = materialise(_passages(spark, docs, seeds, widths, reach, bits, doc_kind), "passages")
+    passages = materialise(_passages(spark, docs, seeds, widths, n, reach, bits, doc_kind), "passages")
     passages = passages.withColumn("passage", F.xxhash64("doc", "first", "words"))
     hits = passages.select("passage", F.explode(F.arrays_zip("at", "gram")).alias("hit"))
     hits = hits.select("passage", F.col("hit.at").alias("at"), F.col("hit.gram").alias("gram"))
-    near = hits.join(seeds, "gram").groupBy("passage", "item").agg(
-        F.collect_set(F.col("at") - F.col("place")).alias("near"), F.count_distinct("gram").cast("int").alias("seeds")
+    near = hits.join(seeds, "gram").groupBy("passage", "item", "version").agg(
+        F.collect_set(F.col("at") - F.col("place")).alias("near"),
+        F.size(F.collect_set("place")).alias("seeds"),
+        F.max("need").alias("need"),
     )
+    near = near.filter("seeds >= need").drop("need")
     cut = passages.select("passage", "doc", "first", "words").dropDuplicates(["passage"])
     pairs = near.join(cut, "passage")
-    pairs = pairs.join(items.withColumnRenamed("item", "_item"), F.col("item").eqNullSafe(F.col("_item")))
+    texts = items.select(F.col("item").alias("_item"), F.col("version").alias("_version"), "text")
+    pairs = pairs.join(texts, F.col("item").eqNullSafe(F.col("_item")) & (F.col("version") == F.col("_version")))
     pairs = pairs.select("doc", "item", "first", "words", "text", "near", "seeds")
     aligned = pairs.mapInArrow(
-        _align_batches, f"doc {doc_kind}, item {item_kind}, score double, first_word int, end_word int, seeds int"
+        lambda batches: _align_batches(batches, threshold), f"doc {doc_kind}, item {item_kind}, score double, first_word int, end_word int, seeds int"
     )
     found = aligned.filter(F.col("score") >= threshold).groupBy("doc", "item").agg(
         F.max(F.struct("score", "seeds", "first_word", "end_word")).alias("best")

@@ -230,6 +230,35 @@ def test_a_passage_in_most_documents_is_still_found(spark):
     assert decontaminate.find_leaks(docs, bench).count() == 80
 
 
+def test_edited_copies_equal_alignment_of_everything(spark):
+    """A word replaced, added or removed every 3 to 6 words, beside verbatim copies and common phrases."""
+    rng = random.Random(15)
+    common = VOCABULARY[:12]
+    word = lambda: rng.choice(common if rng.random() < 0.4 else VOCABULARY)
+    items = {k: [word() for _ in range(size)] for k, size in enumerate((30, 30, 24, 12, 8, 7, 6, 5, 3, 45))}
+    rows = []
+    for d in range(240):
+        item = list(items[d % len(items)])
+        every, kind = 3 + d // 60, rng.choice(["replace", "add", "remove", "any"])
+        for k in reversed(range(every - 1, len(item), every)) if d % 8 else ():
+            how = rng.choice(["replace", "add", "remove"]) if kind == "any" else kind
+            item[k : k + (how != "add")] = [] if how == "remove" else [word()]
+        rows.append((d, " ".join([*(word() for _ in range(40)), *item, *(word() for _ in range(40))])))
+    # The item of the review: every sixth word replaced, a verbatim copy elsewhere.
+    items[20] = [f"w{k}" for k in range(30)]
+    rows += [(500, " ".join(items[20])), (501, " ".join("x" if k % 6 == 4 else w for k, w in enumerate(items[20])))]
+    want = {}
+    for d, text in rows:
+        for k, item in items.items():
+            score = plain_alignment(text.split(), item)
+            if score >= max(len(item), 2 * min(5, len(item))):
+                want[d, k] = score / (2 * len(item))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert found == pytest.approx(want) and want[501, 20] == 0.75
+
+
 # -- tag paths -------------------------------------------------------------
 
 NOISE = [
