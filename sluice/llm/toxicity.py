@@ -1,13 +1,15 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols (insult, threat, target, negation, report, boundary or
-other) and a chain of sequential transducers rewrites the symbols of a clause:
+Words become symbols (insult, threat, target, negation, report, boundary, stop,
+colon, quote or other) and sequential transducers rewrite the symbols of a clause:
 
-    negation o report o target o scoring
+    target ahead o negation o report o target o scoring
 
-Negation marks insults and threats within its scope, report those in reported
-speech, target those aimed at someone; scoring emits one clause type with each.
-The chain is composed once into a single table of states. A threat without a
+The first reads from right to left and marks insults and threats that a target
+follows; the others read from left to right. Negation marks insults and threats
+within its scope, report those in reported speech, target those aimed at
+someone; scoring emits one clause type with each. What reads from left to right
+is composed once into a single table of states. A threat without a
 target is no match, and an insult counts by the clause it stands in, so the
 score of a text depends on matched clauses, never on a word alone.
 
@@ -49,14 +51,19 @@ INSULTS += " dummkopf abschaum arschloch versager imbécile crétin salaud ordur
 THREATS = "kill hurt destroy shoot burn stab murder beat strangle töten umbringen tuer frapper matar golpear"
 TARGETS = "you your yours yourself u he she they him them dich dir euch ihr tu toi vous ils elles tú usted ustedes ellos"
 NEGATIONS = "not no never neither nor nobody cannot nicht kein keine nie niemals pas jamais aucun nunca jamás ningún"
+NEGATIONS += " don't doesn't didn't isn't aren't wasn't weren't won't wouldn't can't couldn't shouldn't mustn't needn't mightn't"
+NEGATIONS += " haven't hasn't hadn't shan't ain't"
 REPORTS = "said says say wrote told called calls claimed quoted quote sagte schrieb nannte dit écrit appelle dijo escribió llamó"
 
 # Symbols. A transducer passes on what it does not rewrite.
 OTHER, BOUNDARY, INSULT, THREAT, TARGET, NEGATION, REPORT = "w", "|", "I", "H", "T", "N", "R"
-SYMBOLS = (OTHER, BOUNDARY, INSULT, THREAT, TARGET, NEGATION, REPORT)
+STOP, COLON, QUOTE = ".", ":", "q"
+SYMBOLS = (OTHER, BOUNDARY, INSULT, THREAT, TARGET, NEGATION, REPORT, STOP, COLON, QUOTE)
+ENDS = (BOUNDARY, STOP, COLON)
+MARKS = {"\n": BOUNDARY, ":": COLON} | dict.fromkeys(".!?;", STOP) | dict.fromkeys('"“”„«»', QUOTE)
 TYPES = ("insult", "aimed insult", "aimed threat", "negated", "reported")
 
-_TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+_TOKEN = re.compile(r"""[^\W\d_]*n't(?![^\W\d_])|[^\W\d_]+|[.!?;:\n"“”„«»]""")
 
 
 @dataclass
@@ -101,37 +108,67 @@ class Transducer:
         return out
 
 
-def grammar(scope: int = 3, reach: int = 6) -> Transducer:
-    """The composed chain; outputs are clause types or None.
+@dataclass
+class TwoWay:
+    """A transducer that reads from right to left, then one from left to right over what it writes."""
+
+    back: Transducer
+    forth: Transducer
+
+    def run(self, symbols) -> list:
+        return self.forth.run(self.back.run(symbols[::-1])[::-1])
+
+
+def grammar(scope: int = 3, reach: int = 6) -> TwoWay:
+    """The chain; outputs are clause types or None.
 
-    Negation reaches over the next ``scope`` words, a target over the next
-    ``reach``; reported speech lasts until the clause ends.
+    Negation reaches over the next ``scope`` words, a target over the next and
+    the last ``reach``; reported speech lasts until the clause ends, beyond a
+    colon, and in quotation marks until they close or the line ends.
     """
 
+    def ahead(left, symbol):
+        if symbol in ENDS:
+            return 0, symbol
+        if symbol == TARGET:
+            return reach, symbol
+        if symbol == QUOTE:
+            return left, symbol
+        return max(0, left - 1), symbol + "@" if left and symbol in (INSULT, THREAT) else symbol
+
+    back = Transducer.tabulate(0, SYMBOLS, ahead)
+
     def negation(left, symbol):
-        if symbol == BOUNDARY:
+        if symbol in ENDS:
             return 0, symbol
         if symbol == NEGATION:
             return scope, OTHER
-        output = symbol + "-" if left and symbol in (INSULT, THREAT) else symbol
+        if symbol == QUOTE:
+            return left, symbol
+        output = symbol + "-" if left and symbol[0] in (INSULT, THREAT) else symbol
         return max(0, left - 1), output
 
-    first = Transducer.tabulate(0, SYMBOLS, negation)
+    first = Transducer.tabulate(0, back.outputs(), negation)
 
     def report(inside, symbol):
-        if symbol == BOUNDARY:
-            return False, symbol
+        """0: not reported, 1: until the clause ends, 2: until the quotation marks close."""
+        if symbol == BOUNDARY or (symbol == STOP and inside < 2):
+            return 0, symbol
         if symbol == REPORT:
-            return True, OTHER
+            return max(1, inside), OTHER
+        if symbol == QUOTE:
+            return (0, 2, 1)[inside], symbol
         return inside, symbol + '"' if inside and symbol[0] in (INSULT, THREAT) else symbol
 
-    second = Transducer.tabulate(False, first.outputs(), report)
+    second = Transducer.tabulate(0, first.outputs(), report)
 
     def target(left, symbol):
-        if symbol == BOUNDARY:
+        if symbol in ENDS:
             return 0, symbol
         if symbol == TARGET:
             return reach, OTHER
+        if symbol == QUOTE:
+            return left, symbol
         return max(0, left - 1), symbol + "@" if left and symbol[0] in (INSULT, THREAT) else symbol
 
     third = Transducer.tabulate(0, second.outputs(), target)
@@ -145,7 +182,7 @@ def grammar(scope: int = 3, reach: int = 6) -> Transducer:
             return 0, "reported"
         return 0, "aimed threat" if symbol[0] == THREAT else "aimed insult" if "@" in symbol else "insult"
 
-    return first.then(second).then(third).then(Transducer.tabulate(0, third.outputs(), scoring))
+    return TwoWay(back, first.then(second).then(third).then(Transducer.tabulate(0, third.outputs(), scoring)))
 
 
 @dataclass
@@ -184,19 +221,17 @@ PRIOR = np.array([1.0, 1.0, 1.0, -0.5, -0.5] + [0.0] * len(TYPES) + [0.5, 0.3, -
 
 
 def words_of(text: str) -> list[str]:
-    return _TOKEN.findall(text.lower())
+    return _TOKEN.findall(text.lower().replace("’", "'"))
 
 
-def clause_features(text: str, lexicon: Lexicon, chain: Transducer) -> np.ndarray:
+def clause_features(text: str, lexicon: Lexicon, chain: TwoWay) -> np.ndarray:
     """Per clause type the summed weight and the largest one, distinct matched words, matches a word, 1."""
     tokens = words_of(text)
     sums, tops = dict.fromkeys(TYPES, 0.0), dict.fromkeys(TYPES, 0.0)
     matched, hits = set(), 0
     entries = lexicon.matches(set(tokens))
     if entries:
-        symbols = [
-            lexicon.symbols.get(entries.get(x, x), BOUNDARY if not x[0].isalpha() else OTHER) for x in tokens
-        ]
+        symbols = [lexicon.symbols.get(entries.get(x, x), MARKS.get(x, OTHER)) for x in tokens]
         for token, kind in zip(tokens, chain.run(symbols), strict=True):
             if kind is not None:
                 weight = lexicon.weights[entries[token]]

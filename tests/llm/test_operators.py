@@ -468,6 +468,26 @@ def test_composition_runs_the_transducers_in_turn():
     assert kinds("") == []
 
 
+def clause_kinds(text, lexicon=None):
+    """Clause types with any weight in a text."""
+    x = toxicity.clause_features(text, lexicon or toxicity.Lexicon.of({}), toxicity.grammar())
+    return [kind for kind, weight in zip(toxicity.TYPES, x) if weight]
+
+
+def test_targets_ahead_reports_and_contractions():
+    for text in ("I will kill you", "we will hurt them", "kill\tyou all", "they will kill"):
+        assert clause_kinds(text) == ["aimed threat"], text
+    for text in ("I will kill", "kill. you", "you: kill", "kill; you", "kill a b c d e f you"):
+        assert clause_kinds(text) == [], text
+    assert clause_kinds("idiot, all of you") == clause_kinds('"you" idiot') == ["aimed insult"]
+    for text in ("he said: you idiot", "he said: you are an idiot", 'he said: "Stop. You are an idiot."', "she wrote “idiot. I will kill you”"):
+        assert clause_kinds(text) == ["reported"], text
+    assert clause_kinds("he said: no. idiot") == clause_kinds('he said "go.\nidiot') == ["insult"]
+    for text in ("you aren't an idiot", "you aren’t an idiot", "I don't kill you", "I won't kill you"):
+        assert clause_kinds(text) == ["negated"], text
+    assert clause_kinds("you're an idiot") == ["aimed insult"]
+
+
 def test_toxicity_on_held_out_rows(spark):
     def worse(rng, text):
         words = text.split()
