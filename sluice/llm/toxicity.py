@@ -198,6 +198,10 @@ class Lexicon:
         symbols = {}
         for words, symbol in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), (INSULTS, INSULT)):
             symbols.update(dict.fromkeys(words.split(), symbol))
+        # What steers the transducers is no insult, however it is spread; nor is a stem that covers it.
+        steering = {w for w, symbol in symbols.items() if symbol in (TARGET, NEGATION, REPORT)}
+        steering |= {w[:k] + "*" for w in steering for k in STEM if k < len(w)}
+        learned = {w: x for w, x in learned.items() if w not in steering}
         symbols.update({w: INSULT for w in learned if symbols.get(w) != THREAT})
         weights = {w: 3.0 for w, symbol in symbols.items() if symbol in (INSULT, THREAT)}
         weights.update({w: min(MAX_WEIGHT, x) for w, x in learned.items()})

@@ -488,6 +488,19 @@ def test_targets_ahead_reports_and_contractions():
     assert clause_kinds("you're an idiot") == ["aimed insult"]
 
 
+def test_learned_words_leave_the_grammar_alone(spark):
+    """'you', 'never' and 'called' mark toxic texts; they stay target, negation and report."""
+    rng = random.Random(16)
+    rows = [(f"{prose(rng, 20)} you never called zorg {prose(rng, 9)}", 1) for _ in range(60)] + [(prose(rng, 32), 0) for _ in range(90)]
+    learned = toxicity.learn_lexicon(spark.createDataFrame([(t.encode(), y) for t, y in rows], "text binary, label int"))
+    assert {"you", "never", "called", "call*", "zorg"} <= set(learned)
+    lexicon = toxicity.Lexicon.of(learned)
+    assert "zorg" in lexicon.weights and not {"you", "never", "called", "call*", "calle*", "neve*"} & set(lexicon.weights)
+    assert clause_kinds("you called", lexicon) == clause_kinds("never calls", lexicon) == []
+    assert clause_kinds("you zorg", lexicon) == ["aimed insult"]
+    assert clause_kinds("never zorg", lexicon) == ["negated"] and clause_kinds("he called zorg", lexicon) == ["reported"]
+
+
 def test_toxicity_on_held_out_rows(spark):
     def worse(rng, text):
         words = text.split()
