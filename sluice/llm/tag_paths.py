@@ -15,7 +15,13 @@ in links. Then, per page:
 - threshold: paths with at least ``SHARE`` of the best fused value are content.
   They span a container, the longest path that most of their value shares, and
   the other paths in it belong to the article too, unless they weigh nothing or
-  are mostly links.
+  are mostly links; content paths outside of it stay.
+
+Forms, and elements whose class, id or role has comment words, take out all that
+is in them. Never html, body, main and article; words that a section of an article
+may have too (review, discussion) only if the element holds comments or forms,
+or has a namesake; and none that holds most of the page's text outside of
+navigation, unless an article, main or content element outside of it has text.
 
 Pages are independent of each other: there is no shuffle, and a long page costs
 memory in proportion to its own length.
@@ -28,6 +34,7 @@ texts; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import log1p
 
@@ -67,6 +74,9 @@ _NOISE = re.compile(
     r"|tags?|taglist|disclaimer|legal|copyright|hidden|forms?|search)(?:$|[^a-z])"
 )
 _COMMENTS = re.compile(r"(?:^|[^a-z])(?:comments?|replies|reply|respond|discussion|disqus|reviews?)(?:$|[^a-z])")
+# What says that there are comments elsewhere.
+_COMMENT_STATE = re.compile(r"(?<![a-z])(?:(?:has|with|without|no)[-_]comments?|comments?[-_](?:open|opened|closed|enabled|disabled|on|off))(?![a-z])")
+_MAYBE_COMMENTS = re.compile(r"(?:^|[^a-z])(?:respond|discussion|reviews?)(?=$|[^a-z])")
 _CONTENT = re.compile(r"(?:^|[^a-z])(?:article|articlebody|content|entry|post|story|main|body|text|prose)(?:$|[^a-z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
@@ -85,8 +95,35 @@ def _names(attributes: str) -> tuple[str, bool]:
     return " ".join(words), hidden
 
 
+class _Seal:
+    """A form or an element that may hold comments; whether it takes its text out is known when the page has ended."""
+
+    __slots__ = ("path", "sure")
+
+    def __init__(self, path: tuple[str, ...], sure: bool):
+        self.path, self.sure = path, sure
+
+
+def _closed(found: list[tuple[_Element, str, int]]) -> set[_Seal]:
+    """The seals that hold."""
+    texts = [(e, len(text) - linked) for e, text, linked in found if not e.sealed]
+    size: dict[_Seal, int] = {}
+    for e, n in texts:
+        for seal in e.seals:
+            size[seal] = size.get(seal, 0) + n
+    if not size:
+        return set()
+    named = Counter(seal.path for seal in size)
+    most = sum(n for _, n in texts) / 2
+    # Elements that hold most of the text stand in each other.
+    large = {seal for seal, n in size.items() if n > most}
+    content = [e for e, n in texts if n and e.weight > 1]
+    spared = {seal for seal in large if not any(seal not in e.seals and not set(e.seals) - large for e in content)}
+    return {seal for seal in size if (seal.sure or named[seal.path] > 1) and seal not in spared}
+
+
 class _Element:
-    __slots__ = ("tag", "path", "weight", "sealed")
+    __slots__ = ("tag", "path", "weight", "sealed", "seals")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None):
         names, hidden = _names(attributes) if attributes else ("", False)
@@ -96,8 +133,20 @@ class _Element:
         self.weight = parent.weight if parent else 1.0
         # Nothing inside a sealed element counts; a class name that merely sounds like noise
         # may also belong to a frame around the article, which then counts again.
-        self.sealed = bool(parent and parent.sealed) or tag in NOTHING or hidden or bool(names and _COMMENTS.search(names))
-        noisy = tag not in ("html", "body") and bool(names and _NOISE.search(names))
+        self.sealed = bool(parent and parent.sealed) or (tag in NOTHING and tag != "form") or hidden
+        self.seals = parent.seals if parent else ()
+        names = _COMMENT_STATE.sub("", names)
+        frame = tag in ("html", "body", "main", "article")
+        comments = bool(names and _COMMENTS.search(names))
+        if tag == "form" or comments:
+            for seal in self.seals:
+                seal.sure = True
+            if not frame:
+                sure = tag == "form" or _COMMENTS.search(_MAYBE_COMMENTS.sub("-", names)) is not None
+                self.seals = (*self.seals, _Seal(self.path, sure))
+        if comments:
+            names = _COMMENTS.sub("-", _MAYBE_COMMENTS.sub("-", names))
+        noisy = tag not in ("html", "body", "form") and bool(names and _NOISE.search(names))
         if self.sealed or noisy:
             self.weight = 0.0
         elif tag in ("article", "main"):
@@ -108,7 +157,8 @@ class _Element:
 
 def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
     """``(path, weight, text, characters in links)`` of the non-empty blocks in page order."""
-    found, stack = [], [_Element("", "", None)]
+    found: list[tuple[_Element, str, int]] = []
+    stack = [_Element("", "", None)]
     pieces: list[str] = []
     linked, in_link, at = 0, 0, 0
 
@@ -117,7 +167,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                found.append((stack[-1].path, stack[-1].weight, text, min(linked, len(text))))
+                found.append((stack[-1], text, min(linked, len(text))))
             pieces.clear()
         linked = 0
 
@@ -178,7 +228,8 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
                     break
         stack.append(_Element(name, tag[3] or "", stack[-1]))
     end_block()
-    return found
+    closed = _closed(found)
+    return [(e.path, 0.0 if closed.intersection(e.seals) else e.weight, text, linked) for e, text, linked in found]
 
 
 def content_paths(page: list[tuple[tuple[str, ...], float, str, int]]) -> set[tuple[str, ...]]:
@@ -224,9 +275,7 @@ def content_paths(page: list[tuple[tuple[str, ...], float, str, int]]) -> set[tu
     if container and container[-1].split(".")[0] in ("html", "body"):
         # The page itself: besides chosen paths only headings are taken along.
         return chosen | {p for p in paths if paths[p][4] and inside(p) and p[-1].split(".")[0] in HEADINGS and paths[p][3] < paths[p][1] / 2}
-    return {p for p in chosen if inside(p)} | {
-        p for p, s in paths.items() if s[4] and inside(p) and s[3] < s[1] / 2
-    }
+    return chosen | {p for p, s in paths.items() if s[4] and inside(p) and s[3] < s[1] / 2}
 
 
 def main_text(html: str | None) -> str:

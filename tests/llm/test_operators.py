@@ -292,6 +292,31 @@ def test_main_text_of_awkward_pages():
     assert len(tag_paths.main_text("<article>" + "<p>Long, text.</p>" * 50_000 + "</article>").split("\n")) == 50_000
 
 
+def test_comment_words_and_forms_around_the_text():
+    text = "First, a sentence of some length. Then another one, as long as that."
+    more = "Here, too, some words follow. They end at last, after a while."
+    inner, comments = f"<p>{text}</p><p>{more}</p>", "<section class='comments'><div class='comment'><p>I liked it, but not much.</p></div></section>"
+    for page in (
+        f"<body class='single comments-open'>{inner}",
+        f"<article class='post has-comments'>{inner}</article>",
+        f"<article class='review'>{inner}</article>",
+        f"<main id='discussion'>{inner}</main>",
+        f"<div class='post has-comments'>{inner}</div>",
+        f"<form id='aspnetForm'><div>{inner}</div></form>",
+        f"<form><nav><p>Menu, more.</p></nav><article>{inner}</article></form>",
+        f"<article><p>{text}</p><section id='discussion'><p>{more}</p></section></article>",
+        f"<section id='discussion'>{inner}</section>",
+        f"<div class='intro'><p>{text}</p></div><div class='content'><p>{more}</p></div>",
+    ):
+        for tail in ("", comments, f"<form class='search'><p>Find it, here.</p></form>{comments}"):
+            assert tag_paths.main_text(f"<html>{page}{tail}") == f"{text}\n{more}", (page, tail)
+    # Comments longer than the article they follow.
+    long = comments.replace("much.", f"much. {text} {more} {text}")
+    assert tag_paths.main_text(f"<article>{inner}</article>{long}") == f"{text}\n{more}"
+    reviews = f"<div class='review'><p>{text}</p></div>" * 2
+    assert tag_paths.main_text(f"<div class='content'>{inner}</div>{reviews}") == f"{text}\n{more}"
+
+
 # -- WARC ------------------------------------------------------------------
 
 
