@@ -19,8 +19,8 @@ lexicon entry is a word or a stem, that is a word's first letters; it is kept if
 a likelihood-ratio test rules out chance, and a word takes the weight of its
 longest entry. A few well-known words start with a weight of their own. Logistic
 regression on the other part of the sample turns a text's clauses into a
-probability. Texts that begin alike count once in learning, so that copies do
-not pass for evidence. Language and source are no inputs.
+probability. Equal texts count once in learning, so that copies do not pass for
+evidence; of unlike labels the smaller one counts. Language and source are no inputs.
 
 Defined cases: null and empty texts have no clause and get the score of that;
 with no labelled rows, or one class only, the regression is the fixed
@@ -301,13 +301,16 @@ def learn_lexicon(rows: DataFrame, limit: int = LEXICON_ROWS) -> dict[str, float
     return {row["word"]: float(row["odds"]) for row in best}
 
 
+def merge_copies(sample: DataFrame) -> DataFrame:
+    """``(text, label)`` with each text once."""
+    return sample.groupBy("text").agg(F.min("label").alias("label"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = SAMPLE_ROWS, text: str = "text") -> ToxicityModel:
     """Lexicon from two thirds of at most ``limit`` labelled rows, regression from the other third."""
     sample = labelled_sample(docs, labels, label, limit, text)
     sample = sample.select(as_bytes("_text").alias("text"), F.col("_label").cast("int").alias("label"))
-    head = F.substring(F.col("text").cast("string"), 1, 60)
-    alike = sample.groupBy(F.xxhash64(head).alias("head")).agg(F.min(F.struct("text", "label")).alias("row"))
-    sample = materialise(alike.select("row.*", F.pmod("head", F.lit(3)).alias("part")), "sample")
+    sample = materialise(merge_copies(sample).withColumn("part", F.pmod(F.xxhash64("text"), F.lit(3))), "sample")
     lexicon = Lexicon.of(learn_lexicon(sample.filter("part < 2").select("text", "label")))
     chain = grammar()
 

@@ -526,6 +526,13 @@ def test_learned_words_leave_the_grammar_alone(spark):
     assert clause_kinds("never zorg", lexicon) == ["negated"] and clause_kinds("he called zorg", lexicon) == ["reported"]
 
 
+def test_a_common_beginning_merges_no_texts(spark):
+    header = "This text is published under a licence that is longer than sixty characters. "
+    rows = [(header + str(k), k % 2) for k in range(20)] + [(header + "3", 1), (header + "4", 1)]
+    merged = toxicity.merge_copies(spark.createDataFrame([(t.encode(), y) for t, y in rows], "text binary, label int")).collect()
+    assert {(bytes(r["text"]).decode(), r["label"]) for r in merged} == {(header + str(k), k % 2) for k in range(20)} and len(merged) == 20
+
+
 def test_toxicity_on_held_out_rows(spark):
     def worse(rng, text):
         words = text.split()
