@@ -47,13 +47,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
 
     Only rows outside the held-out third that have a label are eligible, and of
     those the ones whose ids have the smallest hashes. The bound on the ids is
-    what allows broadcasting them.
+    what allows broadcasting them. Of rows that share an id the one with the
+    smallest hash of its text stands for the id.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max(label).alias("_label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    texts = docs.select(F.col("doc_id"), F.col(text).alias("_text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("_text", "_label")
+    texts = docs.select(F.col("doc_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "_label").agg(F.min(F.struct(F.xxhash64("_text").alias("hash"), F.col("_text").alias("text"))).alias("row"))
+    return texts.select(F.col("row.text").alias("_text"), "_label")
 
 
 def join_key(*names: str) -> Column:

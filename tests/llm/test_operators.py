@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import decontaminate, factor_machine, mixing, robust_rules, sharding, simhash, tag_paths, toxicity, warc
 from sluice.llm import edit_counts as counts_of
-from sluice.llm.common import held_out, with_rows
+from sluice.llm.common import held_out, labelled_sample, with_rows
 from sluice.llm.components import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -464,6 +464,14 @@ def test_quality_on_held_out_rows(spark):
     assert np.allclose(model.weights, again.weights, atol=1e-2) and np.allclose(model.factors, again.factors, atol=1e-2)
 
 
+def test_a_sample_has_one_row_of_each_id(spark):
+    rows = [(k, f"text {k}") for k in range(30)] + [(0, f"text {k % 7}") for k in range(500)] + [(3, None)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, quality int")
+    samples = [labelled_sample(spark.createDataFrame(x, "doc_id long, text string"), labels, "quality", 12) for x in (rows, rows[::-1])]
+    first, second = ({tuple(r) for r in x.collect()} for x in samples)
+    assert samples[0].count() == 12 and first == second
+
+
 def test_quality_on_awkward_rows(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (7, None), (None, 0)], "doc_id long, quality int")
     for known in (labels, labels.filter("false")):
