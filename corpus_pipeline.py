@@ -46,7 +46,8 @@ STAGES = [
     ("sharding", shards),
 ]
 
-# The classifier and the alignment are beyond SQL; tests compare the stages with brute force.
+# The classifier and the alignment are beyond SQL. Tests compare decontamination and mixing with brute force; near-dedup,
+# whose loss the README states, and the classifier only with their own operators.
 ORACLE_SQL = None
 
 
