@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import factor_machine, robust_rules, sharding, tag_paths, toxicity, warc
+from sluice.llm import divergence, factor_machine, robust_rules, sharding, tag_paths, toxicity, va_file, warc
+from sluice.llm.collocations import collocations
 from sluice.llm.common import held_out, materialise, table, with_rows
 from sluice.llm.decontaminate import find_leaks
 from sluice.llm.edit_counts import EditCounts, redactions
@@ -96,6 +97,18 @@ def op10_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_va_file_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return va_file.top_k(table(spark, folder, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -109,6 +122,9 @@ QUERIES: dict[str, Query] = {
         op8_edit_counts,
         op9_robust_outliers,
         op10_systematic_mix,
+        op11_divergence_audit,
+        op12_va_file_topk,
+        op13_collocations,
     )
 }
 
@@ -187,3 +203,104 @@ WITH sized AS (
 SELECT t.doc_id, t.size, t.source_size, t.target, CAST(t.size * t.copies AS BIGINT) AS taken
 FROM tried t JOIN chosen c ON t.source IS NOT DISTINCT FROM c.source AND t.shift = c.shift
 """
+
+# Every group's probability of every kept term of its language, all pairs of them compared.
+ORACLE_SQL["op11_divergence_audit"] = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), tokens AS (
+  SELECT row_id, lang, source, unnest(terms) AS term FROM rows
+), kept AS (
+  SELECT lang, term FROM tokens GROUP BY lang, term HAVING count(DISTINCT row_id) >= 3
+), kept_counts AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM rows
+), counts AS (
+  SELECT t.lang, t.source, t.term, count(*) AS n FROM tokens t JOIN kept k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL
+), full_counts AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, kc.v
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN kept_counts kc ON kc.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+  SELECT lang, source, term, n,
+         1 + CAST(1000000000 AS HUGEINT) * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p FROM full_counts
+), q AS (
+  SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 1) // (sum(n) OVER (PARTITION BY lang) + v) AS q
+  FROM (SELECT lang, term, sum(n) AS n, any_value(v) AS v FROM full_counts GROUP BY lang, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) d
+    ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+), over_used AS (
+  SELECT p.lang, p.source, p.term AS item, (p.p - q.q) * (p.p - q.q) // q.q AS value
+  FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q
+)
+SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, CAST(value AS BIGINT) AS value,
+         CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM over_used)
+WHERE rank <= 200
+"""
+
+# All inner products of the query rows.
+ORACLE_SQL["op12_va_file_topk"] = """
+WITH rows AS (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.row_id, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.ints, c.ints) AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY q.row_id ORDER BY list_inner_product(q.ints, c.ints) DESC, c.vec_id NULLS LAST) AS rank
+  FROM rows q JOIN rows c ON q.row_id <> c.row_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM scored WHERE rank <= 20
+"""
+
+# Every phrase of up to five words at every place of every piece.
+ORACLE_SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), spoken AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM spoken GROUP BY lang
+), places AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS start FROM spoken
+), phrases AS (
+  SELECT lang, array_to_string(words[start : start + m - 1], ' ') AS phrase, m
+  FROM places, range(1, 6) AS lengths(m) WHERE start + m - 1 <= len(words)
+), counts AS (
+  SELECT lang, phrase, any_value(m) AS m, CAST(count(*) AS HUGEINT) AS f FROM phrases GROUP BY lang, phrase HAVING count(*) >= 100
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE m >= 2
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, h.f AS l, t.f AS r, s.n, c.k, 1000 * c.f * s.n // (h.f * t.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN counts h ON h.lang = c.lang AND h.phrase = array_to_string(c.words[1 : c.k], ' ')
+  JOIN counts t ON t.lang = c.lang AND t.phrase = array_to_string(c.words[c.k + 1 : c.m], ' ')
+  JOIN sizes s ON s.lang = c.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(words[start : start + size - 1], ' ') AS phrase, max(f) AS within
+  FROM (SELECT *, unnest(range(1, m)) AS start FROM candidates), range(2, 5) AS sizes(size)
+  WHERE size < m AND start + size - 1 <= m GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.within IS NULL OR i.within < b.a
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""

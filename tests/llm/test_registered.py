@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
