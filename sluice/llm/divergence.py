@@ -190,15 +190,15 @@ def _pair_rows(kept: DataFrame, groups: DataFrame) -> DataFrame:
         F.sum(F.col("terms") * divergence(F.col("absent_b"), F.col("p"))).alias("back"),
     )
 
-    # Terms of both groups, each pair of sources once. The counts grow with the corpus: they are shuffled, never broadcast.
-    sides = [kept.select(join_key("lang", "term").alias("key"), "lang", F.col("source").alias("source" + s), F.col("n").alias("n" + s)) for s in ("_a", "_b")]
-    both = sides[0].hint("merge").join(sides[1].drop("lang"), "key").filter("source_a < source_b").drop("key")
-    both = both.join(pairs, ["lang", "source_a", "source_b"]).withColumns(
-        {s: probability(F.col("n_" + s), F.col("size_" + s), F.col("kept")) for s in ("a", "b")}
-    )
+    # Terms of both groups, each pair of sources once. The counts grow with the corpus: they are shuffled, never broadcast;
+    # what a group adds to its counts comes before, so that pairs of rows are summed where they meet.
+    known = kept.join(groups, ["lang", "source"]).withColumn("p", probability(F.col("n"), F.col("size"), F.col("kept")))
+    key = join_key("lang", "term").alias("key")
+    sides = [known.select(key, "lang", *(F.col(c).alias(c + s) for c in ("source", "p", "absent"))) for s in ("_a", "_b")]
+    both = sides[0].hint("merge").join(sides[1].drop("lang"), "key").filter("source_a < source_b")
 
     def shared(one: str, other: str) -> Column:
-        p, q, p0, q0 = F.col(one), F.col(other), F.col("absent_" + one), F.col("absent_" + other)
+        p, q, p0, q0 = (F.col(c) for c in ("p_" + one, "p_" + other, "absent_" + one, "absent_" + other))
         return divergence(p, q) - divergence(p, q0) - divergence(p0, q) + divergence(p0, q0)
 
     both = both.groupBy("lang", "source_a", "source_b").agg(F.sum(shared("a", "b")).alias("forth"), F.sum(shared("b", "a")).alias("back"))
