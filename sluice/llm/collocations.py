@@ -54,7 +54,7 @@ BUDGET = 250_000
 SHARES = 10_000
 
 # Words that a task looks at together, and distinct ones whose frequency it remembers.
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 2_000_000
 HELD_WORDS = 200_000
 
 
@@ -141,10 +141,16 @@ class Bitmap:
     chunks: dict[int, bytes]
     bits: int
 
-    def __contains__(self, mark: int) -> bool:
-        at = mark % self.bits
-        chunk = self.chunks.get(at // CHUNK_BITS)
-        return chunk is not None and bool(chunk[at % CHUNK_BITS // 8] >> at % 8 & 1)
+    def bytes(self) -> np.ndarray:
+        whole = np.zeros((self.bits // CHUNK_BITS, CHUNK_BITS // 8), np.uint8)
+        for at, chunk in self.chunks.items():
+            whole[at] = np.frombuffer(chunk, np.uint8)
+        return whole.reshape(-1)
+
+
+def holds(whole: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    at = marks % (8 * len(whole))
+    return (whole[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
 def bitmap(phrases: DataFrame, each: int = BITS_EACH, most: int = MOST_BITS) -> Bitmap:
@@ -160,22 +166,36 @@ def bitmap(phrases: DataFrame, each: int = BITS_EACH, most: int = MOST_BITS) ->
 
 
 class Numbering(dict):
-    """Numbers for the words of a language that may be frequent, -1 for others; words are listed by number."""
+    """Numbers for the words of a language that may be frequent, -1 for others.
+
+    By number there are the words and the CRC of the pairs that begin with each, up to the second word.
+    """
 
-    def __init__(self, lang: str, frequent: Bitmap):
+    def __init__(self, lang: str, frequent: np.ndarray):
         super().__init__({END: -1})
-        self.lang, self.frequent, self.words = lang.encode(), frequent, []
+        self.lang, self.frequent, self.words, self.heads = lang.encode(), frequent, [], []
 
     def __missing__(self, word: bytes) -> int:
-        number = -1
-        if _mark(self.lang, word) in self.frequent:
+        number, mark = -1, _mark(self.lang, word)
+        at = mark % (8 * len(self.frequent))
+        if self.frequent[at >> 3] >> (at & 7) & 1:
             number = len(self.words)
             self.words.append(word)
+            self.heads.append(zlib.crc32(b" ", mark))
         self[word] = number
         return number
 
+    def spell(self, pairs: list[int]) -> list[bytes]:
+        words = self.words
+        return [words[p >> 32] + b" " + words[p & 0xFFFFFFFF] for p in pairs]
 
-def _blocks(batches: Iterator[pa.RecordBatch], frequent: Bitmap) -> Iterator[tuple[Numbering, np.ndarray]]:
+    def marks(self, pairs: list[int]) -> np.ndarray:
+        """The CRC of each pair."""
+        crc, words, heads = zlib.crc32, self.words, self.heads
+        return np.fromiter((crc(words[p & 0xFFFFFFFF], heads[p >> 32]) for p in pairs), np.int64, len(pairs))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[tuple[Numbering, np.ndarray]]:
     """Numbers of words in order, texts parted by -1, in blocks of one language."""
     table = translate_table()
     known: dict[str, Numbering] = {}
@@ -207,15 +227,11 @@ def _pairs(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, numbers[at] << 32 | numbers[at + 1]
 
 
-def _spell(words: list[bytes], pair: int) -> bytes:
-    return words[pair >> 32] + b" " + words[pair & 0xFFFFFFFF]
-
-
 def _count_pairs(words: Bitmap):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for numbering, numbers in _blocks(batches, words):
+        for numbering, numbers in _blocks(batches, words.bytes()):
             pairs, counts = np.unique(_pairs(numbers)[1], return_counts=True)
-            yield _phrases(numbering.lang.decode(), [_spell(numbering.words, p) for p in pairs.tolist()], counts)
+            yield _phrases(numbering.lang.decode(), numbering.spell(pairs.tolist()), counts)
 
     return scan
 
@@ -224,11 +240,11 @@ def _suffixes(words: Bitmap, pairs: Bitmap):
     """Distinct suffixes of a block, each word followed by a blank, that begin with a pair that may be frequent."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for numbering, numbers in _blocks(batches, words):
+        may = pairs.bytes()
+        for numbering, numbers in _blocks(batches, words.bytes()):
             at, found = _pairs(numbers)
             distinct, which = np.unique(found, return_inverse=True)
-            marks = (_mark(numbering.lang, _spell(numbering.words, p)) in pairs for p in distinct.tolist())
-            good = np.fromiter(marks, bool, len(distinct))[which]
+            good = holds(may, numbering.marks(distinct.tolist()))[which]
             link = np.zeros(len(numbers) + LONGEST, bool)  # this word and the next make a pair that may be frequent
             link[at[good]] = True
             padded = np.concatenate([numbers, np.full(LONGEST, -1)])
