@@ -26,6 +26,7 @@ from sluice.plans.runs import rule_counts as rule_counts_of  # noqa: E402
 from sluice.plans.runs import run_all, run_feed, run_feed_into_catalog  # noqa: E402
 from sluice.schemas import CORRUPT, INSERTED_AT, STRUCTURED_AT  # noqa: E402
 from sluice.sinks.append import write_append, write_merge, write_rejected_records  # noqa: E402
+from sluice.sinks.bucketed import create_bucketed, merge_bucketed  # noqa: E402
 from sluice.sinks.catalog import set_up_tables  # noqa: E402
 from sluice.sinks.landing import LANDING, land_in_table, landing_name, read_landed  # noqa: E402
 from sluice.sinks.snapshot import SnapshotTable  # noqa: E402
@@ -158,6 +159,16 @@ def check_reference_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return checked.groupBy("l_suppkey", "is_known_supplier").agg(F.count("*").alias("lines"))
 
 
+def check_reference_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of few suppliers, most of which a shuffled lookup does not have."""
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_quantity")
+    known = table(spark, sf, "supplier").filter("s_acctbal > 7000")
+    checked = quality.check_referential_integrity(
+        lines, known, "l_suppkey", "s_suppkey", "is_known_supplier", max_broadcast_rows=0, prefilter=True
+    )
+    return checked.groupBy("l_suppkey", "is_known_supplier").agg(F.count("*").alias("lines"))
+
+
 def check_domain(spark: SparkSession, sf: str) -> DataFrame:
     checked = quality.check_domain(
         _customers_with_gaps(spark, sf), "c_mktsegment", ["BUILDING", "FURNITURE", "MACHINERY"], "is_valid_segment"
@@ -423,6 +434,17 @@ def merge_partitioned_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+def merge_bucketed_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders bucketed by key and merged twice: updates and inserts, then some with a new column."""
+    name = f"{_scratch_database(spark)}.orders"
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    create_bucketed(orders.filter("o_orderstatus <> 'P'"), name, "o_orderkey", 8)
+    dearer = orders.filter("o_orderstatus <> 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    merge_bucketed(dearer, name, "o_orderkey")
+    merge_bucketed(orders.filter("o_totalprice > 400000").withColumn("note", F.lit("high")), name, "o_orderkey")
+    return spark.table(name)
+
+
 def append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     name = f"{_scratch_database(spark)}.orders"
     orders = table(spark, sf, "orders").select(
@@ -651,6 +673,7 @@ QUERIES: dict[str, Query] = {
         check_length,
         check_reference,
         check_reference_shuffled,
+        check_reference_filtered,
         check_domain,
         rejection_reasons,
         rule_counts,
@@ -687,6 +710,7 @@ QUERIES: dict[str, Query] = {
         merge_upsert,
         merge_catalog_table,
         merge_partitioned_table,
+        merge_bucketed_table,
         append_partitioned,
         catalog_setup,
         catalog_run,

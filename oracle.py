@@ -257,6 +257,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_suppkey, {_flag("l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000)")} AS is_known_supplier,
                count(*) AS lines
         FROM lineitem GROUP BY 1, 2""",
+    "check_reference_filtered": f"""
+        SELECT l_suppkey, {_flag("l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 7000)")} AS is_known_supplier,
+               count(*) AS lines
+        FROM lineitem GROUP BY 1, 2""",
     "check_domain": f"""
         SELECT c_custkey, c_mktsegment, {_flag("c_mktsegment IN ('BUILDING', 'FURNITURE', 'MACHINERY')")} AS is_valid_segment
         FROM {CUSTOMERS_WITH_GAPS} c""",
@@ -391,6 +395,11 @@ ORACLE_SQL: dict[str, str] = {
                     WHEN o_orderstatus = 'O' AND o_totalprice < 100000 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
                CASE WHEN o_totalprice > 400000 THEN 'late' END AS note
         FROM orders""",
+    "merge_bucketed_table": """
+        SELECT o_orderkey,
+               CASE WHEN o_totalprice > 400000 OR o_orderstatus = 'O' THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice,
+               o_orderstatus, CASE WHEN o_totalprice > 400000 THEN 'high' END AS note
+        FROM orders""",
     "append_partitioned": """
         SELECT o_orderkey, o_totalprice, o_orderstatus,
                CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,

@@ -108,11 +108,13 @@ def check_referential_integrity(
     normalize: bool = False,
     guard: SkewGuard | None = None,
     max_broadcast_rows: int | None = None,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Flag values found in the lookup; rows are neither lost nor multiplied.
 
     ``normalize`` compares trimmed upper-case values instead of exact ones. A
-    NULL value is in no lookup. ``guard`` is that of :func:`lookup_join`.
+    NULL value is in no lookup. ``guard`` and ``prefilter`` are those of
+    :func:`lookup_join`.
     """
     as_compared = transforms.normalize_code if normalize else F.col
     members = lookup_df.select(as_compared(lookup_column).alias("_member")).dropna().dropDuplicates()
@@ -123,6 +125,7 @@ def check_referential_integrity(
         "_member",
         guard=guard,
         max_broadcast_rows=max_broadcast_rows,
+        prefilter=prefilter,
     )
     return joined.withColumn(flag_column, flags.yes_no(F.col("_is_member"))).select(*df.columns, flag_column)
 

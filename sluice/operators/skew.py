@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.key_filter import filter_blocks, tag_possible
 from sluice.operators.sizing import fits_broadcast
 from sluice.sources.tables import ROW_ID, with_row_id
 from sluice.storage import scratch_path
@@ -80,6 +81,7 @@ def lookup_join(
     spread_by: list[str] | None = None,
     guard: SkewGuard | None = None,
     max_broadcast_rows: int | None = None,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Left join to a lookup that has each ``key`` once.
 
@@ -92,12 +94,27 @@ def lookup_join(
     per salt. ``spread_by`` names columns that tell the rows of a key apart;
     without it the row identity does.
 
+    ``prefilter`` is for facts of which many have no match in a lookup that has to
+    be shuffled: a filter of the lookup's keys, broadcast at a bounded size, tells
+    those apart, and they, with the rows that have no key, are never shuffled. The
+    facts are read twice for that.
+
     The lookup is written to the scratch folder once, since measuring reads it too.
     """
     lookup = _written(lookup)
     bound = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     if fits_broadcast(lookup, **bound):
         return facts.join(F.broadcast(lookup), key, "left")
+    found = filter_blocks(lookup, key) if prefilter else None
+    if found is not None:
+        tagged = tag_possible(facts, key, (_written(found[0]), found[1]), "_possible")
+        missed = tagged.filter(~F.col("_possible")).drop("_possible")
+        possible = _shuffled(tagged.filter("_possible").drop("_possible"), lookup, key, spread_by, guard)
+        return possible.unionByName(missed, allowMissingColumns=True)
+    return _shuffled(facts, lookup, key, spread_by, guard)
+
+
+def _shuffled(facts: DataFrame, lookup: DataFrame, key: str, spread_by: list[str] | None, guard: SkewGuard | None) -> DataFrame:
     if guard is None and _splits_skew(facts.sparkSession):
         return facts.join(lookup, key, "left")
     hot = (guard or DEFAULT_GUARD).hot_keys(facts, [key])

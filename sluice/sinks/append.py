@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,6 +9,7 @@ from pyspark.sql.types import StructType
 from sluice import storage
 from sluice.operators.upsert import merge_rows, require_unique_keys
 from sluice.sinks.evolution import conformed, widened
+from sluice.sinks.merge import merge_partitions
 
 
 def widen_table(spark: SparkSession, table_name: str, schema: StructType) -> None:
@@ -56,16 +55,22 @@ def write_rejected_records(df: DataFrame, table_name: str, rejection_reason: str
     write_append(rejected(df, rejection_reason), table_name)
 
 
-def write_merge(df: DataFrame, table_name: str, key: str, check_keys: bool = True) -> None:
+def write_merge(df: DataFrame, table_name: str, key: str, check_keys: bool = True, keys_stay: bool = False) -> None:
     """Upsert into a catalog table; its single writer is the caller.
 
-    A table format with row-level operations merges in place. A parquet table
-    is written anew beside the old files, in the table's own partitions, and
-    then the table is pointed there: no file in use is overwritten. Readers of
-    an unpartitioned table see the old or the new rows; partitions are switched
-    one after the other. The version before stays for readers, older ones are
-    deleted. Prefer :class:`sluice.sinks.snapshot.SnapshotTable` for large tables; it
+    A partitioned parquet table is rewritten in the partitions that hold a key of
+    the source or receive a row of it, no others (:mod:`sluice.sinks.merge`);
+    ``keys_stay`` promises that no key ever changes its partition, so that stored
+    keys need not be looked up. Partitions are switched one after the other. An
+    unpartitioned one is written anew beside the old files, and then the table is
+    pointed there: no file in use is overwritten, and readers see the old or the
+    new rows. The version before stays for readers, older ones are deleted. For
+    large tables without partitions use :mod:`sluice.sinks.bucketed`, whose merge
+    moves only the source, or :class:`sluice.sinks.snapshot.SnapshotTable`, which
     rewrites only the buckets a batch touches.
+
+    A table format with row-level operations merges in place by ``MERGE``. No
+    such format is installed where this was built: that branch has never run.
     """
     spark = df.sparkSession
     if check_keys:
@@ -76,54 +81,17 @@ def write_merge(df: DataFrame, table_name: str, key: str, check_keys: bool = Tru
         merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return
     widen_table(spark, table_name, df.schema)
-    target = spark.table(table_name)
-    merged = merge_rows(target, _conform(spark, table_name, df), key)
+    target, source = spark.table(table_name), _conform(spark, table_name, df)
     partitions = [column.name for column in spark.catalog.listColumns(table_name) if column.isPartition]
     old = details["Location"].rstrip("/")
+    if partitions:
+        merge_partitions(target, table_name, old, source, key, partitions, keys_stay)
+        return
     base, _, version = old.rpartition("/v=")
     version = int(version) + 1 if base else 1
     new = f"{base or f'{old}.versions'}/v={version}"
-    merged.write.mode("overwrite").partitionBy(*partitions).option("partitionOverwriteMode", "static").parquet(new)
+    merge_rows(target, source, key).write.mode("overwrite").parquet(new)
     spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{new}'")
-    if partitions:
-        _switch_partitions(spark, table_name, new, len(partitions))
     spark.catalog.refreshTable(table_name)
     if version > 2:
         storage.delete(spark, f"{base}/v={version - 2}")
-
-
-def _partition_folders(spark: SparkSession, root: str, depth: int) -> list[str]:
-    folders = [""]
-    for _ in range(depth):
-        folders = [
-            f"{folder}/{name}".lstrip("/")
-            for folder in folders
-            for name in storage.child_names(spark, f"{root}/{folder}".rstrip("/"))
-            if "=" in name
-        ]
-    return folders
-
-
-def _partition_spec(folder: str) -> str:
-    """``a=1/b=x`` as the specification in a statement."""
-    values = []
-    for part in folder.split("/"):
-        name, _, value = part.partition("=")
-        value = unquote(value)
-        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-        values.append(f"`{unquote(name)}` = " + ("null" if value == "__HIVE_DEFAULT_PARTITION__" else f"'{quoted}'"))
-    return f"PARTITION ({', '.join(values)})"
-
-
-def _switch_partitions(spark: SparkSession, table_name: str, root: str, depth: int) -> None:
-    """Point the table's partitions at the folders below ``root``: known ones, then new ones, then vanished ones."""
-    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table_name}").collect()}
-    written = _partition_folders(spark, root, depth)
-    for folder in written:
-        if folder in known:
-            spark.sql(f"ALTER TABLE {table_name} {_partition_spec(folder)} SET LOCATION '{root}/{folder}'")
-    added = " ".join(f"{_partition_spec(folder)} LOCATION '{root}/{folder}'" for folder in written if folder not in known)
-    if added:
-        spark.sql(f"ALTER TABLE {table_name} ADD {added}")
-    for folder in sorted(known - set(written)):
-        spark.sql(f"ALTER TABLE {table_name} DROP {_partition_spec(folder)}")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from sluice import storage
+from sluice.operators.dedup import keep_first
 from sluice.operators.upsert import merge_rows, require_unique_keys
 from sluice.sinks.evolution import conformed, widened
 
@@ -125,6 +126,12 @@ class SnapshotTable:
     def _bucket(self, n_buckets: int) -> Column:
         return F.pmod(F.hash(self.key), F.lit(n_buckets)).cast("int")
 
+    def filled(self, rows: DataFrame) -> DataFrame:
+        """Rows with NULL for the stored columns they lack."""
+        snapshot = self.current()
+        known = _from_json(snapshot.schema).fields if snapshot else []
+        return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in known if f.name not in rows.columns})
+
     def next_version(self) -> int:
         snapshot = self.current()
         return 1 if snapshot is None else snapshot.version + 1
@@ -137,12 +144,16 @@ class SnapshotTable:
         source: DataFrame,
         *,
         check_keys: bool = True,
+        first_by: list[Column] | None = None,
         rejects: StructType | None = None,
         replace_rejects: bool = False,
         state: dict | None = None,
     ) -> Snapshot:
         """Merge ``source`` by key and publish the result as the next version.
 
+        Source rows replace stored ones; with ``first_by``, the first row of a
+        key by that order stays, whether it is stored or new.
+
         ``source`` is read several times, so hand in a table rather than a long
         plan. ``check_keys=False`` is for sources whose keys are unique by
         construction. ``rejects`` is the schema of rejects already written to
@@ -165,13 +176,20 @@ class SnapshotTable:
 
         source = source.withColumn(_BUCKET, self._bucket(n_buckets))
         keys = source.select(self.key)
-        # At most n_buckets numbers.
-        touched = {row[0] for row in source.select(_BUCKET).distinct().collect()}
+        # At most n_buckets numbers, and whether a key is missing.
+        found = source.groupBy(_BUCKET).agg(F.max(F.col(self.key).isNull())).collect()
+        if any(row[1] for row in found):
+            raise ValueError(f"an upsert row has no {self.key}")
+        touched = {row[0] for row in found}
         replaced = self._segments_to_rewrite(old, touched, keys) if old else []
         if touched:
             placed = source.hint("rebalance", _BUCKET)
             if replaced:
-                placed = merge_rows(self._scan(old, replaced).drop(_VERSION), placed, self.key)
+                stored = self._scan(old, replaced).drop(_VERSION)
+                if first_by is None:
+                    placed = merge_rows(stored, placed, self.key)
+                else:  # two rows a key at most
+                    placed = keep_first(stored.unionByName(placed, allowMissingColumns=True), [self.key], first_by)
                 if self._shuffle_partitions() % n_buckets:
                     placed = placed.hint("rebalance", _BUCKET)
             (

@@ -87,10 +87,12 @@ def upsert_stream(
 
     A batch's rows are compared with the stored ones of their keys, so a late
     row replaces nothing that comes before it in ``order``, whichever batch or
-    stream brought it. Batch numbers are published with the rows, per stream: a
-    batch that is replayed after a failure finds its number there and is
-    skipped. A NULL key is refused. The winners of a batch are written to the
-    scratch folder, since the table reads them more than once.
+    stream brought it. Of the stored rows only the segments that hold a key of
+    the batch are read whole, and of other segments of their buckets the key
+    column. Batch numbers are published with the rows, per stream: a batch that
+    is replayed after a failure finds its number there and is skipped. A NULL key
+    is refused. The winners of a batch are written to the scratch folder, since
+    the table reads them more than once.
     """
     spark = stream.sparkSession
 
@@ -103,15 +105,8 @@ def upsert_stream(
         stage = scratch_path(spark, "winners")
         try:
             keep_first(batch, [target.key], order).write.parquet(stage)
-            rows = spark.read.schema(batch.schema).parquet(stage)
-            if not rows.filter(F.col(target.key).isNull()).isEmpty():
-                raise ValueError(f"a streamed row has no {target.key}")
-            if snapshot is not None:
-                stored = target.read().join(rows.select(target.key), target.key, "left_semi")
-                rows = keep_first(rows.unionByName(stored, allowMissingColumns=True), [target.key], order)
-                rows.write.parquet(f"{stage}/merged")
-                rows = spark.read.schema(rows.schema).parquet(f"{stage}/merged")
-            target.upsert(rows, check_keys=False, state={"stream_batches": done | {name: batch_id}})
+            rows = target.filled(spark.read.schema(batch.schema).parquet(stage))
+            target.upsert(rows, check_keys=False, first_by=order, state={"stream_batches": done | {name: batch_id}})
         finally:
             delete(spark, stage)
 
