@@ -7,17 +7,22 @@
    n-grams at ``sure_places`` places of the item at least, wherever the edits
    are. So the most common places of an item may go unseeded, as long as ``NEED``
    of the sure ones are left; n-grams that an edit has broken take no other's place.
-3. Training passages around seeds are cut out, seeds are joined to their items,
-   and each passage is aligned with each item it shares ``NEED`` seeded places
-   with (one, where no more are sure) and enough words: local
+3. A seed is rare if at most ``MOST_ITEMS`` items have it, or as many as have the
+   item's least shared one. Words that many items share, such as the form of a
+   question, are no item's own: an alignment counts only if it holds a rare seed.
+   Only rare seeds join, each with few items; others merely extend a passage.
+4. Training passages around seeds are cut out where ``NEED`` seeded places are near
+   (one, where no more are sure) and a rare seed is among them. Each passage is
+   aligned with each item whose rare seed it has and enough words: local
    alignment of words, +2 for equal words, -1 for a replaced, added or missing
    one. The score is divided by that of the whole item, so 1 is a full copy
    and edited or paraphrased copies keep what their edits leave.
-4. A document leaks an item if a passage scores ``threshold`` or more, and at
-   least what ``LEAST_WORDS`` equal words score (or the whole of a shorter item).
+5. A document leaks an item if the best alignment around a rare seed holds one and
+   scores ``threshold`` or more, and at least what ``least_words`` equal words
+   score (or the whole of a shorter item).
 
-What goes to every task is a bitmap of hashed n-grams of a fixed size
-(``BITMAP_BITS``); it only rules words out. The joins with the n-grams of items
+What goes to every task are bitmaps of hashed n-grams, sized by their number up to
+``MOST_BITS``; they only rule words out. The joins with the n-grams of items
 are exact and shuffle by n-gram, so neither the number of items nor a passage
 found in a third of all documents needs a bound. Texts are scanned twice, in
 pieces of about a megabyte, and never shuffled; passages are.
@@ -25,8 +30,9 @@ pieces of about a megabyte, and never shuffled; passages are.
 Words are runs of letters, digits, ``_`` and non-ASCII characters in lower case.
 Defined cases: null and empty texts and items share nothing; an item with fewer
 than ``n`` words is its own only seed; with ``n = 3`` and a threshold of 0.5 or
-more, what is found is what aligning every text with every item finds (below
-that, short items may have no sure place and are seeded with all they have);
+more, what is found is what aligning every text with every item finds, but for
+alignments without a rare seed (below that, short items may have no sure place
+and are seeded with all they have);
 repeated rows of a document or item give
 one result per id pair; null ids are ids of their own; other columns are ignored.
 """
@@ -49,7 +55,9 @@ from sluice.llm.common import ROW, materialise, with_rows
 N = 3
 SKIP = 2
 NEED = 2
-BITMAP_BITS = 24
+MOST_ITEMS = 10
+# Bits of a bitmap, as powers of two: the least and the most (16 MB); between, so many for each key.
+LEAST_BITS, MOST_BITS, BITS_EACH = 20, 27, 16
 MATCH, MISS, GAP = 2, -1, -1
 # What a few words in common are worth says nothing about a short item: it takes this many, or all it has.
 LEAST_WORDS = 5
@@ -136,12 +144,12 @@ def grams(number: np.ndarray, hashes: np.ndarray, shape: tuple[int, ...]) -> tup
     return whole, _mix(value[whole]).view(np.int64)
 
 
-def least_score(size: int, threshold: float) -> int:
+def least_score(size: int, threshold: float, least_words: int = LEAST_WORDS) -> int:
     """The score that an item of ``size`` words must reach."""
-    return max(ceil(MATCH * size * threshold - 1e-9), MATCH * min(LEAST_WORDS, size))
+    return max(ceil(MATCH * size * threshold - 1e-9), MATCH * min(least_words, size))
 
 
-def sure_places(size: int, n: int, threshold: float) -> int:
+def sure_places(size: int, n: int, threshold: float, least_words: int = LEAST_WORDS) -> int:
     """Places of an item that share an n-gram with any passage reaching the threshold, at least.
 
     With m equal words, a score of s leaves 2 m - s edits, in the m - 1 gaps between
@@ -150,7 +158,7 @@ def sure_places(size: int, n: int, threshold: float) -> int:
     """
     if size <= n:
         return 1
-    score = least_score(size, threshold)
+    score = least_score(size, threshold, least_words)
     return max(0, min(m - n + 1 - (n - 1) * (MATCH * m - score) // (SKIP + 1) for m in range(ceil(score / MATCH), size + 1)))
 
 
@@ -158,7 +166,7 @@ def _bytes(column) -> F.Column:
     return F.lower(F.coalesce(column, F.lit(""))).cast("binary")
 
 
-def item_grams(items: DataFrame, text: str, n: int, threshold: float) -> DataFrame:
+def item_grams(items: DataFrame, text: str, n: int, threshold: float, least_words: int = LEAST_WORDS) -> DataFrame:
     """``(item, version, place, gram, width, size, spare, need)`` of every n-gram of every item.
 
     ``size`` is the item's number of words; of its places, the ``spare`` most common ones
@@ -175,7 +183,7 @@ def item_grams(items: DataFrame, text: str, n: int, threshold: float) -> DataFra
                 at, gram = grams(number, hashes, tuple(range(width)))
                 short = size[number[at]] == width
                 parts.append((at[short], gram[short], width))
-            sure = np.array([sure_places(int(x), n, threshold) for x in size], np.int32)
+            sure = np.array([sure_places(int(x), n, threshold, least_words) for x in size], np.int32)
             need = np.clip(sure, 1, NEED)
             spare = np.maximum(sure - need, 0)
             for at, gram, width in parts:
@@ -192,8 +200,9 @@ def item_grams(items: DataFrame, text: str, n: int, threshold: float) -> DataFra
     return rows.mapInArrow(run, f"item {kind}, version long, place int, gram long, width int, size int, spare int, need int")
 
 
-def bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A set of 64-bit keys, two of ``2**bits`` bits each; at most ``2**bits / 64`` rows reach the driver."""
+def bitmap(keys: DataFrame, most_bits: int = MOST_BITS) -> np.ndarray:
+    """A set of 64-bit keys, two bits each; at most ``2**most_bits / 64`` rows reach the driver."""
+    bits = min(most_bits, max(LEAST_BITS, (BITS_EACH * keys.count()).bit_length()))
     slots = F.explode(F.array("gram", F.shiftright("gram", 32))).alias("gram")
     slot = F.col("gram").bitwiseAND((1 << bits) - 1)
     words = keys.select(slots).groupBy(F.shiftright(slot, 6).alias("word")).agg(
@@ -205,11 +214,12 @@ def bitmap(keys: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return held.view(np.uint64)
 
 
-def _is_set(held: np.ndarray, gram: np.ndarray, bits: int) -> np.ndarray:
+def _is_set(held: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """Whether a key may be in the set."""
+    slots = np.uint64(64 * len(held) - 1)
 
     def bit(keys: np.ndarray) -> np.ndarray:
-        slot = keys & np.uint64((1 << bits) - 1)
+        slot = keys & slots
         return (held[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
     keys = gram.view(np.uint64)
@@ -218,58 +228,63 @@ def _is_set(held: np.ndarray, gram: np.ndarray, bits: int) -> np.ndarray:
     return there
 
 
-def _matches(held, bits: int, widths: list[int], n: int, number: np.ndarray, hashes: np.ndarray):
+def _matches(held, widths: list[int], n: int, number: np.ndarray, hashes: np.ndarray):
     for width in widths:
         for shape in shapes(n) if width == n else [tuple(range(width))]:
             at, gram = grams(number, hashes, shape)
-            there = _is_set(held, gram, bits)
+            there = _is_set(held, gram)
             yield at[there], gram[there]
 
 
-def _count(spark: SparkSession, docs: DataFrame, known: DataFrame, widths: list[int], n: int, bits: int) -> DataFrame:
+def _count(spark: SparkSession, docs: DataFrame, known: DataFrame, widths: list[int], n: int, most_bits: int) -> DataFrame:
     """``(gram, rows)``: occurrences in training texts of the n-grams that items have."""
-    held = spark.sparkContext.broadcast(bitmap(known, bits))
+    held = spark.sparkContext.broadcast(bitmap(known, most_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number, _, _, hashes = batch_words(batch.column("text"))
-            for _, gram in _matches(held.value, bits, widths, n, number, hashes):
+            for _, gram in _matches(held.value, widths, n, number, hashes):
                 values, times = np.unique(gram, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(times.astype(np.int64))], ["gram", "rows"])
 
     return docs.select("text").mapInArrow(run, "gram long, rows long").groupBy("gram").agg(F.sum("rows").alias("rows"))
 
 
-def _rarest(ranked: DataFrame) -> DataFrame:
-    """The seeds ``(item, version, place, gram, need)``: the n-grams at all places of an item but its ``spare`` most common ones."""
+def _seeds(ranked: DataFrame, most_items: int) -> DataFrame:
+    """``(item, version, place, gram, need, rare)``: the n-grams at all places of an item but its ``spare`` most common ones."""
     places = ranked.groupBy("item", "version", "place", "spare", "need").agg(F.sum("rows").alias("rows"), F.collect_set("gram").alias("grams"))
     order = Window.partitionBy("item", "version").orderBy(F.desc("rows"), "place")  # at most as many rows as an item has words
     seeded = places.withColumn("rank", F.row_number().over(order)).filter("rank > spare")
-    return seeded.select("item", "version", "place", "need", F.explode("grams").alias("gram"))
+    seeded = seeded.select("item", "version", "place", "need", F.explode("grams").alias("gram"))
+    sharing = ranked.select("gram", "item", "version").distinct().groupBy("gram").agg(F.count("*").alias("items"))
+    seeded = seeded.join(sharing, "gram")
+    least = F.min("items").over(Window.partitionBy("item", "version"))
+    return seeded.withColumn("rare", F.col("items") <= F.greatest(least, F.lit(most_items))).drop("items")
 
 
-def _passages(
-    spark: SparkSession, docs: DataFrame, seeds: DataFrame, widths: list[int], n: int, reach: int, bits: int, kind: str
-) -> DataFrame:
-    """``(doc, first, words, at, gram)``: training passages that reach ``reach`` words around possible seeds.
+def _passages(spark: SparkSession, docs: DataFrame, seeds: DataFrame, widths: list[int], n: int, reach: int, most_bits: int, kind: str) -> DataFrame:
+    """``(doc, first, words, at, gram)``: training passages that reach ``reach`` words around possible seeds, and where rare ones are.
 
     A seed of which an item needs several counts beside another place only.
     """
-    held = spark.sparkContext.broadcast(bitmap(seeds, bits))
-    lone = spark.sparkContext.broadcast(bitmap(seeds.filter("need = 1"), bits))
+    held, lone, rare = (
+        spark.sparkContext.broadcast(bitmap(frame, most_bits)) for frame in (seeds, seeds.filter("need = 1"), seeds.filter("rare"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column("text").cast(pa.large_binary())
+            offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
             number, start, end, hashes = batch_words(texts)
-            hits = list(_matches(held.value, bits, widths, n, number, hashes))
+            hits = list(_matches(held.value, widths, n, number, hashes))
             at, gram = np.concatenate([x[0] for x in hits]), np.concatenate([x[1] for x in hits])
             order = np.argsort(at, kind="stable")
             at, gram = at[order], gram[order]
             spots = np.unique(at)
             beside = (np.diff(spots) <= reach) & (number[spots[1:]] == number[spots[:-1]])
             beside = np.append(beside, False) | np.append(False, beside) if len(spots) else np.zeros(0, bool)
-            kept = beside[np.searchsorted(spots, at)] | _is_set(lone.value, gram, bits)
+            kept = beside[np.searchsorted(spots, at)] | _is_set(lone.value, gram)
+            kept &= _is_set(rare.value, gram)
             at, gram = at[kept], gram[kept]
             if not len(at):
                 continue
@@ -282,7 +297,8 @@ def _passages(
             out = []
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 k, lo, hi = int(text[a]), int(low[a]), int(high[a:b].max())
-                words = texts[k].as_py()[start[lo] : end[hi - 1]].decode("utf-8", "replace")
+                begin = int(offsets[k])
+                words = texts.buffers()[2][begin + int(start[lo]) : begin + int(end[hi - 1])].to_pybytes().decode("utf-8", "replace")
                 out.append((k, lo - int(first_word[k]), words, at[a:b] - lo, gram[a:b]))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -298,6 +314,13 @@ def _passages(
     return docs.mapInArrow(run, f"doc {kind}, first int, words string, at array<int>, gram array<long>")
 
 
+def candidate_hits(passages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``(passage, item, version, at, place)``: where a passage has a rare seed of an item."""
+    hits = passages.select("passage", F.explode(F.arrays_zip("at", "gram")).alias("hit"))
+    hits = hits.select("passage", F.col("hit.at").alias("at"), F.col("hit.gram").alias("gram"))
+    return hits.join(seeds.filter("rare"), "gram").select("passage", "item", "version", "at", "place")
+
+
 def align(passage: list[int], item: list[int]) -> tuple[int, int, int]:
     """Best local alignment: ``(score, first word, word after the last)`` in the passage."""
     if not passage or not item:
@@ -323,10 +346,10 @@ def align(passage: list[int], item: list[int]) -> tuple[int, int, int]:
     return best
 
 
-def _align_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _align_batches(batches: Iterator[pa.RecordBatch], threshold: float, least_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for passage, item, near, first in zip(*(batch.column(c).to_pylist() for c in ("words", "text", "near", "first"))):
+        for passage, item, near, held_at, first in zip(*(batch.column(c).to_pylist() for c in ("words", "text", "near", "held_at", "first"))):
             numbers: dict[bytes, int] = {}
             b = [numbers.setdefault(w, len(numbers)) for w in _WORD_BYTES.findall(item.lower().encode())]
             a = [numbers.get(w, -1) for w in _WORD_BYTES.findall(passage.encode())]
@@ -343,7 +366,7 @@ def _align_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Itera
                 else:
                     end = max(end, high)
             spans.append((begin, end))
-            least = least_score(len(b), threshold)
+            least = least_score(len(b), threshold, least_words)
             wanted = Counter(b)
             for low, high in spans:
                 # No alignment has more equal words than both sides have in common.
@@ -351,9 +374,9 @@ def _align_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Itera
                 if MATCH * sum(min(times, held[word]) for word, times in wanted.items()) < least:
                     continue
                 score, start, stop = align(a[low:high], b)
-                if score > best[0]:
+                if score > best[0] and any(low + start <= place < low + stop for place in held_at):
                     best = (score, low + start, low + stop)
-            enough = best[0] >= MATCH * min(LEAST_WORDS, len(b))
+            enough = best[0] >= MATCH * min(least_words, len(b))
             out.append((best[0] / (MATCH * len(b)) if enough and b else 0.0, first + best[1], first + best[2]))
         yield pa.RecordBatch.from_arrays(
             [
@@ -373,7 +396,9 @@ def find_leaks(
     items: DataFrame,
     threshold: float = 0.5,
     n: int = N,
-    bits: int = BITMAP_BITS,
+    most_items: int = MOST_ITEMS,
+    least_words: int = LEAST_WORDS,
+    most_bits: int = MOST_BITS,
     doc_id: str = "doc_id",
     text: str = "text",
     item_id: str = "item_id",
@@ -389,33 +414,30 @@ def find_leaks(
     doc_kind, item_kind = (x.schema[0].dataType.simpleString() for x in (docs, items))
     # Texts that share an id are items of their own until their documents are named.
     items = items.filter("text is not null").distinct().withColumn("version", F.xxhash64("text"))
-    places = materialise(item_grams(items, "text", n, threshold), "item-grams")
+    places = materialise(item_grams(items, "text", n, threshold, least_words), "item-grams")
     widths = sorted(row[0] for row in places.select("width").distinct().collect())  # at most n numbers
     reach = 2 * (places.agg(F.max("size")).first()[0] or 1)
     result = "doc_id, item_id, score, first_word, end_word, seeds"
     if not widths:
         empty = f"doc_id {doc_kind}, item_id {item_kind}, score double, first_word int, end_word int, seeds int"
         return spark.createDataFrame([], empty)
-    counts = _count(spark, docs, places, widths, n, bits)
+    counts = _count(spark, docs, places, widths, n, most_bits)
     ranked = places.join(counts, "gram", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
-    seeds = materialise(_rarest(ranked), "seeds")
-    passages = materialise(_passages(spark, docs, seeds, widths, n, reach, bits, doc_kind), "passages")
+    seeds = materialise(_seeds(ranked, most_items), "seeds")
+    passages = materialise(_passages(spark, docs, seeds, widths, n, reach, most_bits, doc_kind), "passages")
     passages = passages.withColumn("passage", F.xxhash64("doc", "first", "words"))
-    hits = passages.select("passage", F.explode(F.arrays_zip("at", "gram")).alias("hit"))
-    hits = hits.select("passage", F.col("hit.at").alias("at"), F.col("hit.gram").alias("gram"))
-    near = hits.join(seeds, "gram").groupBy("passage", "item", "version").agg(
+    near = candidate_hits(passages, seeds).groupBy("passage", "item", "version").agg(
         F.collect_set(F.col("at") - F.col("place")).alias("near"),
+        F.collect_set("at").alias("held_at"),
         F.size(F.collect_set("place")).alias("seeds"),
-        F.max("need").alias("need"),
     )
-    near = near.filter("seeds >= need").drop("need")
     cut = passages.select("passage", "doc", "first", "words").dropDuplicates(["passage"])
     pairs = near.join(cut, "passage")
     texts = items.select(F.col("item").alias("_item"), F.col("version").alias("_version"), "text")
     pairs = pairs.join(texts, F.col("item").eqNullSafe(F.col("_item")) & (F.col("version") == F.col("_version")))
-    pairs = pairs.select("doc", "item", "first", "words", "text", "near", "seeds")
+    pairs = pairs.select("doc", "item", "first", "words", "text", "near", "held_at", "seeds")
     aligned = pairs.mapInArrow(
-        lambda batches: _align_batches(batches, threshold), f"doc {doc_kind}, item {item_kind}, score double, first_word int, end_word int, seeds int"
+        lambda batches: _align_batches(batches, threshold, least_words), f"doc {doc_kind}, item {item_kind}, score double, first_word int, end_word int, seeds int"
     )
     found = aligned.filter(F.col("score") >= threshold).groupBy("doc", "item").agg(
         F.max(F.struct("score", "seeds", "first_word", "end_word")).alias("best")

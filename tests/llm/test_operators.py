@@ -259,6 +259,51 @@ def test_edited_copies_equal_alignment_of_everything(spark):
     assert found == pytest.approx(want) and want[501, 20] == 0.75
 
 
+def test_a_shared_form_of_question_is_no_leak(spark):
+    """Only rare words join items: 300 items and 300 documents that share a form of question make no pairs."""
+    form = "what is the capital of"
+    items = [(k, f"{form} land{k} town{k}") for k in range(300)]
+    rng = random.Random(31)
+    rows = [(d, " ".join([prose(rng, 30), form, *(f"x{d}y{k}" for k in range(30))]), 0, "z") for d in range(300)]
+    rows += [(1_000 + k, f"{prose(rng, 20)} {items[k][1]} {prose(rng, 20)}", 0, "z") for k in (3, 77)]
+    rows += [(2_000, f"{prose(rng, 20)} what is this capital of land5 town5 {prose(rng, 20)}", 0, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int, words string")
+    bench = spark.createDataFrame([(*x, 1, 2) for x in items], "item_id long, text string, place int, gram int")
+    found = decontaminate.find_leaks(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1_003, 3), (1_077, 77), (2_000, 5)}
+    assert decontaminate.drop_leaks(docs, bench).count() == 300
+    # A passage that a few items share is each one's own.
+    shared = prose(rng, 30)
+    few = spark.createDataFrame([(k, f"{shared} question{k}") for k in range(4)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"{prose(rng, 9)} {shared} {prose(rng, 9)}")], "doc_id long, text string")
+    assert decontaminate.find_leaks(docs, few).count() == 4
+    assert decontaminate.find_leaks(docs, few, most_items=1).count() == 0
+
+
+def test_rare_seeds_have_few_items(spark):
+    items = spark.createDataFrame([(k, f"what is the capital of land{k} town{k}") for k in range(50)], "item long, text string")
+    grams = decontaminate.item_grams(items.withColumn("version", F.xxhash64("text")), "text", 3, 0.5).withColumn("rows", F.lit(0))
+    seeds = decontaminate._seeds(grams, 10)
+    rare = seeds.filter("rare").groupBy("gram").agg(F.countDistinct("item").alias("items"))
+    assert rare.agg(F.max("items")).first()[0] == 1 and seeds.filter("not rare").count() > 50
+    assert seeds.filter("rare").select("item").distinct().count() == 50
+
+
+def test_a_long_document_with_many_passages(spark):
+    import time
+
+    rng = random.Random(8)
+    items = [prose(rng, 12) for _ in range(20)]
+    filler = [prose(rng, 300) for _ in range(50)]
+    text = " ".join(f"{items[k % 20]} {filler[k % 50]}" for k in range(3_000))
+    docs = spark.createDataFrame([(1, text), (2, filler[0])], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    began = time.time()
+    found = decontaminate.find_leaks(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["score"]) for r in found} >= {(1, k, 1.0) for k in range(20)}
+    assert time.time() - began < 60
+
+
 # -- tag paths -------------------------------------------------------------
 
 NOISE = [
