@@ -57,7 +57,7 @@ SKIP = 2
 NEED = 2
 MOST_ITEMS = 10
 # Bits of a bitmap, as powers of two: the least and the most (16 MB); between, so many for each key.
-LEAST_BITS, MOST_BITS, BITS_EACH = 20, 27, 16
+LEAST_BITS, MOST_BITS, BITS_EACH = 24, 27, 256
 MATCH, MISS, GAP = 2, -1, -1
 # What a few words in common are worth says nothing about a short item: it takes this many, or all it has.
 LEAST_WORDS = 5
