@@ -7,6 +7,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -31,7 +32,16 @@ from sluice.sinks.catalog import set_up_tables  # noqa: E402
 from sluice.sinks.landing import LANDING, land_in_table, landing_name, read_landed  # noqa: E402
 from sluice.sinks.snapshot import SnapshotTable  # noqa: E402
 from sluice.sources.csv import read_static_csv  # noqa: E402
-from sluice.sources.tables import ROW_ID, read_path, rows_after, select_where, with_file_row_id  # noqa: E402
+from sluice.sources.tables import (  # noqa: E402
+    ROW_ID,
+    preview,
+    read_path,
+    read_table,
+    read_table_incremental,
+    rows_after,
+    select_where,
+    with_file_row_id,
+)
 from sluice.storage import scratch_path  # noqa: E402
 from sluice.streaming.ingest import append_stream, ingest_feed, upsert_stream  # noqa: E402
 
@@ -615,6 +625,81 @@ def lake_layers(spark: SparkSession, sf: str) -> DataFrame:
     return lake_reports(spark, f"{base}/lake", countries, departments)["layer_counts"]
 
 
+def _feed_files(spark: SparkSession, sf: str) -> dict[str, list[DataFrame]]:
+    """CSV lines of each feed in two deliveries; the second one repeats some customers and orders with other values."""
+    key = F.col("c_custkey")
+    customers = table(spark, sf, "customer").select(
+        key.alias("customer_id"),
+        F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"),
+        F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("c"), key, F.lit("@example.com"))).otherwise("none").alias("email"),
+        F.lit("555").alias("phone_number"),
+        F.lit("2024-01-05").alias("signup_date"),
+        F.concat(F.lit("N"), "c_nationkey").alias("country_code"),
+        F.col("c_mktsegment").alias("department_code"),
+    )
+    moved = F.concat(F.lit("N"), (F.substring("country_code", 2, 9).cast("int") + 1) % 25)
+    products = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.lit("Books").alias("category"),
+        F.when(F.col("p_size") % 10 == 0, F.lit(-1.0)).otherwise(F.col("p_retailprice")).alias("price"),
+    )
+    number = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        number.alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        (number % 200 + 1).alias("product_id"),
+        F.lit("2024-01-05").alias("order_date"),
+        (number % 7).alias("quantity"),
+    )
+    again = customers.filter("customer_id % 10 = 0").withColumn("country_code", moved)
+    more = orders.filter("order_id % 3 = 1").withColumn("quantity", F.col("quantity") + 1)
+    return {
+        "customers": [customers.filter("customer_id % 2 = 0"), customers.filter("customer_id % 2 = 1").unionByName(again)],
+        "orders": [orders.filter("order_id % 3 > 0"), orders.filter("order_id % 3 = 0").unionByName(more)],
+        "products": [products.filter("product_id % 2 = 0"), products.filter("product_id % 2 = 1")],
+    }
+
+
+def lake_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rounds over CSV files of all feeds, and the reports that the lake then gives; figures by report and name."""
+    base = scratch_path(spark, "rounds")
+    countries = table(spark, sf, "nation").select(F.concat(F.lit("N"), "n_nationkey").alias("country_code"), F.col("n_name").alias("country_name"))
+    departments = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("department_code")).distinct()
+    departments = departments.withColumn("department_name", F.lower("department_code"))
+    files = _feed_files(spark, sf)
+    for delivery in range(2):
+        for feed, lines in files.items():
+            lines[delivery].write.mode("append").csv(f"{base}/source/{feed}", header=True)
+        run_all(spark, f"{base}/source", f"{base}/lake", {"country_code": countries, "department_code": departments})
+    reports = lake_reports(spark, f"{base}/lake", countries, departments)
+    figures = {
+        "layer_counts": (F.concat_ws(" ", "feed", "layer"), "rows"),
+        "reason_histogram": (F.concat_ws(" ", "feed", "rejection_reason"), "rows"),
+        "entity_counts": (F.col("entity"), "entities"),
+        "total_sales": (F.lit("all"), "total_sales"),
+        "top_countries": (F.col("country_name"), "sales"),
+        "customers_by_department": (F.col("department_name"), "customers"),
+    }
+    rows = [
+        reports[report].select(F.lit(report).alias("report"), name.alias("name"), F.col(value).cast("decimal(28,2)").alias("value"))
+        for report, (name, value) in figures.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def scan_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables read by name: filtered and pruned, above a bound, and looked at by SQL."""
+    database = _scratch_database(spark)
+    table(spark, sf, "events").write.format("parquet").saveAsTable(f"{database}.events")
+    found = read_table(spark, f"{database}.events", ["event_id", "value"], "event_type = 'click' AND value > 20")
+    newer = read_table_incremental(spark, f"{database}.events", "ts", "2024-01-20 12:00:00", ["event_id", "value"])
+    top = preview(spark, f"SELECT event_id, value FROM {database}.events ORDER BY value DESC, event_id", 20)
+    reads = (("filtered", found), ("newer", newer), ("preview", top))
+    return reduce(DataFrame.unionByName, [rows.withColumn("read", F.lit(name)) for name, rows in reads])
+
+
 def catalog_run_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customer records landed twice in the catalog, each landing structured by an incremental run."""
     prefix = f"sluice_{uuid.uuid4().hex}_"
@@ -661,6 +746,7 @@ QUERIES: dict[str, Query] = {
         scan_filter_project,
         scan_sql,
         scan_incremental,
+        scan_by_name,
         read_static_lookup,
         read_static_lookup_inferred,
         split_corrupt_valid,
@@ -723,6 +809,7 @@ QUERIES: dict[str, Query] = {
         incremental_runs_late,
         run_rule_counts,
         lake_layers,
+        lake_rounds,
         catalog_run_customers,
     )
 }

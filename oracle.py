@@ -450,6 +450,41 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL SELECT 'structured', count(*) FILTER (WHERE value >= 1 AND value <= 100) FROM events
           UNION ALL SELECT 'rejected', count(*) FILTER (WHERE NOT coalesce(value >= 1 AND value <= 100, false)) FROM events) counted
         CROSS JOIN (VALUES ('customers'), ('orders'), ('products')) feeds(feed)""",
+    "lake_rounds": """
+        WITH customers AS (
+          SELECT c_custkey AS k, c_acctbal >= 0 AS good, lower(c_mktsegment) AS department,
+                 CASE WHEN c_custkey % 10 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS nation FROM customer),
+        products AS (SELECT p_partkey AS k, p_size % 10 <> 0 AS good, p_retailprice AS price FROM part),
+        lines AS (
+          SELECT o_orderkey AS k, o_custkey AS c, o_orderkey % 200 + 1 AS p, o_orderkey % 7 + CASE WHEN o_orderkey % 3 = 1 THEN 1 ELSE 0 END AS q
+          FROM orders),
+        sales AS (
+          SELECT n.n_name AS country, CAST(sum(l.q * CAST(p.price AS DECIMAL(18, 6))) AS DECIMAL(28, 2)) AS sales
+          FROM lines l JOIN products p ON l.p = p.k AND p.good LEFT JOIN customers c ON l.c = c.k AND c.good
+          LEFT JOIN nation n ON n.n_nationkey = c.nation WHERE l.q > 0 GROUP BY c.nation, n.n_name),
+        figures AS (
+          SELECT 'layer_counts' AS report, 'customers raw' AS name, count(*) + count(*) FILTER (WHERE k % 10 = 0) AS value FROM customers
+          UNION ALL SELECT 'layer_counts', 'customers structured', count(*) FILTER (WHERE good) FROM customers
+          UNION ALL SELECT 'layer_counts', 'customers rejected', count(*) FILTER (WHERE NOT good) + count(*) FILTER (WHERE NOT good AND k % 10 = 0) FROM customers
+          UNION ALL SELECT 'layer_counts', 'products raw', count(*) FROM products
+          UNION ALL SELECT 'layer_counts', 'products structured', count(*) FILTER (WHERE good) FROM products
+          UNION ALL SELECT 'layer_counts', 'products rejected', count(*) FILTER (WHERE NOT good) FROM products
+          UNION ALL SELECT 'layer_counts', 'orders raw', count(*) + count(*) FILTER (WHERE k % 3 = 1) FROM lines
+          UNION ALL SELECT 'layer_counts', 'orders structured', count(*) FILTER (WHERE q > 0) FROM lines
+          UNION ALL SELECT 'layer_counts', 'orders rejected', count(*) FILTER (WHERE k % 7 = 0) FROM lines
+          UNION ALL SELECT 'entity_counts', 'customers', count(*) FILTER (WHERE good) FROM customers
+          UNION ALL SELECT 'entity_counts', 'products', count(*) FILTER (WHERE good) FROM products
+          UNION ALL SELECT 'entity_counts', 'orders', count(*) FILTER (WHERE q > 0) FROM lines
+          UNION ALL SELECT 'customers_by_department', department, count(*) FROM customers WHERE good GROUP BY department)
+        SELECT report, name, CAST(value AS DECIMAL(28, 2)) AS value FROM figures
+        UNION ALL SELECT 'reason_histogram', replace(name, 'rejected', 'Data quality check failed'), CAST(value AS DECIMAL(28, 2))
+                  FROM figures WHERE name LIKE '% rejected' AND value > 0
+        UNION ALL SELECT 'total_sales', 'all', CAST(sum(sales) AS DECIMAL(28, 2)) FROM sales
+        UNION ALL SELECT * FROM (SELECT 'top_countries', country, sales FROM sales WHERE country IS NOT NULL ORDER BY sales DESC LIMIT 10)""",
+    "scan_by_name": """
+        SELECT 'filtered' AS read, event_id, value FROM events WHERE event_type = 'click' AND value > 20
+        UNION ALL SELECT 'newer', event_id, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'
+        UNION ALL SELECT * FROM (SELECT 'preview', event_id, value FROM events ORDER BY value DESC, event_id LIMIT 20)""",
     "catalog_run_customers": f"""
         WITH routed AS (SELECT * FROM {BATCHED_CUSTOMERS} r),
         clean AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY batch DESC) AS newest

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice import storage
 from sluice.plans import marts
 from sluice.plans.feeds import FEEDS
+from sluice.plans.routing import REASONS
 from sluice.plans.runs import structured_table
 from sluice.schemas import quarantine_schema, raw_schema
 from sluice.sinks.catalog import TABLES
-from sluice.sinks.landing import read_landed
+from sluice.sinks.landing import not_seen, read_landed
 from sluice.sources.tables import read_path
 
 
@@ -66,14 +67,58 @@ def lake_layers(spark: SparkSession, lake_root: str) -> Layers:
     return layers
 
 
+def kept_totals(spark: SparkSession, lake_root: str) -> dict[str, dict[str, int]] | None:
+    """Rows of each feed by layer and by rejection reason, from what its versions keep; None if one does not.
+
+    No layer is read but the landings that no run has taken yet, whose rows the
+    raw layer has beyond those counted.
+    """
+    totals = {}
+    for name, feed in FEEDS.items():
+        snapshot = structured_table(spark, feed, f"{lake_root}/structured/{name}").current()
+        state = snapshot.state if snapshot else {"totals": {}, "landings": {}}
+        if state.get("totals") is None or "landings" not in state or (snapshot and snapshot.rows is None):
+            return None
+        raw = read_landed(spark, f"{lake_root}/raw/{name}", raw_schema(feed.schema))
+        reasons = {reason: state["totals"].get(outcome, 0) for outcome, reason in REASONS.items()}
+        totals[name] = {
+            "raw": state["totals"].get("rows", 0) + raw.filter(not_seen(state["landings"])).count(),
+            "structured": snapshot.rows if snapshot else 0,
+            "rejected": sum(reasons.values()),
+            **{reason: rows for reason, rows in reasons.items() if rows},
+        }
+    return totals
+
+
+def _kept_reports(spark: SparkSession, totals: dict[str, dict[str, int]]) -> tuple[DataFrame, DataFrame]:
+    """Layer counts and reason histogram from kept totals: three rows a feed each, at most."""
+    layers = ("raw", "structured", "rejected")
+    counts = [(feed, layer, rows[layer]) for feed, rows in totals.items() for layer in layers]
+    reasons = [(feed, name, n) for feed, rows in totals.items() for name, n in rows.items() if name not in layers]
+    reasons.sort(key=lambda row: (row[0], -row[2], row[1]))
+    schema = "feed string, {} string, rows long"
+    return spark.createDataFrame(counts, schema.format("layer")), spark.createDataFrame(reasons, schema.format("rejection_reason"))
+
+
 def lake_reports(
-    spark: SparkSession, lake_root: str, countries: DataFrame, departments: DataFrame
+    spark: SparkSession, lake_root: str, countries: DataFrame, departments: DataFrame, recount: bool = False
 ) -> dict[str, DataFrame]:
-    """Every report, by name. Rows of the layers are counted once, and the counts written for all reports."""
+    """Every report, by name.
+
+    Rows of layers and reasons are those kept with the versions. With
+    ``recount``, or where a version keeps none, the layers are read: counted once,
+    and the counts written for all reports.
+    """
     layers = lake_layers(spark, lake_root)
-    path = storage.scratch_path(spark, "layer-counts")
-    marts.layer_counts(layers).write.parquet(path)
-    counts = read_path(spark, path)
-    tables = [layers[name]["structured"] for name in ("orders", "customers", "products")]
+    totals = None if recount else kept_totals(spark, lake_root)
+    if totals is not None:
+        counts, reasons = _kept_reports(spark, totals)
+    else:
+        path = storage.scratch_path(spark, "layer-counts")
+        marts.layer_counts(layers).write.parquet(path)
+        counts, reasons = read_path(spark, path), None
     reports = ingestion_reports(layers, counts) | quality_reports(layers, counts)
+    if reasons is not None:
+        reports["reason_histogram"] = reasons
+    tables = [layers[name]["structured"] for name in ("orders", "customers", "products")]
     return reports | business_reports(*tables, countries, departments)

@@ -56,7 +56,8 @@ def run_feed(
     a stamp or at an earlier one are refused, since only a full run can find them.
 
     The outcome and the failures of each rule are counted as the routed rows are
-    written, and kept with the version (``state["counts"]``).
+    written, and kept with the version (``state["counts"]``), and so are the sums
+    over all runs since the last full one (``state["totals"]``).
     """
     if mode not in ("incremental", "full"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -89,12 +90,20 @@ def run_feed(
             check_keys=False,
             rejects=rejects.schema,
             replace_rejects=mode == "full",
-            state=bound | {"counts": counts},
+            state=bound | {"counts": counts, "totals": _totals(published if mode == "incremental" else None, counts)},
         )
     finally:
         storage.delete(spark, stage)
 
 
+def _totals(published: Snapshot | None, counts: dict[str, int]) -> dict[str, int] | None:
+    """Rows and outcomes of all runs so far; unknown if an earlier one did not keep them."""
+    before = {} if published is None else published.state.get("totals")
+    if before is None or (published is not None and not before):
+        return None
+    return {name: before.get(name, 0) + counts[name] for name in ("rows", CLEAN, CORRUPTED, DUPLICATE, FAILED)}
+
+
 def _new_landings(raw: DataFrame, state: dict) -> tuple[DataFrame, dict | None]:
     seen = state.get("landings", {})
     raw = raw.filter(not_seen(seen))

@@ -46,6 +46,7 @@ class Snapshot:
     segments: list[list[int]] = field(default_factory=list)
     reject_versions: list[int] = field(default_factory=list)
     state: dict = field(default_factory=dict)
+    rows: int | None = None  # kept up by every version; unknown in one that was written before it was
 
 
 class SnapshotTable:
@@ -176,12 +177,13 @@ class SnapshotTable:
 
         source = source.withColumn(_BUCKET, self._bucket(n_buckets))
         keys = source.select(self.key)
-        # At most n_buckets numbers, and whether a key is missing.
-        found = source.groupBy(_BUCKET).agg(F.max(F.col(self.key).isNull())).collect()
+        # At most n_buckets numbers, whether a key is missing, and their rows.
+        found = source.groupBy(_BUCKET).agg(F.max(F.col(self.key).isNull()), F.count("*")).collect()
         if any(row[1] for row in found):
             raise ValueError(f"an upsert row has no {self.key}")
         touched = {row[0] for row in found}
-        replaced = self._segments_to_rewrite(old, touched, keys) if old else []
+        replaced, matched = self._segments_to_rewrite(old, touched, keys) if old else ([], 0)
+        rows = sum(row[2] for row in found) - matched + (self._rows(old) if old else 0)
         if touched:
             placed = source.hint("rebalance", _BUCKET)
             if replaced:
@@ -207,10 +209,14 @@ class SnapshotTable:
             segments=[*current, *([version, bucket] for bucket in sorted(touched))],
             reject_versions=[*earlier, version] if rejects is not None else earlier,
             state={**(old.state if old else {}), **(state or {})},
+            rows=rows,
         )
         self._publish(snapshot)
         return snapshot
 
+    def _rows(self, snapshot: Snapshot) -> int:
+        return self._scan(snapshot, snapshot.segments).count() if snapshot.rows is None else snapshot.rows
+
     def rebucket(self, n_buckets: int) -> Snapshot:
         """Publish the same rows under another number of buckets; readers of older versions are not disturbed."""
         old = self.current()
@@ -234,15 +240,15 @@ class SnapshotTable:
         name = f"{self.path}/pointer/{snapshot.version:012d}.json"
         storage.publish_text(self.spark, name, json.dumps(asdict(snapshot)))
 
-    def _segments_to_rewrite(self, old: Snapshot, touched: set[int], keys: DataFrame) -> list[list[int]]:
-        """Segments with a row to replace, and all segments of touched buckets that have too many."""
+    def _segments_to_rewrite(self, old: Snapshot, touched: set[int], keys: DataFrame) -> tuple[list[list[int]], int]:
+        """Segments with a row to replace, and all segments of touched buckets that have too many; and the rows to replace."""
         candidates = [segment for segment in old.segments if segment[1] in touched]
         if not candidates:
-            return []
+            return [], 0
         found = self._scan(old, candidates).select(self.key, _VERSION, _BUCKET).join(keys, self.key, "left_semi")
-        hit = {(row[0], row[1]) for row in found.select(_VERSION, _BUCKET).distinct().collect()}
+        hit = {(row[0], row[1]): row[2] for row in found.groupBy(_VERSION, _BUCKET).agg(F.count("*")).collect()}
         held = Counter(bucket for _, bucket in candidates)
-        return [[v, b] for v, b in candidates if (v, b) in hit or held[b] >= self.max_segments]
+        return [[v, b] for v, b in candidates if (v, b) in hit or held[b] >= self.max_segments], sum(hit.values())
 
     def remove_superseded(self, keep: int = 2) -> None:
         """Delete segment and reject folders that none of the last ``keep`` versions refers to.

@@ -1,0 +1,95 @@
+"""Reports from what versions keep, against a full recount of the layers."""
+
+from dataclasses import replace
+
+from test_fixtures import make_lookups
+from test_jobs import named_lookups
+
+from sluice.plans import marts, reports
+from sluice.plans.feeds import FEEDS, ORDERS
+from sluice.plans.runs import run_all, run_feed, structured_table
+from sluice.schemas import raw_schema
+from sluice.sinks.landing import read_landed
+from sluice.sinks.snapshot import SnapshotTable
+from sluice.streaming.ingest import ingest_feed
+
+LINES = {
+    "a.csv": ["O1,C1,P1,2024-01-01,5", "O2,C1,P1,2024-01-01,0", "O3,C1,P1,2024-01-01,1", "O3,C1,P1,2024-01-01,1", "O4,C1,P1,bad,1"],
+    "b.csv": ["O1,C1,P1,2024-01-02,6", "O2,C1,P1,2024-01-02,7", "O5,C1,P1,2019-01-01,1"],
+    "c.csv": ["O1,C1,P1,2024-01-03,8", "O6,C1,P1,2024-01-03,8", ",C1,P1,2024-01-03,8"],
+}
+
+
+def put(folder, name):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("order_id,customer_id,product_id,order_date,quantity\n" + "\n".join(LINES[name]) + "\n")
+
+
+def rows(found, name):
+    return sorted(tuple(row) for row in found[name].collect())
+
+
+def compare(spark, lake):
+    kept = reports.lake_reports(spark, lake, *named_lookups(spark))
+    counted = reports.lake_reports(spark, lake, *named_lookups(spark), recount=True)
+    for name in ("layer_counts", "reason_histogram", "rejection_rates", "quality_rate"):
+        assert rows(kept, name) == rows(counted, name)
+        assert kept[name].columns == counted[name].columns
+    return {(r.feed, r.layer): r.rows for r in kept["layer_counts"].collect()}
+
+
+def test_kept_counts_equal_a_recount_after_every_version(spark, tmp_path, monkeypatch):
+    source, lake = tmp_path / "source", str(tmp_path / "lake")
+    lookups = make_lookups(spark)
+    wanted = {"a.csv": (5, 2, 3), "b.csv": (8, 3, 4), "c.csv": (11, 4, 5)}
+    for name, (raw, structured, rejected) in wanted.items():
+        put(source / "orders", name)
+        run_all(spark, str(source), lake, lookups, n_buckets=2)
+        found = compare(spark, lake)
+        assert [found["orders", layer] for layer in ("raw", "structured", "rejected")] == [raw, structured, rejected]
+        assert found["customers", "raw"] == found["products", "structured"] == 0
+    with monkeypatch.context() as patch:  # no layer is counted
+        patch.setattr(marts, "layer_counts", None)
+        reports.lake_reports(spark, lake, *named_lookups(spark))
+
+    # Rows that landed but were taken by no run yet are raw rows.
+    (source / "orders" / "d.csv").write_text((source / "orders" / "b.csv").read_text().replace("O5", "O9"))
+    ingest_feed(spark, ORDERS, str(source / "orders"), f"{lake}/checkpoints/orders", path=f"{lake}/raw/orders")
+    assert compare(spark, lake)["orders", "raw"] == 14
+
+    # A full run counts everything anew; a further one adds to it.
+    target = structured_table(spark, ORDERS, f"{lake}/structured/orders")
+    landed = read_landed(spark, f"{lake}/raw/orders", raw_schema(ORDERS.schema))
+    run_feed(ORDERS, landed, target, lookups, mode="full")
+    compare(spark, lake)
+    target.rebucket(3)
+    compare(spark, lake)
+
+
+def test_versions_without_totals_are_recounted(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    put(tmp_path / "source" / "orders", "a.csv")
+    run_all(spark, str(tmp_path / "source"), lake, make_lookups(spark), n_buckets=2)
+    target = structured_table(spark, FEEDS["orders"], f"{lake}/structured/orders")
+    target.upsert(target.read().limit(1), check_keys=False, state={"totals": None})
+    assert reports.kept_totals(spark, lake) is None
+    put(tmp_path / "source" / "orders", "b.csv")
+    run_all(spark, str(tmp_path / "source"), lake, make_lookups(spark))
+    assert reports.kept_totals(spark, lake) is None
+    counts = reports.lake_reports(spark, lake, *named_lookups(spark))["layer_counts"]
+    assert {(r.feed, r.layer): r.rows for r in counts.collect()}["orders", "raw"] == 8
+
+
+def test_rows_are_kept_up_by_every_upsert(spark, tmp_path):
+    target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=4, max_segments=2)
+    for first, last in ((0, 50), (25, 75), (75, 80), (0, 80), (200, 201)):
+        snapshot = target.upsert(spark.range(first, last).withColumnRenamed("id", "k"))
+        assert snapshot.rows == target.read().count()
+    assert target.upsert(spark.range(0).withColumnRenamed("id", "k")).rows == 81
+
+
+def test_rows_of_an_older_pointer_are_counted_once(spark, tmp_path):
+    target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=2)
+    first = target.upsert(spark.range(10).withColumnRenamed("id", "k"))
+    target._publish(replace(first, version=2, rows=None))
+    assert target.upsert(spark.range(5, 20).withColumnRenamed("id", "k")).rows == 20
