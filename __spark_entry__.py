@@ -29,6 +29,7 @@ from sluice.schemas import CORRUPT, INSERTED_AT, STRUCTURED_AT  # noqa: E402
 from sluice.sinks.append import write_append, write_merge, write_rejected_records  # noqa: E402
 from sluice.sinks.bucketed import create_bucketed, merge_bucketed  # noqa: E402
 from sluice.sinks.catalog import set_up_tables  # noqa: E402
+from sluice.sinks.clustered import write_clustered  # noqa: E402
 from sluice.sinks.landing import LANDING, land_in_table, landing_name, read_landed  # noqa: E402
 from sluice.sinks.snapshot import SnapshotTable  # noqa: E402
 from sluice.sources.csv import read_static_csv  # noqa: E402
@@ -689,6 +690,15 @@ def lake_rounds(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def scan_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """Events laid out by time in two appends, then read above a bound."""
+    path = scratch_path(spark, "clustered")
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    for rows in (events.filter("user_id % 2 = 0"), events.filter("user_id % 2 <> 0")):
+        write_clustered(rows, path, ["ts"])
+    return select_where(rows_after(read_path(spark, path), "ts", "2024-01-28 00:00:00"), ["event_id", "user_id", "value"])
+
+
 def scan_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """Tables read by name: filtered and pruned, above a bound, and looked at by SQL."""
     database = _scratch_database(spark)
@@ -747,6 +757,7 @@ QUERIES: dict[str, Query] = {
         scan_sql,
         scan_incremental,
         scan_by_name,
+        scan_clustered,
         read_static_lookup,
         read_static_lookup_inferred,
         split_corrupt_valid,

@@ -481,6 +481,7 @@ ORACLE_SQL: dict[str, str] = {
                   FROM figures WHERE name LIKE '% rejected' AND value > 0
         UNION ALL SELECT 'total_sales', 'all', CAST(sum(sales) AS DECIMAL(28, 2)) FROM sales
         UNION ALL SELECT * FROM (SELECT 'top_countries', country, sales FROM sales WHERE country IS NOT NULL ORDER BY sales DESC LIMIT 10)""",
+    "scan_clustered": "SELECT event_id, user_id, value FROM events WHERE ts > TIMESTAMP '2024-01-28 00:00:00'",
     "scan_by_name": """
         SELECT 'filtered' AS read, event_id, value FROM events WHERE event_type = 'click' AND value > 20
         UNION ALL SELECT 'newer', event_id, value FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'
