@@ -23,11 +23,14 @@ may have too (review, discussion) only if the element holds comments or forms,
 or has a namesake; and none that holds most of the page's text outside of
 navigation, unless an article, main or content element outside of it has text.
 
-Pages are independent of each other: there is no shuffle, and a long page costs
-memory in proportion to its own length.
+Pages are independent of each other: there is no shuffle, and a long or deeply
+nested page costs memory in proportion to its own length.
 
 Defined cases: null or empty html gives an empty text; so does a page without
-text blocks; unclosed and stray tags are tolerated; repeated rows give equal
+text blocks; unclosed and stray tags are tolerated (an element whose text never
+counts, such as a button or drawing, but for scripts and styles, ends at once if it
+has no end tag; an option's text ends at the next tag); a header element counts for
+nothing with the title in it, a class name such as entry-header does not; repeated rows give equal
 texts; other columns are ignored.
 """
 
@@ -35,6 +38,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from html import unescape
 from math import log1p
 
@@ -51,7 +55,9 @@ INLINE = frozenset(
     " strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select option button canvas".split())
+RAW = frozenset("script style noscript template textarea title svg math iframe object select button canvas".split())
+# Without an end tag the rest of the page is theirs; of the others, the tag alone is skipped.
+TO_THE_END = frozenset(("script", "style"))
 NOTHING = frozenset("head nav header footer aside form menu dialog fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # A start tag ends an open element of these when it is one of them.
@@ -78,6 +84,8 @@ _COMMENTS = re.compile(r"(?:^|[^a-z])(?:comments?|replies|reply|respond|discussi
 _COMMENT_STATE = re.compile(r"(?<![a-z])(?:(?:has|with|without|no)[-_]comments?|comments?[-_](?:open|opened|closed|enabled|disabled|on|off))(?![a-z])")
 _MAYBE_COMMENTS = re.compile(r"(?:^|[^a-z])(?:respond|discussion|reviews?)(?=$|[^a-z])")
 _CONTENT = re.compile(r"(?:^|[^a-z])(?:article|articlebody|content|entry|post|story|main|body|text|prose)(?:$|[^a-z])")
+# A heading of the article, not of the page.
+_OWN_HEADER = re.compile(r"(?<![a-z])(?:article|content|entry|post|story|text)[-_]?headers?(?![a-z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 
@@ -95,12 +103,35 @@ def _names(attributes: str) -> tuple[str, bool]:
     return " ".join(words), hidden
 
 
+class Path:
+    """A tag path: one object for each path of a page, so that a long one is not copied for every element."""
+
+    __slots__ = ("parent", "tag", "depth", "below")
+
+    def __init__(self, parent: Path | None, tag: str):
+        self.parent, self.tag, self.depth, self.below = parent, tag, parent.depth + 1 if parent else 0, {}
+
+    def child(self, tag: str) -> Path:
+        found = self.below.get(tag)
+        if found is None:
+            found = self.below[tag] = Path(self, tag)
+        return found
+
+    def names(self) -> tuple[str, ...]:
+        """The tags from the root."""
+        names, path = [], self
+        while path.parent is not None:
+            names.append(path.tag)
+            path = path.parent
+        return tuple(reversed(names))
+
+
 class _Seal:
     """A form or an element that may hold comments; whether it takes its text out is known when the page has ended."""
 
     __slots__ = ("path", "sure")
 
-    def __init__(self, path: tuple[str, ...], sure: bool):
+    def __init__(self, path: Path, sure: bool):
         self.path, self.sure = path, sure
 
 
@@ -129,7 +160,7 @@ class _Element:
         names, hidden = _names(attributes) if attributes else ("", False)
         first = names.split(" ", 1)[0] if names else ""
         self.tag = tag
-        self.path = (*(parent.path if parent else ()), f"{tag}.{first}" if first else tag)
+        self.path = parent.path.child(f"{tag}.{first}" if first else tag) if parent else Path(None, "")
         self.weight = parent.weight if parent else 1.0
         # Nothing inside a sealed element counts; a class name that merely sounds like noise
         # may also belong to a frame around the article, which then counts again.
@@ -146,7 +177,7 @@ class _Element:
                 self.seals = (*self.seals, _Seal(self.path, sure))
         if comments:
             names = _COMMENTS.sub("-", _MAYBE_COMMENTS.sub("-", names))
-        noisy = tag not in ("html", "body", "form") and bool(names and _NOISE.search(names))
+        noisy = tag not in ("html", "body", "form") and bool(names and _NOISE.search(_OWN_HEADER.sub("-", names)))
         if self.sealed or noisy:
             self.weight = 0.0
         elif tag in ("article", "main"):
@@ -155,12 +186,14 @@ class _Element:
             self.weight = min(3.0, self.weight * 3.0)
 
 
-def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
+def blocks(html: str) -> list[tuple[Path, float, str, int]]:
     """``(path, weight, text, characters in links)`` of the non-empty blocks in page order."""
     found: list[tuple[_Element, str, int]] = []
     stack = [_Element("", "", None)]
     pieces: list[str] = []
     linked, in_link, at = 0, 0, 0
+    opened: Counter[str] = Counter()  # tags on the stack
+    endless: set[str] = set()  # tags with no end tag from here on
 
     def end_block() -> None:
         nonlocal linked
@@ -181,6 +214,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
 
     def close(k: int) -> None:
         end_block()
+        opened.subtract(e.tag for e in stack[k:])
         del stack[k:]
 
     while True:
@@ -197,16 +231,28 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
             if name == "a":
                 in_link = 0
             elif name not in INLINE and name not in VOID:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name), 0)
+                k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name) if opened[name] > 0 else 0
                 end_block()
                 if k:
                     close(k)
             continue
+        if name == "option":  # text alone, up to the next tag of any kind
+            following = html.find("<", at)
+            at = following if following >= 0 else len(html)
+            continue
         if name in RAW:
-            end = re.compile(f"</{name}\\b[^>]*>", re.I).search(html, at)
-            if name not in ("svg", "math", "object", "canvas"):
-                end_block() if name not in ("button", "select", "option") else None
-            at = end.end() if end else len(html)
+            drawn = name in ("svg", "math", "object", "canvas")
+            if not drawn and name not in ("button", "select"):
+                end_block()
+            if name in ("svg", "math") and (tag[3] or "").endswith("/"):
+                continue
+            end = None if name in endless else re.compile(f"</{name}\\b[^>]*>", re.I).search(html, at)
+            if end is not None:
+                at = end.end()
+            elif name in TO_THE_END:
+                at = len(html)
+            else:
+                endless.add(name)
             continue
         if name in INLINE:
             if name == "a":
@@ -218,7 +264,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
         in_link = 0
         if name in CLOSES_P and stack[-1].tag == "p":
             close(len(stack) - 1)
-        if name in CLOSES:
+        if name in CLOSES and any(opened[other] > 0 for other in CLOSES[name]):
             # Only within the list or table that the element stands in.
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in CLOSES[name]:
@@ -227,14 +273,48 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
                 if stack[k].tag in ("ul", "ol", "dl", "table"):
                     break
         stack.append(_Element(name, tag[3] or "", stack[-1]))
+        opened[name] += 1
     end_block()
     closed = _closed(found)
     return [(e.path, 0.0 if closed.intersection(e.seals) else e.weight, text, linked) for e, text, linked in found]
 
 
-def content_paths(page: list[tuple[tuple[str, ...], float, str, int]]) -> set[tuple[str, ...]]:
+def _container(mass: dict[Path, float]) -> Path | None:
+    """The longest path below which most of the mass is."""
+    below: dict[Path, float] = {}
+    for path in mass:
+        while path.parent is not None and path.parent not in below:
+            path = path.parent
+            below[path] = 0.0
+    for path in sorted({*below, *mass}, key=lambda p: -p.depth):
+        if path.parent is not None:
+            below[path.parent] += below.get(path, 0.0) + mass.get(path, 0.0)
+    enough, container = CONTAINER_MASS * sum(mass.values()), None
+    for path in sorted(below, key=lambda p: p.depth):  # those with most of the mass stand in each other
+        if path.depth and below[path] >= enough and (container is None or path.parent is container):
+            container = path
+    return container
+
+
+def _inside(paths: Iterable[Path], container: Path | None) -> set[Path]:
+    """The paths that begin with the container; all if there is none."""
+    if container is None:
+        return set(paths)
+    known, found = {container: True}, set()
+    for path in paths:
+        chain, at = [], path
+        while at is not None and at not in known:
+            chain.append(at)
+            at = at.parent
+        known.update(dict.fromkeys(chain, at is not None and known[at]))
+        if known[path]:
+            found.add(path)
+    return found
+
+
+def content_paths(page: list[tuple[Path, float, str, int]]) -> set[Path]:
     """The paths that hold the main text."""
-    paths: dict[tuple[str, ...], list[float]] = {}
+    paths: dict[Path, list[float]] = {}
     for path, weight, text, linked in page:
         sums = paths.setdefault(path, [0.0, 0.0, 0.0, 0.0, weight])
         sums[0] += 1
@@ -247,7 +327,7 @@ def content_paths(page: list[tuple[tuple[str, ...], float, str, int]]) -> set[tu
     }
     values = [ratio[path] for path, *_ in page]
     reach = len(KERNEL) // 2
-    smooth: dict[tuple[str, ...], float] = dict.fromkeys(paths, 0.0)
+    smooth: dict[Path, float] = dict.fromkeys(paths, 0.0)
     for i, (path, *_) in enumerate(page):
         near = [(KERNEL[k + reach], values[i + k]) for k in range(-reach, reach + 1) if 0 <= i + k < len(values)]
         smooth[path] += sum(w * v for w, v in near) / sum(w for w, _ in near)
@@ -260,22 +340,13 @@ def content_paths(page: list[tuple[tuple[str, ...], float, str, int]]) -> set[tu
             return set()
     chosen = {p for p, v in fused.items() if v >= SHARE * best}
     mass = {p: fused[p] * paths[p][1] for p in chosen}
-    total = sum(mass.values())
-    container: tuple[str, ...] = ()
-    for depth in range(1, max(map(len, chosen)) + 1):
-        tops: dict[tuple[str, ...], float] = {}
-        for p, v in mass.items():
-            if len(p) > depth:  # a container holds the blocks' own elements
-                tops[p[:depth]] = tops.get(p[:depth], 0.0) + v
-        top = max(tops, key=tops.get, default=None)
-        if top is None or tops[top] < CONTAINER_MASS * total:
-            break
-        container = top
-    inside = lambda p: p[: len(container)] == container
-    if container and container[-1].split(".")[0] in ("html", "body"):
+    container = _container(mass)
+    if container is not None and container.tag.split(".")[0] in ("html", "body"):
         # The page itself: besides chosen paths only headings are taken along.
-        return chosen | {p for p in paths if paths[p][4] and inside(p) and p[-1].split(".")[0] in HEADINGS and paths[p][3] < paths[p][1] / 2}
-    return chosen | {p for p, s in paths.items() if s[4] and inside(p) and s[3] < s[1] / 2}
+        inside = {p for p in _inside(paths, container) if p.tag.split(".")[0] in HEADINGS}
+    else:
+        inside = _inside(paths, container)
+    return chosen | {p for p in inside if paths[p][4] and paths[p][3] < paths[p][1] / 2}
 
 
 def main_text(html: str | None) -> str:
