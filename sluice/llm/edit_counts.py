@@ -20,8 +20,8 @@ Documents are independent of each other: no shuffle.
 Edits are applied in their order, each to the text as the ones before left it;
 positions are code points, cut to the text, and a start behind its end is
 exchanged with it. Defined cases: null text counts as empty and has no tokens; a
-null edit list or null edits change nothing; a null replacement deletes;
-repeated rows are counted each; other columns are ignored.
+null edit list or null edits change nothing; a null replacement deletes; a tree
+that is null or of another length than its text is built anew; repeated rows are counted each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # The pre-token pattern that belongs to this vocabulary; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-LEAF = 64
+LEAF = 24
 CONTEXT = 3
 CACHE = 200_000
 
@@ -71,37 +71,44 @@ class Counter:
 
 
 class TokenTree:
-    """Leaves with character and token sums in two implicit binary trees of one shape."""
+    """Leaves with their texts, and character and token sums in two implicit binary trees of one shape.
+
+    Texts are kept by leaf, so an edit moves the characters of the leaves it
+    touches and no others. A leaf may hold up to twice ``LEAF`` pre-tokens, and
+    empty places lie between the leaves, so most edits change sums only.
+    """
 
     def __init__(self, text: str, chars: list[int], tokens: list[int], counter: Counter):
-        self.text, self.counter, self.encoded = text, counter, 0
-        self._grow(chars, tokens)
+        self.counter, self.encoded = counter, 0
+        self._grow(_slices(text, chars), tokens)
 
     @classmethod
     def build(cls, text: str, counter: Counter) -> TokenTree:
-        pieces = counter.split(text)
-        chars, tokens = _leaves(pieces, counter)
-        tree = cls(text, chars, tokens, counter)
+        tree = cls(text, *leaves_of(text, counter), counter)
         tree.encoded = len(text)
         return tree
 
-    def _grow(self, chars: list[int], tokens: list[int]) -> None:
-        self.n = max(1, len(chars))
-        self.width = 1 << (self.n - 1).bit_length()
-        pad = [0] * (self.width - len(chars))
-        self.chars = [0] * self.width + chars + pad
-        self.tokens = [0] * self.width + tokens + pad
+    def _grow(self, texts: list[str], tokens: list[int]) -> None:
+        self.width = 1 << (max(1, 2 * len(texts)) - 1).bit_length()
+        self.texts, held = [""] * self.width, [0] * self.width
+        self.texts[: 2 * len(texts) : 2], held[: 2 * len(texts) : 2] = texts, tokens
+        self.chars = [0] * self.width + list(map(len, self.texts))
+        self.tokens = [0] * self.width + held
         for k in range(self.width - 1, 0, -1):
             self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
             self.tokens[k] = self.tokens[2 * k] + self.tokens[2 * k + 1]
 
+    @property
+    def text(self) -> str:
+        return "".join(self.texts)
+
     @property
     def total(self) -> int:
         return self.tokens[1]
 
     def leaves(self) -> tuple[list[int], list[int]]:
         """Characters and tokens of the leaves that have text."""
-        there = [k for k in range(self.width, self.width + self.n) if self.chars[k]]
+        there = [k for k in range(self.width, 2 * self.width) if self.chars[k]]
         return [self.chars[k] for k in there], [self.tokens[k] for k in there]
 
     def _find(self, at: int) -> tuple[int, int]:
@@ -115,25 +122,34 @@ class TokenTree:
                 k += 1
         return k - self.width, begin
 
-    def _set(self, leaf: int, chars: int, tokens: int) -> None:
+    def _set(self, leaf: int, text: str, tokens: int) -> None:
+        self.texts[leaf] = text
         k = leaf + self.width
-        self.chars[k], self.tokens[k] = chars, tokens
-        while k > 1:
+        more, rise = len(text) - self.chars[k], tokens - self.tokens[k]
+        while k and (more or rise):
+            self.chars[k] += more
+            self.tokens[k] += rise
             k //= 2
-            self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
-            self.tokens[k] = self.tokens[2 * k] + self.tokens[2 * k + 1]
+
+    def _behind(self, at: int, size: int) -> str:
+        """The ``size`` characters from a place on, fewer at the end of the text."""
+        found = ""
+        while len(found) < size and at < self.chars[1]:
+            leaf, begin = self._find(at)
+            found += self.texts[leaf][at - begin : at - begin + size - len(found)]
+            at = begin + len(self.texts[leaf])
+        return found
 
     def edit(self, start: int, end: int, replacement: str) -> None:
-        size = len(self.text)
+        size = self.chars[1]
         start, end = sorted((min(max(start, 0), size), min(max(end, 0), size)))
         first, begin = self._find(max(0, start - CONTEXT))
         last, last_begin = self._find(max(start, end - 1))
-        stop = last_begin + self.chars[last + self.width]
-        self.text = self.text[:start] + replacement + self.text[end:]
-        moved = len(replacement) - (end - start)
+        stop = last_begin + len(self.texts[last])
+        held = "".join(self.texts[first : last + 1])
+        region = held[: start - begin] + replacement + held[end - begin :]
         while True:
-            region = self.text[begin : stop + moved]
-            context = self.text[stop + moved : stop + moved + CONTEXT + 1]
+            context = self._behind(stop, CONTEXT + 1)
             pieces = self.counter.split(region + context)
             if not context:
                 break
@@ -142,26 +158,90 @@ class TokenTree:
                 pieces = pieces[: ends.index(len(region)) + 1] if region else []
                 break
             last, last_begin = self._find(stop)
-            stop = last_begin + self.chars[last + self.width]
+            stop = last_begin + len(self.texts[last])
+            region += self.texts[last]
         self.encoded += len(region)
-        chars, tokens = _leaves(pieces, self.counter)
-        if len(chars) <= last - first + 1:
-            for k in range(first, last + 1):
-                part = k - first
-                self._set(k, chars[part] if part < len(chars) else 0, tokens[part] if part < len(tokens) else 0)
-        else:  # more leaves than there were: the tree gets a new shape, nothing is encoded for it
-            w = self.width
-            self._grow(
-                self.chars[w : w + first] + chars + self.chars[w + last + 1 : w + self.n],
-                self.tokens[w : w + first] + tokens + self.tokens[w + last + 1 : w + self.n],
-            )
-
-
-def _leaves(pieces: list[str], counter: Counter) -> tuple[list[int], list[int]]:
+        place = last + 1
+        while place < self.width and place - first < len(pieces) / LEAF and not self.texts[place]:
+            place += 1
+        room = place - first
+        if len(pieces) <= 2 * LEAF * room:
+            chars, tokens = _leaves(pieces, self.counter, max(LEAF, -(-len(pieces) // room)))
+            texts = _slices(region, chars)
+            for k in range(room):
+                if k < len(texts):
+                    self._set(first + k, texts[k], tokens[k])
+                elif self.texts[first + k]:
+                    self._set(first + k, "", 0)
+        else:
+            chars, tokens = _leaves(pieces, self.counter)
+            self._spread(first, last, _slices(region, chars), tokens)
+
+    def _spread(self, first: int, last: int, texts: list[str], tokens: list[int]) -> None:
+        """Put leaves in the place of ``first`` to ``last``, for which there is no room; nothing is encoded for it.
+
+        The smallest subtree around them that is not too full deals its leaves
+        evenly over its places: wholly full ones are allowed at the leaves,
+        half full ones at the root. So even if all edits hit one place, few of
+        them move many leaves. A tree too full is laid out at twice the width.
+        """
+        size = 1
+        while size < self.width:
+            size *= 2
+            low = first // size * size
+            high = low + size
+            if high <= last:
+                continue
+            before = [k for k in range(low, first) if self.texts[k]]
+            behind = [k for k in range(last + 1, high) if self.texts[k]]
+            n = len(before) + len(texts) + len(behind)
+            if n <= size * (1 - 0.5 * size.bit_length() / self.width.bit_length()):
+                break
+        else:
+            before = [k for k in range(first) if self.texts[k]]
+            behind = [k for k in range(last + 1, self.width) if self.texts[k]]
+            low, size = 0, 0
+        counts = self.tokens
+        tokens = [counts[self.width + k] for k in before] + tokens + [counts[self.width + k] for k in behind]
+        texts = [self.texts[k] for k in before] + texts + [self.texts[k] for k in behind]
+        if not size:
+            self._grow(texts, tokens)
+            return
+        top = (self.width + low) // size
+        was = self.chars[top], self.tokens[top]
+        begin, end = self.width + low, self.width + low + size
+        self.texts[low : low + size] = [""] * size
+        self.chars[begin:end] = self.tokens[begin:end] = [0] * size
+        for k in range(n):
+            at = low + k * size // n
+            self.texts[at], self.chars[self.width + at], self.tokens[self.width + at] = texts[k], len(texts[k]), tokens[k]
+        while end - begin > 1:
+            begin, end = begin // 2, end // 2
+            for k in range(begin, end):
+                self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
+                self.tokens[k] = self.tokens[2 * k] + self.tokens[2 * k + 1]
+        more, rise = self.chars[top] - was[0], self.tokens[top] - was[1]
+        top //= 2
+        while top:
+            self.chars[top] += more
+            self.tokens[top] += rise
+            top //= 2
+
+
+def _leaves(pieces: list[str], counter: Counter, size: int = LEAF) -> tuple[list[int], list[int]]:
     counts = counter.counts(pieces)
     sizes = list(map(len, pieces))
-    cuts = range(0, len(pieces), LEAF)
-    return [sum(sizes[k : k + LEAF]) for k in cuts], [sum(counts[k : k + LEAF]) for k in cuts]
+    cuts = range(0, len(pieces), size)
+    return [sum(sizes[k : k + size]) for k in cuts], [sum(counts[k : k + size]) for k in cuts]
+
+
+def _slices(text: str, sizes: list[int]) -> list[str]:
+    return [text[end - size : end] for size, end in zip(sizes, accumulate(sizes), strict=True)]
+
+
+def leaves_of(text: str, counter: Counter) -> tuple[list[int], list[int]]:
+    """Characters and tokens of the leaves of a whole text."""
+    return _leaves(counter.split(text), counter)
 
 
 class EditCounts:
@@ -187,7 +267,7 @@ class EditCounts:
 
         @F.arrow_udf(TREE)
         def of(texts: pa.Array) -> pa.Array:
-            found = [TokenTree.build(x or "", counter()).leaves() for x in texts.to_pylist()]
+            found = [leaves_of(x or "", counter()) for x in texts.to_pylist()]
             return _tree_array(found)
 
         return of.asNondeterministic()(text if isinstance(text, Column) else F.col(text))
@@ -203,7 +283,9 @@ class EditCounts:
         def of(texts: pa.Array, trees: pa.Array, edits: pa.Array) -> pa.Array:
             out, leaves = [], []
             for x, tree, changes in zip(texts.to_pylist(), trees.to_pylist(), edits.to_pylist(), strict=True):
-                held = TokenTree(x or "", tree["chars"] if tree else [], tree["tokens"] if tree else [], counter())
+                x = x or ""
+                fits = tree is not None and sum(tree["chars"]) == len(x)
+                held = TokenTree(x, tree["chars"], tree["tokens"], counter()) if fits else TokenTree.build(x, counter())
                 for change in changes or []:
                     if change is not None and change["start"] is not None and change["end"] is not None:
                         held.edit(change["start"], change["end"], change["text"] or "")

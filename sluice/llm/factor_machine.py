@@ -177,11 +177,12 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("label"),
+                batch.column("hash"),
                 pa.array(slots, pa.list_(pa.int32())),
                 pa.array(counts, pa.list_(pa.float32())),
                 pa.array(rest, pa.list_(pa.float32())),
             ],
-            ["label", "slots", "counts", "rest"],
+            ["label", "hash", "slots", "counts", "rest"],
         )
 
 
@@ -189,15 +190,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str, limit: int = SAMPLE_RO
     """Fit on at most ``limit`` labelled rows; only their features reach the driver, at most 32 KB a row."""
     sample = labelled_sample(docs, labels, label, limit)
     sample = sample.select(F.col("_label").cast("int").alias("label"), as_bytes("_text").alias("text"))
-    rows = sample.mapInArrow(_featurise, "label int, slots array<int>, counts array<float>, rest array<float>").toArrow()
+    sample = sample.withColumn("hash", F.xxhash64("text"))
+    rows = sample.mapInArrow(_featurise, "label int, hash long, slots array<int>, counts array<float>, rest array<float>").toArrow()
     n = rows.num_rows
     words, rest = np.zeros((n, 1 << WORD_BITS), np.float32), np.zeros((n, WIDTH - (1 << WORD_BITS)), np.float32)
     for k in range(n):
         words[k, rows["slots"][k].values.to_numpy()] = rows["counts"][k].values.to_numpy()
         rest[k] = rows["rest"][k].values.to_numpy()
     target = rows["label"].to_numpy().astype(np.float32)
-    # Rows arrive in task order; the model must not depend on it.
-    order = np.lexsort(np.concatenate([rest.T, words[:, ::64].T]))
+    # Rows arrive in task order; the model must not depend on it. Rows alike in hash and label are alike.
+    order = np.lexsort([target, rows["hash"].to_numpy()])
     return fit(words[order], rest[order], target[order])
 
 

@@ -1,23 +1,27 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols (insult, threat, target, negation, report, boundary, stop,
-colon, quote or other) and sequential transducers rewrite the symbols of a clause:
+Words become symbols (insult, threat, ambiguous threat, subject, target,
+negation, report, contrast, boundary, stop, colon, comma, quote or other) and
+sequential transducers rewrite the symbols of a clause:
 
-    target ahead o negation o report o target o scoring
+    target ahead o subject o negation o report o target o scoring
 
 The first reads from right to left and marks insults and threats that a target
-follows; the others read from left to right. Negation marks insults and threats
-within its scope, report those in reported speech, target those aimed at
-someone; scoring emits one clause type with each. What reads from left to right
-is composed once into a single table of states. A threat without a
-target is no match, and an insult counts by the clause it stands in, so the
-score of a text depends on matched clauses, never on a word alone.
+follows; the others read from left to right. Verbs that also mean something
+harmless (``AMBIGUOUS_THREATS``) are threats only behind a first-person or modal
+subject. Negation marks insults and threats until its clause ends, report those
+in reported speech, target those aimed at someone; scoring emits one clause type
+with each. What reads from left to right is composed once into a single table of
+states. A threat without a target is no match, and an insult counts by the
+clause it stands in, so the score of a text depends on matched clauses, never on
+a word alone. Known words are given in their base form; :func:`forms` adds plurals,
+degrees and tenses by rule.
 
 Weights come from labels: the weight of an insult is its log-odds in labelled
 training texts (``SAMPLE_ROWS`` of them at most, outside the held-out third). A
-lexicon entry is a word or a stem, that is a word's first letters; it is kept if
-a likelihood-ratio test rules out chance, and a word takes the weight of its
-longest entry. A few well-known words start with a weight of their own. Logistic
+lexicon entry is a word or a stem, that is a word's first letters; each one for
+which a likelihood-ratio test rules out chance is kept, and a word takes the
+weight of its longest entry. The sample bounds them, whatever the corpus. A few well-known words start with a weight of their own. Logistic
 regression on the other part of the sample turns a text's clauses into a
 probability. Equal texts count once in learning, so that copies do not pass for
 evidence; of unlike labels the smaller one counts. Language and source are no inputs.
@@ -33,6 +37,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +47,23 @@ from pyspark.sql import functions as F
 from sluice.llm.common import as_bytes, labelled_sample, materialise
 
 SAMPLE_ROWS = 15_000
-LEXICON_ROWS = 4_000
 MAX_WEIGHT = 6.0
 STEM = range(4, 8)
 
 INSULTS = "idiot moron stupid scum trash loser worthless pathetic disgusting clown dumb bastard imbecile filth vermin"
 INSULTS += " dummkopf abschaum arschloch versager imbécile crétin salaud ordure idiota estúpido imbécil asqueroso"
-THREATS = "kill hurt destroy shoot burn stab murder beat strangle töten umbringen tuer frapper matar golpear"
+NOUN_ENDINGS = "s es en er est ly ed ing"
+# Verbs by language: the words, their endings, and the ending that these replace.
+THREATS = (
+    ("kill hurt destroy murder stab strangle slaughter", "s ed ing", ""),
+    ("töten umbringen", "e est et t te ten", "en"),
+    ("tuer frapper", "e es ent ez é ée és", "er"),
+    ("matar golpear", "o as a an é ado ando aré", "ar"),
+)
+AMBIGUOUS_THREATS = (("beat shoot burn smash crush hang break", "s ed ing en", ""),)
+IRREGULAR = {"shoot": "shot", "hang": "hung", "break": "broke broken"}
+SUBJECTS = "i we will shall should must gonna ll going let lets ich wir werde werden je nous vais allons yo nosotros voy vamos"
+CONTRASTS = "but yet however aber sondern mais pero sino"
 TARGETS = "you your yours yourself u he she they him them dich dir euch ihr tu toi vous ils elles tú usted ustedes ellos"
 NEGATIONS = "not no never neither nor nobody cannot nicht kein keine nie niemals pas jamais aucun nunca jamás ningún"
 NEGATIONS += " don't doesn't didn't isn't aren't wasn't weren't won't wouldn't can't couldn't shouldn't mustn't needn't mightn't"
@@ -57,13 +72,14 @@ REPORTS = "said says say wrote told called calls claimed quoted quote sagte schr
 
 # Symbols. A transducer passes on what it does not rewrite.
 OTHER, BOUNDARY, INSULT, THREAT, TARGET, NEGATION, REPORT = "w", "|", "I", "H", "T", "N", "R"
-STOP, COLON, QUOTE = ".", ":", "q"
-SYMBOLS = (OTHER, BOUNDARY, INSULT, THREAT, TARGET, NEGATION, REPORT, STOP, COLON, QUOTE)
+AMBIGUOUS, SUBJECT, CONTRAST, STOP, COLON, COMMA, QUOTE = "A", "S", "B", ".", ":", ",", "q"
+SYMBOLS = (OTHER, BOUNDARY, INSULT, THREAT, TARGET, NEGATION, REPORT, AMBIGUOUS, SUBJECT, CONTRAST, STOP, COLON, COMMA, QUOTE)
 ENDS = (BOUNDARY, STOP, COLON)
-MARKS = {"\n": BOUNDARY, ":": COLON} | dict.fromkeys(".!?;", STOP) | dict.fromkeys('"“”„«»', QUOTE)
+SILENT = (COMMA, QUOTE)
+MARKS = {"\n": BOUNDARY, ":": COLON, ",": COMMA} | dict.fromkeys(".!?;", STOP) | dict.fromkeys('"“”„«»', QUOTE)
 TYPES = ("insult", "aimed insult", "aimed threat", "negated", "reported")
 
-_TOKEN = re.compile(r"""[^\W\d_]*n't(?![^\W\d_])|[^\W\d_]+|[.!?;:\n"“”„«»]""")
+_TOKEN = re.compile(r"""[^\W\d_]*n't(?![^\W\d_])|[^\W\d_]+|[.!?;:,\n"“”„«»]""")
 
 
 @dataclass
@@ -119,12 +135,14 @@ class TwoWay:
         return self.forth.run(self.back.run(symbols[::-1])[::-1])
 
 
-def grammar(scope: int = 3, reach: int = 6) -> TwoWay:
-    """The chain; outputs are clause types or None.
+def transducers(lead: int = 4, reach: int = 6) -> list[Transducer]:
+    """The chain, each one reading what the one before writes; the first reads from right to left.
 
-    Negation reaches over the next ``scope`` words, a target over the next and
-    the last ``reach``; reported speech lasts until the clause ends, beyond a
-    colon, and in quotation marks until they close or the line ends.
+    A subject reaches over the next ``lead`` words, unless a target begins
+    another clause; a target over the next and the last ``reach``. Negation
+    lasts until the clause ends, at a contrast or at a comma that a target
+    follows; reported speech until the clause ends, beyond a colon, and in
+    quotation marks until they close or the line ends.
     """
 
     def ahead(left, symbol):
@@ -132,23 +150,30 @@ def grammar(scope: int = 3, reach: int = 6) -> TwoWay:
             return 0, symbol
         if symbol == TARGET:
             return reach, symbol
-        if symbol == QUOTE:
+        if symbol in SILENT:
             return left, symbol
-        return max(0, left - 1), symbol + "@" if left and symbol in (INSULT, THREAT) else symbol
-
-    back = Transducer.tabulate(0, SYMBOLS, ahead)
+        return max(0, left - 1), symbol + "@" if left and symbol in (INSULT, THREAT, AMBIGUOUS) else symbol
 
-    def negation(left, symbol):
-        if symbol in ENDS:
+    def subject(left, symbol):
+        if symbol in ENDS or symbol == TARGET:
             return 0, symbol
-        if symbol == NEGATION:
-            return scope, OTHER
-        if symbol == QUOTE:
+        if symbol == SUBJECT:
+            return lead, OTHER
+        if symbol in SILENT or symbol == NEGATION:
             return left, symbol
-        output = symbol + "-" if left and symbol[0] in (INSULT, THREAT) else symbol
-        return max(0, left - 1), output
-
-    first = Transducer.tabulate(0, back.outputs(), negation)
+        if symbol[0] == AMBIGUOUS:
+            symbol = THREAT + symbol[1:] if left else OTHER
+        return max(0, left - 1), symbol
+
+    def negation(state, symbol):
+        """0: not negated, 1: negated, 2: negated, and a comma was just read."""
+        if symbol in ENDS or symbol == CONTRAST or (symbol == TARGET and state == 2):
+            return 0, OTHER if symbol == CONTRAST else symbol
+        if symbol == NEGATION:
+            return 1, OTHER
+        if symbol in SILENT:
+            return 2 if state and symbol == COMMA else state, symbol
+        return min(state, 1), symbol + "-" if state and symbol[0] in (INSULT, THREAT) else symbol
 
     def report(inside, symbol):
         """0: not reported, 1: until the clause ends, 2: until the quotation marks close."""
@@ -160,19 +185,15 @@ def grammar(scope: int = 3, reach: int = 6) -> TwoWay:
             return (0, 2, 1)[inside], symbol
         return inside, symbol + '"' if inside and symbol[0] in (INSULT, THREAT) else symbol
 
-    second = Transducer.tabulate(0, first.outputs(), report)
-
     def target(left, symbol):
         if symbol in ENDS:
             return 0, symbol
         if symbol == TARGET:
             return reach, OTHER
-        if symbol == QUOTE:
+        if symbol in SILENT:
             return left, symbol
         return max(0, left - 1), symbol + "@" if left and symbol[0] in (INSULT, THREAT) else symbol
 
-    third = Transducer.tabulate(0, second.outputs(), target)
-
     def scoring(_, symbol):
         if symbol[0] not in (INSULT, THREAT) or (symbol[0] == THREAT and "@" not in symbol):
             return 0, None
@@ -182,7 +203,28 @@ def grammar(scope: int = 3, reach: int = 6) -> TwoWay:
             return 0, "reported"
         return 0, "aimed threat" if symbol[0] == THREAT else "aimed insult" if "@" in symbol else "insult"
 
-    return TwoWay(back, first.then(second).then(third).then(Transducer.tabulate(0, third.outputs(), scoring)))
+    chain = [Transducer.tabulate(0, SYMBOLS, ahead)]
+    for step in (subject, negation, report, target, scoring):
+        chain.append(Transducer.tabulate(0, chain[-1].outputs(), step))
+    return chain
+
+
+def grammar(lead: int = 4, reach: int = 6) -> TwoWay:
+    """The chain of :func:`transducers`, composed; outputs are clause types or None."""
+    back, *forth = transducers(lead, reach)
+    return TwoWay(back, reduce(Transducer.then, forth))
+
+
+def forms(word: str, endings: str, dropped: str = "") -> set[str]:
+    """The word's stem, which is what is left without ``dropped``, with each ending.
+
+    A last ``e`` falls before vowels, and a last consonant behind a single vowel may double.
+    """
+    stem = word.removesuffix(dropped)
+    made = {word} | {(stem[:-1] if stem[-1] == "e" and end[0] in "ei" else stem) + end for end in endings.split()}
+    if not dropped and re.fullmatch(r"[^aeiou]*[aeiou][^aeiouwxy]", stem):
+        made |= {stem + stem[-1] + end for end in endings.split() if end in ("ed", "ing", "er", "est")}
+    return made
 
 
 @dataclass
@@ -195,16 +237,21 @@ class Lexicon:
 
     @classmethod
     def of(cls, learned: dict[str, float]) -> Lexicon:
-        symbols = {}
-        for words, symbol in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), (INSULTS, INSULT)):
+        symbols, base = {}, {}
+        for words, symbol in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (SUBJECTS, SUBJECT), (CONTRASTS, CONTRAST)):
             symbols.update(dict.fromkeys(words.split(), symbol))
+        steers = set(symbols)
+        known = [(INSULT, INSULTS, NOUN_ENDINGS, "")]
+        known += [(symbol, *verbs) for symbol, group in ((THREAT, THREATS), (AMBIGUOUS, AMBIGUOUS_THREATS)) for verbs in group]
+        for symbol, words, endings, dropped in known:
+            for word in words.split():
+                for form in (forms(word, endings, dropped) | set(IRREGULAR.get(word, "").split())) - steers:
+                    symbols[form], base[form] = symbol, word
         # What steers the transducers is no insult, however it is spread; nor is a stem that covers it.
-        steering = {w for w, symbol in symbols.items() if symbol in (TARGET, NEGATION, REPORT)}
-        steering |= {w[:k] + "*" for w in steering for k in STEM if k < len(w)}
-        learned = {w: x for w, x in learned.items() if w not in steering}
-        symbols.update({w: INSULT for w in learned if symbols.get(w) != THREAT})
-        weights = {w: 3.0 for w, symbol in symbols.items() if symbol in (INSULT, THREAT)}
-        weights.update({w: min(MAX_WEIGHT, x) for w, x in learned.items()})
+        steering = steers | {w[:k] + "*" for w in steers for k in STEM if k < len(w)}
+        learned = {w: min(MAX_WEIGHT, x) for w, x in learned.items() if w not in steering}
+        symbols.update({w: INSULT for w in learned if symbols.get(w) not in (THREAT, AMBIGUOUS)})
+        weights = {form: learned.get(word, 3.0) for form, word in base.items()} | learned
         return cls(weights, symbols, {w[: STEM[0]] for w in weights})
 
     def entry(self, word: str) -> str | None:
@@ -278,8 +325,8 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int64())], ["word", "toxic"])
 
 
-def learn_lexicon(rows: DataFrame, limit: int = LEXICON_ROWS) -> dict[str, float]:
-    """Log-odds of the words and stems that mark label 1, from ``(text, label)``; at most ``limit`` reach the driver."""
+def learn_lexicon(rows: DataFrame) -> dict[str, float]:
+    """Log-odds of all words and stems that mark label 1, from ``(text, label)``: a sample, so they reach the driver."""
     n, positive = rows.agg(F.count("*"), F.sum("label")).first()
     if not positive or positive == n:
         return {}
@@ -296,9 +343,8 @@ def learn_lexicon(rows: DataFrame, limit: int = LEXICON_ROWS) -> dict[str, float
 
     g2 = 2 * (part(F.col("a"), expected) + part(F.col("n") - F.col("a"), F.col("n") - expected))
     odds = F.log((F.col("a") + 0.5) / (positive + 1)) - F.log((F.col("n") - F.col("a") + 0.5) / (n - positive + 1))
-    marked = counts.filter((F.col("a") > expected) & (g2 >= 2 * math.log(max(2, tested)))).select("word", odds.alias("odds"), g2.alias("g2"))
-    best = marked.filter("odds > 1").orderBy(F.desc("g2"), "word").limit(limit).collect()
-    return {row["word"]: float(row["odds"]) for row in best}
+    marked = counts.filter((F.col("a") > expected) & (g2 >= 2 * math.log(max(2, tested)))).select("word", odds.alias("odds"))
+    return {row["word"]: float(row["odds"]) for row in marked.filter("odds > 1").collect()}
 
 
 def merge_copies(sample: DataFrame) -> DataFrame:
