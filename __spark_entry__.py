@@ -17,6 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from oracle import ORACLE_SQL  # noqa: E402
 from sluice.functions import flags, transforms  # noqa: E402
 from sluice.operators import dedup, quality  # noqa: E402
+from sluice.operators.distinct import DistinctCounts  # noqa: E402
 from sluice.operators.quality import Rule  # noqa: E402
 from sluice.operators.skew import SkewGuard  # noqa: E402
 from sluice.plans import marts, star_schema  # noqa: E402
@@ -33,6 +34,7 @@ from sluice.sinks.clustered import write_clustered  # noqa: E402
 from sluice.sinks.landing import LANDING, land_in_table, landing_name, read_landed  # noqa: E402
 from sluice.sinks.snapshot import SnapshotTable  # noqa: E402
 from sluice.sources.csv import read_static_csv  # noqa: E402
+from sluice.sources.footers import footer_totals as footer_totals_of  # noqa: E402
 from sluice.sources.tables import (  # noqa: E402
     ROW_ID,
     preview,
@@ -699,6 +701,31 @@ def scan_clustered(spark: SparkSession, sf: str) -> DataFrame:
     return select_where(rows_after(read_path(spark, path), "ts", "2024-01-28 00:00:00"), ["event_id", "user_id", "value"])
 
 
+def footer_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and bounds of whole tables, and of the partitions of one, from parquet footers."""
+    path = scratch_path(spark, "by-status")
+    table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    found = [("status " + r["o_orderstatus"], *r[1:]) for r in footer_totals_of(spark, [path], ["o_orderkey", "o_totalprice"], ["o_orderstatus"])]
+    for name, key, value in (("lineitem", "l_orderkey", "l_extendedprice"), ("customer", "c_custkey", "c_acctbal"), ("part", "p_partkey", "p_size")):
+        found.append((name, *footer_totals_of(spark, [f"{sf}/{name}.parquet"], [key, value])[0]))
+    rows = [(name, n, a, b, float(c), float(d)) for name, n, a, b, c, d in found]
+    return spark.createDataFrame(rows, "name string, rows long, min_key long, max_key long, min_value double, max_value double")
+
+
+def distinct_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct orders and parts of lineitem by flag and status from kept bitmaps; the second of three deliveries comes twice."""
+    lines = table(spark, sf, "lineitem")
+    counted = []
+    for key in ("l_orderkey", "l_partkey"):
+        kept = DistinctCounts(spark, scratch_path(spark, "bitmaps"), key, ["l_returnflag", "l_linestatus"])
+        for version in (0, 1, 1, 2):
+            kept.add(lines.filter(F.col("l_linenumber") % 3 == version), version, clustered=key == "l_orderkey")
+        for groups in (["l_returnflag", "l_linestatus"], ["l_returnflag"], []):
+            rest = [F.lit("all").alias(name) for name in ("l_returnflag", "l_linestatus") if name not in groups]
+            counted.append(kept.count(groups, "keys").select(F.lit(key).alias("key"), *groups, *rest, "keys"))
+    return reduce(DataFrame.unionByName, counted)
+
+
 def scan_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """Tables read by name: filtered and pruned, above a bound, and looked at by SQL."""
     database = _scratch_database(spark)
@@ -758,6 +785,8 @@ QUERIES: dict[str, Query] = {
         scan_incremental,
         scan_by_name,
         scan_clustered,
+        footer_totals,
+        distinct_bitmaps,
         read_static_lookup,
         read_static_lookup_inferred,
         split_corrupt_valid,

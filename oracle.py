@@ -357,6 +357,22 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_batches": """
         SELECT count(DISTINCT date_trunc('day', ts)) AS ingest_batches, strftime(max(ts), '%Y-%m-%d') AS last_ingest
         FROM events""",
+    "footer_totals": """
+        SELECT 'status ' || o_orderstatus AS name, count(*) AS rows, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key,
+               min(o_totalprice) AS min_value, max(o_totalprice) AS max_value FROM orders GROUP BY 1
+        UNION ALL SELECT 'lineitem', count(*), min(l_orderkey), max(l_orderkey), min(l_extendedprice), max(l_extendedprice) FROM lineitem
+        UNION ALL SELECT 'customer', count(*), min(c_custkey), max(c_custkey), min(c_acctbal), max(c_acctbal) FROM customer
+        UNION ALL SELECT 'part', count(*), min(p_partkey), max(p_partkey), CAST(min(p_size) AS DOUBLE), CAST(max(p_size) AS DOUBLE) FROM part""",
+    "distinct_bitmaps": " UNION ALL ".join(
+        f"""SELECT '{key}' AS key, {flag} AS l_returnflag, {status} AS l_linestatus, count(DISTINCT {key}) AS keys
+        FROM lineitem{' GROUP BY ' + groups if groups else ''}"""
+        for key in ("l_orderkey", "l_partkey")
+        for flag, status, groups in (
+            ("l_returnflag", "l_linestatus", "l_returnflag, l_linestatus"),
+            ("l_returnflag", "'all'", "l_returnflag"),
+            ("'all'", "'all'", ""),
+        )
+    ),
     "entity_counts": """
         SELECT 'orders' AS entity, count(DISTINCT l_orderkey) AS entities FROM lineitem
         UNION ALL SELECT 'customers', count(DISTINCT c_custkey) FROM customer

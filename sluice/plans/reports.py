@@ -117,8 +117,12 @@ def lake_reports(
         path = storage.scratch_path(spark, "layer-counts")
         marts.layer_counts(layers).write.parquet(path)
         counts, reasons = read_path(spark, path), None
+    tables = [layers[name]["structured"] for name in ("orders", "customers", "products")]
     reports = ingestion_reports(layers, counts) | quality_reports(layers, counts)
+    reports |= business_reports(*tables, countries, departments)
     if reasons is not None:
         reports["reason_histogram"] = reasons
-    tables = [layers[name]["structured"] for name in ("orders", "customers", "products")]
-    return reports | business_reports(*tables, countries, departments)
+    if totals is not None:  # keys of structured rows are unique and never NULL: rows are entities
+        entities = [(name, totals[name]["structured"]) for name in ("orders", "customers", "products")]
+        reports["entity_counts"] = spark.createDataFrame(entities, "entity string, entities long")
+    return reports

@@ -26,6 +26,7 @@ from sluice import storage
 from sluice.operators.dedup import keep_first
 from sluice.operators.upsert import merge_rows, require_unique_keys
 from sluice.sinks.evolution import conformed, widened
+from sluice.sources.footers import footer_count
 
 MAX_DEFAULT_BUCKETS = 2_048
 _VERSION, _BUCKET = "_version", "_bucket"
@@ -118,8 +119,7 @@ class SnapshotTable:
         )
         if not segments:
             return self.spark.createDataFrame([], schema)
-        paths = [f"{self.path}/data/{_VERSION}={version}/{_BUCKET}={bucket}" for version, bucket in segments]
-        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*self._folders(segments))
         return rows.select(*schema.fieldNames())
 
     # -- writing ---------------------------------------------------------
@@ -215,7 +215,10 @@ class SnapshotTable:
         return snapshot
 
     def _rows(self, snapshot: Snapshot) -> int:
-        return self._scan(snapshot, snapshot.segments).count() if snapshot.rows is None else snapshot.rows
+        return footer_count(self.spark, self._folders(snapshot.segments)) if snapshot.rows is None else snapshot.rows
+
+    def _folders(self, segments: list[list[int]]) -> list[str]:
+        return [f"{self.path}/data/{_VERSION}={version}/{_BUCKET}={bucket}" for version, bucket in segments]
 
     def rebucket(self, n_buckets: int) -> Snapshot:
         """Publish the same rows under another number of buckets; readers of older versions are not disturbed."""
