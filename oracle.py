@@ -510,3 +510,7 @@ ORACLE_SQL: dict[str, str] = {
                  UNION ALL SELECT rejection_reason, signup_date FROM routed WHERE outcome <> 'clean')
         SELECT kind, count(*) AS rows, strftime(max(signup_date), '%Y-%m-%d') AS last FROM rows GROUP BY kind""",
 }
+
+# The sales reports among the figures of those rounds.
+ORACLE_SQL["lake_sales_corrected"] = f"""
+        SELECT * FROM ({ORACLE_SQL["lake_rounds"]}) WHERE report IN ('total_sales', 'top_countries', 'customers_by_department')"""

@@ -170,6 +170,11 @@ def customers_by_department(customers: DataFrame, departments: DataFrame) -> Dat
         .groupBy("department_code")
         .agg(F.count("*").alias("customers"))
     )
+    return departments_named(counted, departments)
+
+
+def departments_named(counted: DataFrame, departments: DataFrame) -> DataFrame:
+    """Customers per department code as :func:`customers_by_department` reports them."""
     named = lookup_join(counted, departments, "department_code", ["department_code"])
     return named.orderBy(F.desc("customers"), "department_code")
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice import storage
-from sluice.plans import marts
+from sluice.plans import kept_sums, marts
 from sluice.plans.feeds import FEEDS
 from sluice.plans.routing import REASONS
-from sluice.plans.runs import structured_table
+from sluice.plans.runs import structured_table, structured_tables
 from sluice.schemas import quarantine_schema, raw_schema
 from sluice.sinks.catalog import TABLES
 from sluice.sinks.landing import not_seen, read_landed
@@ -32,21 +32,33 @@ def quality_reports(layers: Layers, counts: DataFrame) -> dict[str, DataFrame]:
 
 
 def business_reports(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, countries: DataFrame, departments: DataFrame
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    countries: DataFrame,
+    departments: DataFrame,
+    sums: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Sales and customer figures; orders are joined and summed once for all sales reports.
 
     The sums per country, a row per code, are written to the scratch folder for
-    the reports that share them.
+    the reports that share them. With ``sums`` (:mod:`sluice.plans.kept_sums`)
+    no table is read for them.
     """
-    path = storage.scratch_path(orders.sparkSession, "country-sales")
-    marts.sales_by_country(orders, customers, products).write.parquet(path)
-    country_sales = read_path(orders.sparkSession, path)
+    country_sales = kept_sums.country_sales(sums) if sums is not None else None
+    if country_sales is None:
+        path = storage.scratch_path(orders.sparkSession, "country-sales")
+        marts.sales_by_country(orders, customers, products).write.parquet(path)
+        country_sales = read_path(orders.sparkSession, path)
+    if sums is None:
+        by_department = marts.customers_by_department(customers, departments)
+    else:
+        by_department = marts.departments_named(kept_sums.department_customers(sums), departments)
     return {
         "entity_counts": marts.entity_counts(orders, customers, products),
         "total_sales": marts.sales_over_countries(country_sales),
         "top_countries": marts.top_countries(country_sales, countries),
-        "customers_by_department": marts.customers_by_department(customers, departments),
+        "customers_by_department": by_department,
         "sales_by_region": marts.sales_by_region(country_sales),
     }
 
@@ -100,14 +112,25 @@ def _kept_reports(spark: SparkSession, totals: dict[str, dict[str, int]]) -> tup
     return spark.createDataFrame(counts, schema.format("layer")), spark.createDataFrame(reasons, schema.format("rejection_reason"))
 
 
+def _sums(spark: SparkSession, lake_root: str) -> DataFrame | None:
+    """The lake's sums for its current versions, written for the reports that share them; None where they are counted anew."""
+    sums = kept_sums.current_sums(spark, lake_root, structured_tables(spark, lake_root))
+    if sums is None:
+        return None
+    path = storage.scratch_path(spark, "sums")
+    sums.coalesce(1).write.parquet(path)  # a row per code
+    return read_path(spark, path)
+
+
 def lake_reports(
     spark: SparkSession, lake_root: str, countries: DataFrame, departments: DataFrame, recount: bool = False
 ) -> dict[str, DataFrame]:
     """Every report, by name.
 
-    Rows of layers and reasons are those kept with the versions. With
-    ``recount``, or where a version keeps none, the layers are read: counted once,
-    and the counts written for all reports.
+    Rows of layers and reasons are those kept with the versions, and sales and
+    customers those of the lake's sums, corrected here by what was published after
+    them. With ``recount``, or where a version keeps none, the layers are read:
+    counted once, and the counts written for all reports.
     """
     layers = lake_layers(spark, lake_root)
     totals = None if recount else kept_totals(spark, lake_root)
@@ -119,7 +142,8 @@ def lake_reports(
         counts, reasons = read_path(spark, path), None
     tables = [layers[name]["structured"] for name in ("orders", "customers", "products")]
     reports = ingestion_reports(layers, counts) | quality_reports(layers, counts)
-    reports |= business_reports(*tables, countries, departments)
+    sums = None if recount else _sums(spark, lake_root)
+    reports |= business_reports(*tables, countries, departments, sums)
     if reasons is not None:
         reports["reason_histogram"] = reasons
     if totals is not None:  # keys of structured rows are unique and never NULL: rows are entities

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sluice import storage
 from sluice.operators.skew import DEFAULT_GUARD, SkewGuard
 from sluice.plans.feeds import FEEDS, Feed
+from sluice.plans.kept_sums import refresh_sums
 from sluice.plans.routing import CLEAN, CORRUPTED, DUPLICATE, FAILED, rejected_rows, route, structured_rows
 from sluice.schemas import INSERTED_AT, raw_schema
 from sluice.sinks.append import write_append, write_merge, write_replace
@@ -29,6 +30,11 @@ def structured_table(spark: SparkSession, feed: Feed, path: str, n_buckets: int
     return SnapshotTable(spark, path, feed.key, n_buckets, feed.partition_by)
 
 
+def structured_tables(spark: SparkSession, lake_root: str, n_buckets: int | None = None) -> dict[str, SnapshotTable]:
+    """The structured table of each feed of a lake."""
+    return {name: structured_table(spark, feed, f"{lake_root}/structured/{name}", n_buckets) for name, feed in FEEDS.items()}
+
+
 def run_feed(
     feed: Feed,
     raw: DataFrame,
@@ -214,21 +220,25 @@ def run_all(
     *,
     mode: str = "incremental",
     n_buckets: int | None = None,
+    most_changed: float = 1.0,
 ) -> dict[str, Snapshot | None]:
-    """One round over all feeds: land each feed's new files, then structure them.
+    """One round over all feeds: land each feed's new files, then structure them, then keep the reports' sums.
 
     Feeds do not depend on each other and run side by side, so that one feed's
     last tasks do not leave the cluster idle. They are read from
-    ``source_root/<feed>``; raw, checkpoint and structured folders are kept
-    below ``lake_root``.
+    ``source_root/<feed>``; raw, checkpoint, structured and sums folders are kept
+    below ``lake_root``. Sums are corrected by what the round changed, or counted
+    anew where that is more than ``most_changed`` times the rows there are.
     """
+    targets = structured_tables(spark, lake_root, n_buckets)
 
     def one_round(feed: Feed) -> Snapshot | None:
         raw_path, source = f"{lake_root}/raw/{feed.name}", f"{source_root}/{feed.name}"
         if storage.exists(spark, source):  # a feed that has not begun yet holds up no other
             ingest_feed(spark, feed, source, f"{lake_root}/checkpoints/{feed.name}", path=raw_path)
-        target = structured_table(spark, feed, f"{lake_root}/structured/{feed.name}", n_buckets)
-        return run_feed(feed, read_landed(spark, raw_path, raw_schema(feed.schema)), target, lookups, mode=mode)
+        return run_feed(feed, read_landed(spark, raw_path, raw_schema(feed.schema)), targets[feed.name], lookups, mode=mode)
 
     with ThreadPoolExecutor(len(FEEDS)) as pool:
-        return dict(zip(FEEDS, pool.map(one_round, FEEDS.values())))
+        published = dict(zip(FEEDS, pool.map(one_round, FEEDS.values())))
+    refresh_sums(spark, lake_root, targets, most_changed)
+    return published

@@ -98,12 +98,21 @@ class SnapshotTable:
         pointers = self._pointers()
         return self._snapshot(pointers[-1]) if pointers else None
 
+    def at(self, version: int) -> Snapshot | None:
+        """An earlier version; None if it was removed."""
+        pointer = f"{version:012d}.json"
+        return self._snapshot(pointer) if storage.exists(self.spark, f"{self.path}/pointer/{pointer}") else None
+
     def read(self) -> DataFrame:
         """Current rows."""
         snapshot = self.current()
         if snapshot is None:
             raise FileNotFoundError(f"nothing published at {self.path}")
-        return self._scan(snapshot, snapshot.segments).drop(_VERSION, _BUCKET)
+        return self.scan(snapshot, snapshot.segments)
+
+    def scan(self, snapshot: Snapshot, segments: list[list[int]]) -> DataFrame:
+        """Rows of some segments of a version."""
+        return self._scan(snapshot, segments).drop(_VERSION, _BUCKET)
 
     def read_rejects(self) -> DataFrame | None:
         """Rejected rows of the published runs; None before the first one."""
@@ -124,7 +133,7 @@ class SnapshotTable:
 
     # -- writing ---------------------------------------------------------
 
-    def _bucket(self, n_buckets: int) -> Column:
+    def bucket_of_key(self, n_buckets: int) -> Column:
         return F.pmod(F.hash(self.key), F.lit(n_buckets)).cast("int")
 
     def filled(self, rows: DataFrame) -> DataFrame:
@@ -175,7 +184,7 @@ class SnapshotTable:
         if rejects is not None:
             reject_schema = widened(_from_json(reject_schema) if earlier else None, rejects, "rejects").json()
 
-        source = source.withColumn(_BUCKET, self._bucket(n_buckets))
+        source = source.withColumn(_BUCKET, self.bucket_of_key(n_buckets))
         keys = source.select(self.key)
         # At most n_buckets numbers, whether a key is missing, and their rows.
         found = source.groupBy(_BUCKET).agg(F.max(F.col(self.key).isNull()), F.count("*")).collect()
@@ -215,7 +224,11 @@ class SnapshotTable:
         return snapshot
 
     def _rows(self, snapshot: Snapshot) -> int:
-        return footer_count(self.spark, self._folders(snapshot.segments)) if snapshot.rows is None else snapshot.rows
+        return self.count_rows(snapshot.segments) if snapshot.rows is None else snapshot.rows
+
+    def count_rows(self, segments: list[list[int]]) -> int:
+        """Rows of some segments, from the footers of their files."""
+        return footer_count(self.spark, self._folders(segments), f"{self.path}/data")
 
     def _folders(self, segments: list[list[int]]) -> list[str]:
         return [f"{self.path}/data/{_VERSION}={version}/{_BUCKET}={bucket}" for version, bucket in segments]
@@ -226,7 +239,7 @@ class SnapshotTable:
         if old is None:
             raise FileNotFoundError(f"nothing published at {self.path}")
         version = old.version + 1
-        rows = self.read().withColumn(_BUCKET, self._bucket(n_buckets)).hint("rebalance", _BUCKET)
+        rows = self.read().withColumn(_BUCKET, self.bucket_of_key(n_buckets)).hint("rebalance", _BUCKET)
         (
             rows.write.mode("overwrite")
             .partitionBy(_BUCKET, *self.partition_by)

@@ -47,6 +47,6 @@ def footer_totals(
     return [Row(**(row.asDict() | {"rows": row["rows"] or 0})) for row in found]
 
 
-def footer_count(spark: SparkSession, paths: list[str]) -> int:
-    """Rows of the files in ``paths``."""
-    return footer_totals(spark, paths)[0]["rows"] if paths else 0
+def footer_count(spark: SparkSession, paths: list[str], base_path: str | None = None) -> int:
+    """Rows of the files in ``paths``; ``base_path`` is the table's folder if they are partitions of one."""
+    return footer_totals(spark, paths, base_path=base_path)[0]["rows"] if paths else 0

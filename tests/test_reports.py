@@ -89,4 +89,7 @@ def test_rows_of_an_older_pointer_are_counted_once(spark, tmp_path):
     target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=2)
     first = target.upsert(spark.range(10).withColumnRenamed("id", "k"))
     target._publish(replace(first, version=2, rows=None))
-    assert target.upsert(spark.range(5, 20).withColumnRenamed("id", "k")).rows == 20
+    third = target.upsert(spark.range(10, 20).withColumnRenamed("id", "k"))
+    assert third.rows == 20
+    target._publish(replace(third, version=4, rows=None))  # segments of two versions
+    assert target.upsert(spark.range(5, 25).withColumnRenamed("id", "k")).rows == 25

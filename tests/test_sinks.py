@@ -58,7 +58,7 @@ def test_upsert_rewrites_only_what_it_replaces(spark, tmp_path):
 def test_bucket_is_the_hash_of_a_shuffle(spark, tmp_path):
     target = SnapshotTable(spark, str(tmp_path / "t"), "k", n_buckets=8)
     rows = spark.range(500).select(F.col("id").cast("string").alias("k"))
-    placed = rows.repartition(8, "k").filter(F.spark_partition_id() != target._bucket(8))
+    placed = rows.repartition(8, "k").filter(F.spark_partition_id() != target.bucket_of_key(8))
     assert placed.count() == 0
 
 
