@@ -6,10 +6,16 @@ windows. Of the rest, a text is rejected if its transformed statistics lie too
 far from what is usual for its language and source, by Mahalanobis distance
 under minimum-covariance-determinant (MCD) estimates:
 
-- a start that half of the rows cannot break: medians and median deviations;
-- concentration steps: mean and covariance of the half of the rows that are
-  nearest, then the nearest half anew. No step increases the determinant of
-  that half's covariance, and ``STEPS`` of them are made;
+- starts that half of the rows cannot break, all about the medians and in units
+  of the median deviations: those deviations alone, the scatter of the rows'
+  directions, and the correlations of their hyperbolic tangents. Starts about
+  single rows would find lower determinants still, but those of halves that take
+  in a dense third of junk, which is what the estimate must not follow;
+- concentration steps from each start: mean and covariance of the half of the
+  rows that are nearest, then the nearest half anew. No step increases the
+  determinant of that half's covariance; steps are made until no determinant
+  falls by more than ``FALL`` (medians of large groups are sketches, so smaller
+  changes mean nothing), and the start that ends lowest gives the estimate;
 - the covariance is scaled to be consistent for normal data, and a statistic
   that hardly varies (clean texts have no symbols at all) gets a least spread
   (``SPREAD``), so that the matrix can be inverted and tiny deviations from a
@@ -38,7 +44,10 @@ from sluice.llm.common import materialise
 
 SPACE = " \t\n\x0b\f\r"
 WINDOW = 8
-STEPS = 4
+STARTS = 3
+FALL = 1e-3
+# A bound that steps do not reach: over 20 of them have not been seen.
+MOST_STEPS = 100
 LIMIT = 10.0
 LEAST_ROWS = 100
 # Files of the tables that have one row per group.
@@ -164,7 +173,9 @@ def _factored(moments: DataFrame) -> DataFrame:
 
     for name, column in _cholesky(cov).items():
         moments = moments.withColumn(name, column)
-    return moments.select("key", *[f"m{i}" for i in range(len(NAMES))], *_cholesky(cov))
+    factor = list(_cholesky(cov))
+    log_det = sum((F.log(f"l{i}{i}") for i in range(len(NAMES))), F.lit(0.0)) * 2
+    return moments.select("key", *[f"m{i}" for i in range(len(NAMES))], *factor, log_det.alias("log_det"))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -186,25 +197,73 @@ def _moments(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(*means, *[F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}{j}") for i in p for j in p if i <= j])
 
 
-def mcd(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """One row per ``key``: location ``m*`` and factor ``l**`` of the MCD estimate over ``rows`` (``key``, ``x*``)."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """A location and factor per start; ``key`` is the number of the start before the rows' key."""
+    p = range(len(NAMES))
     medians = [F.percentile_approx(name, 0.5, 10000).alias(f"m{i}") for i, name in enumerate(NAMES)]
     centre = materialise(rows.groupBy("key").agg(*medians), "medians", FEW)
-    spread = [
-        F.percentile_approx(F.abs(F.col(name) - F.col(f"m{i}")), 0.5, 10000).alias(f"s{i}") for i, name in enumerate(NAMES)
-    ]
-    kept = [F.first(f"m{i}").alias(f"m{i}") for i in range(len(NAMES))]
-    start = _join(rows, centre).groupBy("key").agg(*kept, *spread)
-    factor = [
-        F.greatest(F.col(f"s{i}") * 1.4826, F.lit(SPREAD[NAMES[i]])).alias(f"l{i}{j}") if i == j else F.lit(0.0).alias(f"l{i}{j}")
-        for i in range(len(NAMES))
-        for j in range(i + 1)
-    ]
-    estimate = materialise(start.select("key", *[f"m{i}" for i in range(len(NAMES))], *factor), "start", FEW)
-    for _ in range(steps):
-        near = _nearest_half(_distance(_join(rows, estimate)))
+    spread = [F.percentile_approx(F.abs(F.col(name) - F.col(f"m{i}")), 0.5, 10000) for i, name in enumerate(NAMES)]
+    spread = [F.greatest(deviation * 1.4826, F.lit(SPREAD[NAMES[i]])).alias(f"s{i}") for i, deviation in enumerate(spread)]
+    first = [F.first(f"m{i}").alias(f"m{i}") for i in p]
+    scaled = materialise(_join(rows, centre).groupBy("key").agg(*first, *spread), "spreads", FEW)
+
+    unit = _join(rows, scaled).withColumns({f"u{i}": (F.col(NAMES[i]) - F.col(f"m{i}")) / F.col(f"s{i}") for i in p})
+    norm = F.sqrt(sum((F.col(f"u{i}") * F.col(f"u{i}") for i in p), F.lit(0.0)))
+    direction = [F.when(norm > 0, F.col(f"u{i}") / norm).otherwise(0.0) for i in p]
+    pairs = [(i, j) for i in p for j in p if i <= j]
+    shapes = unit.groupBy("key").agg(
+        *[F.avg(direction[i] * direction[j]).alias(f"d{i}{j}") for i, j in pairs],
+        *[F.avg(F.tanh(f"u{i}") * F.tanh(f"u{j}")).alias(f"t{i}{j}") for i, j in pairs],
+    )
+    # A shape says how statistics go together; each keeps its own spread, the least share of it included.
+    least = 1e-3
+    shapes = _join(scaled, shapes)
+
+    def start(number: int) -> DataFrame:
+        letter = {1: "d", 2: "t"}.get(number)
+
+        def cov(i: int, j: int) -> Column:
+            if letter is None or i == j:
+                return F.col(f"s{i}") * F.col(f"s{j}") if i == j else F.lit(0.0)
+            together = F.col(f"{letter}{min(i, j)}{max(i, j)}")
+            alone = F.sqrt((F.col(f"{letter}{i}{i}") + least) * (F.col(f"{letter}{j}{j}") + least))
+            return together / alone * F.col(f"s{i}") * F.col(f"s{j}")
+
+        factored = shapes
+        for name, column in _cholesky(cov).items():
+            factored = factored.withColumn(name, column)
+        key = F.concat(F.lit(f"{number}:"), F.col("key")).alias("key")
+        return factored.select(key, *[f"m{i}" for i in p], *_cholesky(cov))
+
+    out = start(0)
+    for number in range(1, STARTS):
+        out = out.unionByName(start(number))
+    return out
+
+
+def mcd(rows: DataFrame) -> DataFrame:
+    """One row per ``key``: location ``m*``, factor ``l**`` and ``log_det`` of the MCD estimate over ``rows`` (``key``, ``x*``)."""
+    numbers = F.explode(F.array(*[F.lit(f"{number}:") for number in range(STARTS)])).alias("_start")
+    every = rows.select("*", numbers).withColumn("key", F.concat("_start", "key")).drop("_start")
+    estimate, lowest = materialise(_starts(rows), "starts", FEW), None
+    for _ in range(MOST_STEPS):
+        near = _nearest_half(_distance(_join(every, estimate)))
         estimate = materialise(_factored(_moments(near)), "estimate", FEW)
-    return estimate
+        if lowest is None:
+            lowest = estimate
+            continue
+        before = lowest.select(F.col("key").alias("_key"), F.col("log_det").alias("_log_det"))
+        fell = estimate.join(before, F.col("key") == F.col("_key")).filter(F.col("log_det") < F.col("_log_det") - FALL)
+        if not fell.limit(1).count():
+            break
+        both = lowest.unionByName(estimate)
+        values = F.struct(*[name for name in both.columns if name != "key"])
+        lowest = both.groupBy("key").agg(F.min_by(values, "log_det").alias("best")).select("key", "best.*")
+        lowest = materialise(lowest, "lowest", FEW)
+    number, key = F.substring("key", 1, 1), F.expr("substring(key, 3)")
+    best = lowest.withColumns({"_start": number, "key": key}).groupBy("key")
+    values = F.struct(*[name for name in lowest.columns if name != "key"])
+    return best.agg(F.min_by(values, F.struct("log_det", "_start")).alias("best")).select("key", "best.*")
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", doc_id: str = "doc_id", limit: float = LIMIT) -> DataFrame:
