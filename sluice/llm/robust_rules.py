@@ -46,7 +46,7 @@ SPACE = " \t\n\x0b\f\r"
 WINDOW = 8
 STARTS = 3
 FALL = 1e-3
-# A bound that steps do not reach: over 20 of them have not been seen.
+# Against an endless loop only: every step but the last lowers some determinant by FALL.
 MOST_STEPS = 100
 LIMIT = 10.0
 LEAST_ROWS = 100
