@@ -74,9 +74,10 @@ def run_feed(
     if bound is None:
         return None
 
+    # Landings are nothing but what tells new rows: they need not be shuffled and sorted with each row.
     routed = route(
         feed,
-        raw,
+        raw.drop(LANDING),
         lookups,
         prefer_valid=prefer_valid,
         null_keys_are_duplicates=null_keys_are_duplicates,
@@ -138,7 +139,7 @@ def _stage(feed: Feed, routed: DataFrame, stage: str) -> tuple[DataFrame, dict[s
     failed = [F.count_if(rule.failed & (F.col("outcome") != CORRUPTED)).alias(f"failed_{rule.flag}") for rule in rules]
     outcomes = [F.count_if(F.col("outcome") == name).alias(name) for name in (CLEAN, CORRUPTED, DUPLICATE, FAILED)]
     watched = routed.observe(seen, F.count("*").alias("rows"), *outcomes, *failed)
-    watched.drop(*[name for name in (ROW_ID, LANDING) if name in routed.columns]).write.partitionBy("outcome").parquet(stage)
+    watched.drop(ROW_ID).write.partitionBy("outcome").parquet(stage)
     return read_path(routed.sparkSession, stage), {name: int(value) for name, value in seen.get.items()}
 
 
@@ -183,7 +184,7 @@ def run_feed_into_catalog(
             return None
     else:
         bound = {"landings": last_landings(raw, {}, complete=False)} if LANDING in raw.columns else {}
-    routed = route(feed, raw, lookups, **routing)
+    routed = route(feed, raw.drop(LANDING), lookups, **routing)
     stage = storage.scratch_path(spark, f"routed-{feed.name}")
     try:
         staged, counts = _stage(feed, routed, stage)

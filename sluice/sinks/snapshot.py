@@ -198,7 +198,7 @@ class SnapshotTable:
             if replaced:
                 stored = self._scan(old, replaced).drop(_VERSION)
                 if first_by is None:
-                    placed = merge_rows(stored, placed, self.key)
+                    placed = merge_rows(stored, placed, self.key, keys)
                 else:  # two rows a key at most
                     placed = keep_first(stored.unionByName(placed, allowMissingColumns=True), [self.key], first_by)
                 if self._shuffle_partitions() % n_buckets:

@@ -116,6 +116,30 @@ def test_new_orders_read_the_newest_version_only(spark, small, monkeypatch):
     agree(spark, tables, sums)
 
 
+def test_orders_that_were_all_replaced_are_not_read_as_they_were(spark, small, monkeypatch):
+    lake, tables = small
+    put(
+        spark, tables,
+        orders=[(f"O{k}", f"C{k % 5}", f"P{k % 3}", 3) for k in range(40)],
+        customers=[("C1", "FR", "e")],
+        products=[("P1", 2.0)],
+    )
+    read = []
+    rows_of_version = Versions.rows
+
+    def watched(self, snapshot, segments):
+        if self.name == "orders":
+            read.extend(version for version, _ in segments)
+        return rows_of_version(self, snapshot, segments)
+
+    monkeypatch.setattr(Versions, "rows", watched)
+    monkeypatch.setattr(Versions, "changed_keys", None)
+    sums = current_sums(spark, lake, tables, most_changed=math.inf)
+    assert set(read) == {2}
+    monkeypatch.undo()
+    agree(spark, tables, sums)
+
+
 def test_nothing_is_read_if_nothing_changed(spark, small, monkeypatch):
     lake, tables = small
     monkeypatch.setattr(SnapshotTable, "scan", None)
