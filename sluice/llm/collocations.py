@@ -11,7 +11,8 @@ Only frequent phrases matter, so the partition is also a sieve. Words are counte
 first, then pairs of frequent words; a suffix ends at the first pair that is not
 frequent, and one that starts with such a pair is not shuffled at all. Tasks know
 the frequent words and pairs by bitmaps of a bounded size, whose errors only let
-more through. Prefixes start as pairs and grow by a word while they exceed the
+more through; pairs are counted by 64-bit hashes for that, which are never
+spelled. Prefixes start as pairs and grow by a word while they exceed the
 budget, a share of all suffixes below which few prefixes can be.
 
 A group's suffixes arrive sorted, so its subtrees are built depth first with one
@@ -26,6 +27,7 @@ holds one long text at a time.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -100,6 +102,8 @@ def _phrases(lang: str, phrases: list[bytes], counts: list[int] | np.ndarray) ->
 
 
 COUNTS = "lang string, phrase string, f long"
+MARKS = "mark long, f long"
+SUFFIXES = f"{COUNTS}, heavy boolean"
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,9 +158,16 @@ def holds(whole: np.ndarray, marks: np.ndarray) -> np.ndarray:
 
 
 def bitmap(phrases: DataFrame, each: int = BITS_EACH, most: int = MOST_BITS) -> Bitmap:
-    """Built by tasks; the driver gets at most ``most`` bits, however many phrases there are."""
+    """Of phrases, or of ``mark`` if they are given by numbers.
+
+    Built by tasks; the driver gets at most ``most`` bits, however many phrases there are.
+    """
     bits = min(most, 1 << math.ceil(math.log2(max(CHUNK_BITS, each * phrases.count()))))
-    at = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(b"\n"), F.col("phrase").cast("binary"))) % bits
+    if "mark" in phrases.columns:
+        mark = F.col("mark")
+    else:
+        mark = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(b"\n"), F.col("phrase").cast("binary")))
+    at = F.pmod(mark, F.lit(bits))
     chunk, place = F.floor(at / CHUNK_BITS), at % CHUNK_BITS
     rows = phrases.groupBy(chunk.alias("chunk")).agg(F.bitmap_construct_agg(place).alias("bits")).toArrow()
     return Bitmap(dict(zip(rows["chunk"].to_pylist(), rows["bits"].to_pylist())), bits)
@@ -165,15 +176,18 @@ def bitmap(phrases: DataFrame, each: int = BITS_EACH, most: int = MOST_BITS) ->
 # -- suffixes ------------------------------------------------------------------
 
 
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Numbering(dict):
     """Numbers for the words of a language that may be frequent, -1 for others.
 
-    By number there are the words and the CRC of the pairs that begin with each, up to the second word.
+    By number there are the words and 64-bit hashes of language and word.
     """
 
     def __init__(self, lang: str, frequent: np.ndarray):
         super().__init__({END: -1})
-        self.lang, self.frequent, self.words, self.heads = lang.encode(), frequent, [], []
+        self.lang, self.frequent, self.words, self.hashes = lang.encode(), frequent, [], []
 
     def __missing__(self, word: bytes) -> int:
         number, mark = -1, _mark(self.lang, word)
@@ -181,18 +195,15 @@ class Numbering(dict):
         if self.frequent[at >> 3] >> (at & 7) & 1:
             number = len(self.words)
             self.words.append(word)
-            self.heads.append(zlib.crc32(b" ", mark))
+            self.hashes.append(int.from_bytes(hashlib.blake2b(self.lang + b"\n" + word, digest_size=8).digest(), "little"))
         self[word] = number
         return number
 
-    def spell(self, pairs: list[int]) -> list[bytes]:
-        words = self.words
-        return [words[p >> 32] + b" " + words[p & 0xFFFFFFFF] for p in pairs]
-
-    def marks(self, pairs: list[int]) -> np.ndarray:
-        """The CRC of each pair."""
-        crc, words, heads = zlib.crc32, self.words, self.heads
-        return np.fromiter((crc(words[p & 0xFFFFFFFF], heads[p >> 32]) for p in pairs), np.int64, len(pairs))
+    def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places where a word and the next may both be frequent, and a 64-bit hash of the pair there."""
+        at = np.flatnonzero((numbers[:-1] >= 0) & (numbers[1:] >= 0))
+        hashes = np.array(self.hashes, np.uint64)
+        return at, ((hashes * MULTIPLIER)[numbers[at]] ^ hashes[numbers[at + 1]]).view(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[tuple[Numbering, np.ndarray]]:
@@ -200,11 +211,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator
     table = translate_table()
     known: dict[str, Numbering] = {}
     held: dict[str, list[np.ndarray]] = defaultdict(list)
+    sizes: Counter = Counter()
 
     def done(lang: str) -> tuple[Numbering, np.ndarray]:
         numbering = known[lang]
         if len(numbering) > HELD_WORDS:
             del known[lang]
+        del sizes[lang]
         return numbering, np.concatenate(held.pop(lang))
 
     for batch in batches:
@@ -215,54 +228,64 @@ def _blocks(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator
                     known[lang] = Numbering(lang, frequent)
                 words.append(END)
                 held[lang].append(np.fromiter(map(known[lang].__getitem__, words), np.int64, len(words)))
-                if sum(map(len, held[lang])) > BLOCK_WORDS:
+                sizes[lang] += len(words)
+                if sizes[lang] > BLOCK_WORDS:
                     yield done(lang)
     for lang in list(held):
         yield done(lang)
 
 
-def _pairs(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places where a word and the next may both be frequent, and the pair there as one number."""
-    at = np.flatnonzero((numbers[:-1] >= 0) & (numbers[1:] >= 0))
-    return at, numbers[at] << 32 | numbers[at + 1]
-
-
 def _count_pairs(words: Bitmap):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for numbering, numbers in _blocks(batches, words.bytes()):
-            pairs, counts = np.unique(_pairs(numbers)[1], return_counts=True)
-            yield _phrases(numbering.lang.decode(), numbering.spell(pairs.tolist()), counts)
+            marks, counts = np.unique(numbering.pairs(numbers)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(marks), pa.array(counts, pa.int64())], ["mark", "f"])
 
     return scan
 
 
-def _suffixes(words: Bitmap, pairs: Bitmap):
-    """Distinct suffixes of a block, each word followed by a blank, that begin with a pair that may be frequent."""
+def distinct_rows(columns: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct row of ``columns`` is first, and how many there are; values from -1 on, of ``width`` bits with one added.
+
+    Rows are numbers of as many columns as 63 bits hold, and these are numbered
+    anew where one more does not fit.
+    """
+    number, bits = columns[0] + 1, width
+    for column in columns[1:]:
+        if bits + width > 63:
+            number = np.unique(number, return_inverse=True)[1]
+            bits = len(number).bit_length()
+        number = number << width | (column + 1)
+        bits += width
+    return np.unique(number, return_index=True, return_counts=True)[1:]
+
+
+def _suffixes(words: Bitmap, pairs: Bitmap, heavy: np.ndarray):
+    """Distinct suffixes of a block, each word followed by a blank, that begin with a pair that may be frequent.
+
+    And whether that pair's hash is among ``heavy``.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = pairs.bytes()
         for numbering, numbers in _blocks(batches, words.bytes()):
-            at, found = _pairs(numbers)
-            distinct, which = np.unique(found, return_inverse=True)
-            good = holds(may, numbering.marks(distinct.tolist()))[which]
+            at, marks = numbering.pairs(numbers)
+            good = holds(may, marks)
             link = np.zeros(len(numbers) + LONGEST, bool)  # this word and the next make a pair that may be frequent
-            link[at[good]] = True
+            starts = at[good]
+            link[starts] = True
             padded = np.concatenate([numbers, np.full(LONGEST, -1)])
-            starts = np.flatnonzero(link)
-            # Suffixes get equal numbers if their first words do, step by step; -1 stands behind their end.
-            number = padded[starts]
+            # -1 stands behind the end of a suffix.
             going = np.ones(len(starts), bool)
-            columns = [number]
+            columns = [padded[starts]]
             for k in range(1, LONGEST):
                 going &= link[starts + k - 1]
                 columns.append(np.where(going, padded[starts + k], -1))
-                number = np.unique(number << 32 | (columns[k] + 1), return_inverse=True)[1]
-            _, first, counts = np.unique(number, return_index=True, return_counts=True)
-            spelled = numbering.words
-            suffixes = [
-                b"".join([spelled[n] + b" " for n in row if n >= 0]) for row in np.stack([c[first] for c in columns], axis=1).tolist()
-            ]
-            yield _phrases(numbering.lang.decode(), suffixes, counts)
+            first, counts = distinct_rows(columns, len(numbering.words).bit_length())
+            spelled = [*[word + b" " for word in numbering.words], b""]
+            suffixes = [b"".join(map(spelled.__getitem__, row)) for row in np.stack([c[first] for c in columns], axis=1).tolist()]
+            rows = _phrases(numbering.lang.decode(), suffixes, counts)
+            yield rows.append_column("heavy", pa.array(np.isin(marks[good][first], heavy)))
 
     return scan
 
@@ -272,25 +295,23 @@ def _suffixes(words: Bitmap, pairs: Bitmap):
 
 def _prefix(words: int) -> Column:
     """The first words of a suffix, with the blank behind each; the suffix itself if it has no more."""
-    return F.regexp_extract("phrase", f"^(?:[^ ]+ ){{1,{words}}}", 0)
+    return F.concat(F.rtrim(F.substring_index("phrase", " ", words)), F.lit(" "))
 
 
-def _prefixes(suffixes: DataFrame, pairs: DataFrame, budget: int) -> DataFrame:
+def _prefixes(suffixes: DataFrame, budget: int) -> DataFrame:
     """Name each suffix's prefix: two words, or as many as it takes to fit the budget.
 
-    Of pairs, and of longer prefixes each, no more than n / budget can exceed it,
-    which is what allows broadcasting those.
+    Of ``heavy`` pairs, and of longer prefixes each, no more than n / budget can
+    exceed it, which is what allows broadcasting those.
     """
-    placed = suffixes.withColumn("prefix", _prefix(2))
-    heavy = pairs.filter(F.col("f") > budget).select("lang", F.concat("phrase", F.lit(" ")).alias("prefix"))
-    for words in range(3, LONGEST + 1):
+    placed = suffixes.withColumn("prefix", F.when(F.col("heavy"), _prefix(3)).otherwise(_prefix(2)))
+    for words in range(4, LONGEST + 1):
+        sums = placed.filter(F.col("heavy") & (F.col("prefix") != F.col("phrase"))).groupBy("lang", "prefix").agg(F.sum("f").alias("f"))
+        heavy = materialise(sums.filter(F.col("f") > budget).select("lang", "prefix"), "heavy-prefixes", files=1)
         if heavy.isEmpty():
             break
-        placed = placed.join(F.broadcast(heavy.withColumn("heavy", F.lit(True))), ["lang", "prefix"], "left")
+        placed = placed.drop("heavy").join(F.broadcast(heavy.withColumn("heavy", F.lit(True))), ["lang", "prefix"], "left")
         placed = placed.withColumn("prefix", F.when(F.col("heavy"), _prefix(words)).otherwise(F.col("prefix")))
-        sums = placed.filter(F.col("heavy") & (F.col("prefix") != F.col("phrase"))).groupBy("lang", "prefix").agg(F.sum("f").alias("f"))
-        heavy = materialise(sums.filter(F.col("f") > budget).select("lang", "prefix"), "heavy-prefixes", files=1)
-        placed = placed.drop("heavy")
     return placed
 
 
@@ -365,14 +386,17 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) ->
     frequent = words.filter(F.col("f") >= least)
     word_bits = bitmap(frequent)
 
-    pairs = rows.mapInArrow(_count_pairs(word_bits), COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    pairs = rows.mapInArrow(_count_pairs(word_bits), MARKS).groupBy("mark").agg(F.sum("f").alias("f"))
     pairs = materialise(pairs.filter(F.col("f") >= least), "pairs")
     total = pairs.agg(F.sum("f")).first()[0] or 0
-    suffixes = materialise(rows.mapInArrow(_suffixes(word_bits, bitmap(pairs)), COUNTS), "suffixes")
-
     budget = max(budget, total // SHARES)
+    # At most ``SHARES`` numbers.
+    heavy = np.array([row["mark"] for row in pairs.filter(F.col("f") > budget).select("mark").collect()], np.int64)
+    suffixes = materialise(rows.mapInArrow(_suffixes(word_bits, bitmap(pairs), heavy), SUFFIXES), "suffixes")
+
     groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // budget))
-    placed = _prefixes(suffixes, pairs, budget).repartition(groups, "lang", "prefix")
+    placed = _prefixes(suffixes, budget) if len(heavy) else suffixes.withColumn("prefix", _prefix(2))
+    placed = placed.select("lang", "prefix", "phrase", "f").repartition(groups, "lang", "prefix")
     dealt = placed.groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f")).sortWithinPartitions("lang", "prefix", "phrase")
     nodes = dealt.select("lang", F.col("prefix").cast("binary"), F.col("phrase").cast("binary"), "f").mapInArrow(_grow(least), COUNTS)
     longer = nodes.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,6 +297,27 @@ def test_subtrees_sum_their_leaves():
     assert nodes == [("en", b"a b c", 3), ("en", b"a b", 6), ("en", b"b a c", 9), ("en", b"b a", 9)]
 
 
+def test_pairs_are_counted_by_number(spark):
+    texts = pa.RecordBatch.from_pydict({"lang": ["en", "en", "de"], "text": [b"a b a b", b"a b. a", b"a b"]})
+    every = collocations.Bitmap({0: b"\xff" * (collocations.CHUNK_BITS // 8)}, collocations.CHUNK_BITS)
+    rows = [row for batch in collocations._count_pairs(every)(iter([texts])) for row in batch.to_pylist()]
+    assert sorted(row["f"] for row in rows) == [1, 1, 3]  # b a; a b in German; a b
+    assert len({row["mark"] for row in rows}) == 3
+    marks = spark.createDataFrame([(row["mark"],) for row in rows[:2]], "mark long")
+    found = collocations.holds(collocations.bitmap(marks, each=1 << 20).bytes(), np.array([row["mark"] for row in rows]))
+    assert found.tolist() == [True, True, False]
+
+
+@pytest.mark.parametrize("width", [3, 13, 17, 30, 40])
+def test_distinct_rows_of_any_width(width):
+    draw = np.random.default_rng(width)
+    columns = [draw.integers(-1, 2, 400) * ((1 << width) // 4) for _ in range(5)]
+    columns = [np.where(c < 0, -1, c) for c in columns]
+    _, first, counts = np.unique(np.stack(columns, axis=1), axis=0, return_index=True, return_counts=True)
+    got = collocations.distinct_rows(columns, width)
+    assert dict(zip(*(part.tolist() for part in got))) == dict(zip(first.tolist(), counts.tolist()))
+
+
 def test_collocations_of_nothing(spark):
     docs = docs_of(spark, phrase_rows())
     assert collocations.collocations(docs.filter("false")).collect() == []
